@@ -1,0 +1,32 @@
+"""From a text file to the printed form, both ways of merging chunks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators.partial import chunk_summary, mean_of_means
+from ..operators.report import report_string
+from ..operators.summary import station_stats
+from ..sources.delimited import scan_chunks, scan_lines
+
+
+def station_report(
+    spark: SparkSession, path: str, scale: int | None = 1, trailing_sep: bool = False
+) -> DataFrame:
+    """The report with true means."""
+    return report_string(station_stats(scan_lines(spark, path), scale), trailing_sep=trailing_sep)
+
+
+def chunk_mean_report(
+    spark: SparkSession,
+    path: str,
+    num_chunks: int,
+    scale: int | None = 1,
+    trailing_sep: bool = False,
+) -> DataFrame:
+    """The report with the mean of the means of ``num_chunks`` input splits.
+
+    These means depend on where the input is cut.
+    """
+    chunks = chunk_summary(scan_chunks(spark, path, num_chunks), scale)
+    return report_string(mean_of_means(chunks, digits=None), trailing_sep=trailing_sep)
