@@ -87,3 +87,8 @@ def format_rounded(value: Column, digits: int = 1) -> Column:
     rounded = F.abs(round_half_even(value, digits))
     text = F.format_string(f"%.{digits}f", rounded)
     return F.when(value < 0, F.concat(F.lit("-"), text)).otherwise(text)
+
+
+def whole_part(number: Column, by: int) -> Column:
+    """Integer division; going through doubles would blur large row numbers."""
+    return F.call_function("div", number, F.lit(by).cast("bigint"))

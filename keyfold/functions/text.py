@@ -16,23 +16,23 @@ def after_sep(line: Column, sep: str = SEP) -> Column:
     return F.substring_index(line, sep, -1)
 
 
-def has_one_sep(line: Column, sep: str = SEP) -> Column:
-    """The text before the first and after the last separator make up the line.
+def has_one_sep(line: Column, before: Column, after: Column, sep: str = SEP) -> Column:
+    """Whether the text before the first and after the last separator make up the line.
 
-    Compares byte lengths, so it costs nothing beside the two substrings.
+    Compares byte lengths, which are at hand; the line is not searched again.
     """
-    parts = F.octet_length(before_sep(line, sep)) + F.octet_length(after_sep(line, sep))
-    return parts + len(sep.encode()) == F.octet_length(line)
+    return F.octet_length(before) + F.octet_length(after) + len(sep.encode()) == F.octet_length(line)
 
 
-def finite_number(text: Column) -> Column:
-    """The number a text stands for, NULL for anything else.
+def has_type_suffix(text: Column) -> Column:
+    """Whether a text ends like ``1.0d`` or ``1.0f``, which Java reads as numbers."""
+    return text.endswith("d") | text.endswith("D") | text.endswith("f") | text.endswith("F")
 
-    Java's type suffixes (``1.0d``, ``1.0f``), NaN and infinities do not count.
-    """
+
+def finite_number(text: Column) -> Column:
+    """The number a text stands for, NULL for anything else, NaN and infinities too."""
     number = text.try_cast("double")
-    suffixed = text.endswith("d") | text.endswith("D") | text.endswith("f") | text.endswith("F")
-    return F.when(is_finite(number) & ~suffixed, number)
+    return F.when(is_finite(number) & ~has_type_suffix(text), number)
 
 
 def is_finite(number: Column) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_list_sum
+from ..functions.numeric import exact_list_sum, whole_part
 from ..schema import STATION, TEMP
 from .partial import CHUNK, merge_state
 
@@ -20,7 +20,7 @@ ROWS_PER_CHUNK = 1 << 16
 
 def number_chunks(df: DataFrame, row_number: str, rows: int = ROWS_PER_CHUNK) -> DataFrame:
     """Add ``chunk``: the next ``rows`` row numbers at a time. They must be unique."""
-    return df.withColumn(CHUNK, F.floor(F.col(row_number) / rows).cast("bigint"))
+    return df.withColumn(CHUNK, whole_part(F.col(row_number), rows))
 
 
 def group_to_list(df: DataFrame, chunk: str = CHUNK) -> DataFrame:
@@ -33,7 +33,7 @@ def merge_lists(lists: DataFrame, fan_in: int = 8, chunk: str = CHUNK) -> DataFr
 
     The longest list grows by at most ``fan_in`` times.
     """
-    wider = F.floor(F.col(chunk) / fan_in).cast("bigint")
+    wider = whole_part(F.col(chunk), fan_in)
     return (
         lists.withColumn(chunk, wider)
         .groupBy(STATION, chunk)

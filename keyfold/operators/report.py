@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import format_rounded
+from ..functions.numeric import format_rounded, whole_part
 from ..schema import STATION
 from .numbering import number_rows
 from .summary import RESULT, rounded
@@ -46,7 +46,7 @@ def report_string(
             F.lit(0).cast("bigint").alias("part"), F.lit("{}").alias("report")
         )
     last = (total - 1) // lines_per_part
-    part = F.floor(F.col("row_no") / lines_per_part).cast("bigint")
+    part = whole_part(F.col("row_no"), lines_per_part)
     in_order = F.array_sort(F.collect_list(F.struct("row_no", "line")))
     text = F.array_join(F.transform(in_order, lambda entry: entry["line"]), ", ")
     opening = F.when(F.col("part") == 0, "{").otherwise("")
@@ -68,7 +68,7 @@ def summary_map(
     """
     entries = stats if digits is None else rounded(stats, digits)
     numbered, _ = number_rows(entries.select(STATION, F.array(*RESULT).alias("numbers")), STATION)
-    part = F.floor(F.col("row_no") / entries_per_map).cast("bigint")
+    part = whole_part(F.col("row_no"), entries_per_map)
     pairs = F.collect_list(F.struct(STATION, "numbers"))
     return numbered.groupBy(part.alias("part")).agg(F.map_from_entries(pairs).alias("summary"))
 

@@ -217,7 +217,8 @@ def lookup_join(spark, sf_dir):
 
 def _event_lines(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    return events.select("event_id", join_fields(F.col("event_type"), F.col("value"), SCALE).alias("line"))
+    line = join_fields(F.col("event_type"), F.col("value"), SCALE)
+    return events.select("event_id", line.alias("line"), "props")
 
 
 def fn_split(spark, sf_dir):
@@ -237,8 +238,7 @@ def fn_locate(spark, sf_dir):
 
 
 def fn_parse(spark, sf_dir):
-    lines = _event_lines(spark, sf_dir).join(table(spark, sf_dir, "events").select("event_id", "props"), "event_id")
-    return lines.select(
+    return _event_lines(spark, sf_dir).select(
         "event_id",
         before_sep(F.col("line")).alias("station"),
         after_sep(F.col("line")).cast("double").alias("temp"),

@@ -13,7 +13,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType
 
-from ..functions.text import SEP, after_sep, before_sep, finite_number, has_one_sep, is_finite, join_fields
+from ..functions.text import (
+    SEP,
+    after_sep,
+    before_sep,
+    finite_number,
+    has_one_sep,
+    has_type_suffix,
+    is_finite,
+    join_fields,
+)
 from ..schema import MEASUREMENT_NAMES, MEASUREMENT_TYPES, STATION, TEMP, build_schema
 
 
@@ -29,15 +38,24 @@ def _csv(spark: SparkSession, path, schema, sep: str) -> DataFrame:
     )
 
 
-def _or_fail(number: Column, row: Column) -> Column:
-    """``number``, or a failure that names the file and the row.
+def _fail(*message) -> Column:
+    return F.raise_error(F.concat_ws(" ", F.lit("bad row:"), *message))
+
+
+def _number_or_fail(text: Column, well_formed: Column, row: Column) -> Column:
+    """The number in ``text``, or a failure that names the file and the row.
 
     The file name makes the expression non-deterministic for the optimizer. It
-    then keeps the filter on the result above the projection, so that a row is
-    parsed once and is parsed even if nothing else reads the number.
+    then keeps ``_only_finite`` above the projection, so that a row is parsed
+    once and is parsed even if nothing else reads the number.
     """
-    message = F.concat_ws(" ", F.lit("bad row in"), F.input_file_name(), F.lit(":"), row)
-    return F.when(number.isNotNull(), number).otherwise(F.raise_error(message).cast("double"))
+    number = F.when(well_formed & ~has_type_suffix(text), text.try_cast("double"))
+    return F.coalesce(number, _fail(row, F.lit("in"), F.input_file_name()).cast("double"))
+
+
+def _only_finite(df: DataFrame) -> DataFrame:
+    failure = _fail(F.lit("number is not finite for"), F.col(STATION)).cast("boolean")
+    return df.filter(F.when(is_finite(F.col(TEMP)), F.lit(True)).otherwise(failure))
 
 
 def scan_delimited(
@@ -72,7 +90,7 @@ def scan_delimited(
         else:
             good = good & column.isNotNull()
     row = F.concat_ws(sep, *[F.col(name).cast("string") for name in names])
-    failure = F.raise_error(F.concat(F.lit("bad row: "), row)).cast("boolean")
+    failure = _fail(row).cast("boolean")
     return df.filter(F.when(good, F.lit(True)).otherwise(failure))
 
 
@@ -82,27 +100,29 @@ def scan_late_cast(
     """Every column read as text first, the number parsed afterwards."""
     raw = _csv(spark, path, build_schema(MEASUREMENT_NAMES), sep)
     station = F.coalesce(F.col(STATION), F.lit(""))
-    number = finite_number(F.col(TEMP))
-    row = F.concat_ws(sep, STATION, TEMP)
-    return raw.select(station.alias(STATION), _or_fail(number, row).alias(TEMP)).filter(
-        F.col(TEMP).isNotNull() & (F.octet_length(STATION) >= 0)
-    )
+    row = F.concat_ws(sep, station, F.col(TEMP))
+    # Reads the station too, so that a row with too many fields is seen.
+    temp = _number_or_fail(F.col(TEMP), F.octet_length(station) >= 0, row)
+    return _only_finite(raw.select(station.alias(STATION), temp.alias(TEMP)))
 
 
 def parse_lines(lines: DataFrame, sep: str = SEP, strict: bool = True) -> DataFrame:
     """``station, temp`` from a text column ``value``; other columns are kept.
 
-    Works on a batch or a streaming DataFrame that comes straight from a scan.
+    Works on a batch or a streaming DataFrame.
     Not strict, a bad row keeps its station and has no number.
     """
-    line = F.col("value")
+    line, raw = F.col("value"), F.col("_raw")
     rest = [c for c in lines.columns if c != "value"]
-    number = F.when(has_one_sep(line, sep), finite_number(after_sep(line, sep)))
-    temp = _or_fail(number, line) if strict else number
-    parsed = lines.filter(F.octet_length(line) > 0).select(
-        *rest, before_sep(line, sep).alias(STATION), temp.alias(TEMP)
+    fields = lines.filter(F.octet_length(line) > 0).select(
+        "*", before_sep(line, sep).alias(STATION), after_sep(line, sep).alias("_raw")
     )
-    return parsed.filter(F.col(TEMP).isNotNull()) if strict else parsed
+    well_formed = has_one_sep(line, F.col(STATION), raw, sep)
+    if strict:
+        temp = _number_or_fail(raw, well_formed, line)
+        return _only_finite(fields.select(*rest, STATION, temp.alias(TEMP)))
+    temp = F.when(well_formed, finite_number(raw))
+    return fields.select(*rest, STATION, temp.alias(TEMP))
 
 
 def scan_lines(
@@ -118,7 +138,7 @@ def rejected_lines(lines: DataFrame, sep: str = SEP) -> DataFrame:
     raw = after_sep(line, sep)
     reason = (
         F.when(~line.contains(sep), "no delimiter")
-        .when(~has_one_sep(line, sep), "extra field")
+        .when(~has_one_sep(line, before_sep(line, sep), raw, sep), "extra field")
         .when(raw == "", "no value")
         .when(finite_number(raw).isNull(), "not a finite number")
     )
