@@ -13,6 +13,9 @@ from ..storage import store
 
 BROADCAST_BYTES = 32 << 20
 SALTS = 64
+# A station is hot with more than one row in this many. So there are fewer hot
+# stations than this, however large the table.
+HOT_SHARE = 1000
 
 
 def distinct_stations(df: DataFrame) -> DataFrame:
@@ -40,6 +43,13 @@ def _stored_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()[0]
 
 
+def hot_stations(df: DataFrame, share: int = HOT_SHARE) -> DataFrame:
+    """The stations with more than one in ``share`` of all rows: fewer than ``share``."""
+    counts = store(df.groupBy(STATION).agg(F.count(F.lit(1)).alias("n")), "counts")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return counts.filter(F.col("n") > total / share).select(STATION, F.lit(True).alias("_hot"))
+
+
 def join_on_station(
     df: DataFrame,
     keyed: DataFrame,
@@ -52,9 +62,9 @@ def join_on_station(
 
     ``keyed`` is stored, which computes it once and tells its size. Up to
     ``broadcast_bytes`` it is broadcast and ``df`` is not shuffled. Beyond that
-    both sides are shuffled by station and salt: the rows of ``df`` are spread
-    over ``salts`` values, each row of ``keyed`` is repeated for all of them, so
-    a hot station is shared by ``salts`` tasks.
+    both sides are shuffled by station and salt. The rows of a hot station are
+    spread over ``salts`` values and its row in ``keyed`` is repeated for each,
+    so that many tasks share it; all other rows have salt 0.
 
     The salt follows the position of a row in its partition, or the hash of
     ``salt_on``. Without ``salt_on``, ``df`` must come from a scan without a
@@ -63,9 +73,21 @@ def join_on_station(
     keyed = store(keyed, "keyed")
     if _stored_bytes(keyed) <= broadcast_bytes:
         return df.join(F.broadcast(keyed), STATION, how)
+    hot = F.broadcast(hot_stations(df))
     place = F.monotonically_increasing_id() if salt_on is None else F.xxhash64(salt_on)
-    salted = df.withColumn("_salt", F.pmod(place, F.lit(salts)).cast("int"))
-    repeated = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = F.pmod(place, F.lit(salts)).cast("int")
+    salted = (
+        df.withColumn("_salt", spread)
+        .join(hot, STATION, "left")
+        .withColumn("_salt", F.when(F.col("_hot"), F.col("_salt")).otherwise(0))
+        .drop("_hot")
+    )
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    repeated = (
+        keyed.join(hot, STATION, "left")
+        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
+        .drop("_hot")
+    )
     return salted.join(repeated, [STATION, "_salt"], how).drop("_salt")
 
 

@@ -295,10 +295,11 @@ def report_string_trailing(spark, sf_dir):
 
 
 def _streamed(spark, rows, mode):
-    # One file per core of the cluster, taken in about four batches.
-    files = max(4, spark.sparkContext.defaultParallelism)
-    path = as_text(rows.repartition(files))
-    stats = incremental.incremental_stats(spark, path, SCALE, max_files=-(-files // 4))
+    # A few batches at any size: files of at most a quarter of the rows each,
+    # and about a quarter of the bytes in a batch.
+    path = as_text(rows, rows_per_file=rows.count() // 4 + 1)
+    quarter = delimited.input_bytes(spark, path) // 4 + 1
+    stats = incremental.incremental_stats(spark, path, SCALE, max_bytes=quarter)
     out = new_path(spark, "stream-out")
     incremental.run_available(stats, out, new_path(spark, "stream-checkpoint"), mode)
     return summary.rounded(incremental.latest_stats(spark, out))

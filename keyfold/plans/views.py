@@ -53,8 +53,8 @@ def by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(table(spark, sf_dir, "lineitem"), part, "l_extendedprice", F.col("l_linenumber"))
 
 
-def as_text(df: DataFrame) -> str:
+def as_text(df: DataFrame, rows_per_file: int = 0) -> str:
     """Write the measurements as ``station;temp`` text and return where."""
     path = new_path(df.sparkSession, "text")
-    write_lines(df, path, SCALE)
+    write_lines(df, path, SCALE, rows_per_file=rows_per_file)
     return path

@@ -30,6 +30,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "keyfol
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", partitions)
+        # Lets a file of a few megabytes be read by all cores.
+        .config("spark.sql.files.openCostInBytes", "1m")
     )
     for name, value in RECOMMENDED.items():
         builder = builder.config(name, value)

@@ -160,8 +160,23 @@ def input_bytes(spark: SparkSession, path: str | Sequence[str]) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
+_SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
+
+
+def _split_bytes(spark: SparkSession) -> int:
+    """The setting in bytes; it may be written with a unit."""
+    text = spark.conf.get(_SPLIT_BYTES).strip().lower().removesuffix("b")
+    units = {"k": 10, "m": 20, "g": 30, "t": 40}
+    shift = units.get(text[-1], 0)
+    return int(text.rstrip("kmgt")) << shift
+
+
 def session_for_chunks(spark: SparkSession, path: str | Sequence[str], num_chunks: int) -> SparkSession:
-    """A session like ``spark`` whose scans of ``path`` have about ``num_chunks`` splits."""
+    """A session like ``spark`` whose scans of ``path`` have at least about ``num_chunks`` splits.
+
+    Splits never get larger than they are in ``spark``: of a very large input
+    there are more of them than asked for.
+    """
     if num_chunks < 1:
         raise ValueError("num_chunks must be at least 1")
     session = spark.newSession()
@@ -169,9 +184,10 @@ def session_for_chunks(spark: SparkSession, path: str | Sequence[str], num_chunk
         if session.conf.isModifiable(name):
             session.conf.set(name, value)
     size = max(1, math.ceil(input_bytes(spark, path) / num_chunks))
-    session.conf.set("spark.sql.files.maxPartitionBytes", str(size))
-    # The other bounds on a split would make it smaller than asked for.
-    session.conf.set("spark.sql.files.openCostInBytes", str(size))
+    size = min(size, _split_bytes(spark))
+    session.conf.set(_SPLIT_BYTES, f"{size}b")
+    # Otherwise Spark aims at one split per core and makes them smaller.
+    session.conf.set("spark.sql.files.openCostInBytes", f"{size}b")
     return session
 
 
@@ -187,6 +203,9 @@ def scan_chunks(
     return parse_lines(session.read.text(path).select(split.alias("chunk"), "value"), sep)
 
 
-def write_lines(df: DataFrame, path: str, scale: int, sep: str = SEP) -> None:
-    """Write ``station;temp`` text, the form the scans read."""
-    df.select(join_fields(F.col(STATION), F.col(TEMP), scale, sep).alias("value")).write.text(path)
+def write_lines(
+    df: DataFrame, path: str, scale: int, sep: str = SEP, rows_per_file: int = 0
+) -> None:
+    """Write ``station;temp`` text, the form the scans read. 0 is no limit to a file."""
+    line = join_fields(F.col(STATION), F.col(TEMP), scale, sep)
+    df.select(line.alias("value")).write.option("maxRecordsPerFile", rows_per_file).text(path)

@@ -14,12 +14,21 @@ from ..sources.delimited import parse_lines
 
 
 def incremental_stats(
-    spark: SparkSession, path: str, scale: int | None = 1, max_files: int | None = None
+    spark: SparkSession,
+    path: str,
+    scale: int | None = 1,
+    max_files: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """Streaming ``station, t_min, t_mean, t_max`` over the text files of a folder."""
+    """Streaming ``station, t_min, t_mean, t_max`` over the text files of a folder.
+
+    ``max_files`` or ``max_bytes`` bounds a batch.
+    """
     reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return station_stats(parse_lines(reader.text(path)), scale)
 
 

@@ -25,6 +25,7 @@ from keyfold import (
     union_tables,
     write_report_lines,
 )
+from keyfold.operators.keys import hot_stations
 from keyfold.operators.numbering import number_rows
 
 BOTH_WAYS = [{}, {"broadcast_bytes": 0, "salts": 5}, {"broadcast_bytes": 0, "salts": 3, "salt_on": "chunk"}]
@@ -105,6 +106,15 @@ def test_a_hot_station_is_spread_over_the_salts(spark, skewed):
     assert len(per_task) > 1
 
 
+def test_hot_stations_are_few(measurements):
+    rows = [(0, f"S{i % 50}", 1.0) for i in range(500)] + [(0, "hot", 1.0)] * 400
+    df = measurements(rows)
+    assert [r.station for r in hot_stations(df, share=3).collect()] == ["hot"]
+    for share in (2, 10, 100):
+        assert hot_stations(df, share).count() < share
+    assert hot_stations(df.limit(0)).count() == 0
+
+
 def test_sets_of_stations(measurements):
     one = measurements([(0, "A", 1.0), (0, "A", 1.0), (0, "B", 2.0)])
     two = measurements([(1, "B", 3.0), (1, "C", 4.0)])

@@ -16,7 +16,7 @@ from keyfold import (
     station_summary,
     write_lines,
 )
-from keyfold.sources.delimited import input_bytes
+from keyfold.sources.delimited import input_bytes, session_for_chunks
 
 SCANS = [scan_delimited, scan_lines, scan_late_cast]
 
@@ -179,6 +179,18 @@ def test_chunk_hint_leaves_the_session_alone(spark, text_file):
         scan_chunks(spark, text_file("A;1.0\n"), 0)
 
 
+@pytest.mark.parametrize("setting, size", [("134217728", 1 << 27), ("128MB", 1 << 27), ("64k", 1 << 16), ("7b", 7)])
+def test_chunks_are_no_larger_than_the_session_allows(spark, text_file, setting, size):
+    name = "spark.sql.files.maxPartitionBytes"
+    path = text_file("A;1.0\n" * 50)
+    spark.conf.set(name, setting)
+    try:
+        session = session_for_chunks(spark, path, 1)
+    finally:
+        spark.conf.unset(name)
+    assert session.conf.get(name) == f"{min(300, size)}b"
+
+
 def test_written_lines_read_back(spark, measurements, tmp_path):
     rows = [(0, "Zürich", -0.1), (0, "A", 99.9), (1, "big", 12345678.9), (1, "A", 0.0)]
     df = measurements(rows)
