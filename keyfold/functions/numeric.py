@@ -77,16 +77,25 @@ def exact_mean(value: Column, scale: int | None) -> Column:
     return exact_sum(value, scale).cast("double") / F.count(value)
 
 
+def _scaled_and_rounded(value: Column, digits: int) -> Column:
+    unit = float(10**digits)
+    return F.rint(value * unit) / unit
+
+
 def round_half_even(value: Column, digits: int = 1) -> Column:
-    """Nearest, ties to even: 0.25 becomes 0.2 and 0.35 becomes 0.4."""
-    return F.bround(value, digits)
+    """Nearest, ties to even: 0.25 becomes 0.2 and 0.35 becomes 0.4.
+
+    A tie is one of the scaled value, as in ``rint(10 * x) / 10``. ``bround`` takes
+    the decimal text of the value instead, so that a mean of exactly 52731.45
+    that was computed as 52731.450000000004 is no tie for it.
+    """
+    # Adding zero turns -0.0 into 0.0.
+    return _scaled_and_rounded(value, digits) + F.lit(0.0)
 
 
 def format_rounded(value: Column, digits: int = 1) -> Column:
     """Text of the rounded value. The sign stays when it rounds to zero: ``-0.0``."""
-    rounded = F.abs(round_half_even(value, digits))
-    text = F.format_string(f"%.{digits}f", rounded)
-    return F.when(value < 0, F.concat(F.lit("-"), text)).otherwise(text)
+    return F.format_string(f"%.{digits}f", _scaled_and_rounded(value, digits))
 
 
 def whole_part(number: Column, by: int) -> Column:

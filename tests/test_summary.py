@@ -4,6 +4,7 @@ import random
 from decimal import Decimal
 from fractions import Fraction
 
+import duckdb
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -137,6 +138,29 @@ def test_ties_go_to_even(spark, value, wanted):
     assert spark.range(1).select(round_half_even(F.lit(value))).first()[0] == wanted
 
 
+def test_a_tie_is_one_of_the_scaled_value(measurements):
+    # 1476480.60 / 28 is 52731.45, but not so in doubles.
+    rows = [(0, "A", 52731.45)] * 26 + [(0, "A", 52731.44), (0, "A", 52731.46)]
+    df = measurements(rows)
+    assert station_stats(df, scale=2).first().t_mean == 52731.450000000004
+    assert station_summary(df, scale=2).first().t_mean == 52731.4
+
+
+def test_rounding_matches_the_sql_engine(spark):
+    pick = random.Random(3)
+    values = [pick.randrange(-(10**7), 10**7) / 100 / pick.randrange(1, 60) for _ in range(5000)]
+    values += [k / 100 for k in range(-3005, 3006, 10)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (i INTEGER, v DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(values)))
+    wanted = con.execute(
+        "SELECT round_even(v, 1) + 0.0, printf('%.1f', round_even(v, 1)) FROM t ORDER BY i"
+    ).fetchall()
+    df = spark.createDataFrame(list(enumerate(values)), "i INT, v DOUBLE")
+    found = df.orderBy("i").select(round_half_even(F.col("v")), format_rounded(F.col("v"))).collect()
+    assert list(map(tuple, found)) == wanted
+
+
 @pytest.mark.parametrize(
     "value, wanted",
     [(-0.04, "-0.0"), (0.04, "0.0"), (0.0, "0.0"), (-0.05, "-0.0"), (-0.06, "-0.1"), (99.9, "99.9"), (-1.25, "-1.2")],
