@@ -7,6 +7,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    NumericType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from ..schema import STATION
 from ..storage import store
@@ -35,11 +43,18 @@ def filter_station(df: DataFrame, station: str) -> DataFrame:
     return df.filter(F.col(STATION) == station)
 
 
+_FIXED_WIDTH = (BooleanType, NumericType, DateType, TimestampType, TimestampNTZType)
+
+
 def _stored_bytes(df: DataFrame) -> int:
     """Upper estimate of what a broadcast of ``df`` holds in memory."""
     size = F.lit(64)
-    for name, kind in df.dtypes:
-        size = size + (F.coalesce(F.octet_length(name), F.lit(0)) if kind == "string" else F.lit(32))
+    for field in df.schema:
+        if isinstance(field.dataType, _FIXED_WIDTH):
+            size = size + 32
+        else:
+            text = F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0))
+            size = size + text * (1 if isinstance(field.dataType, StringType) else 4)
     return df.agg(F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()[0]
 
 
@@ -67,8 +82,10 @@ def join_on_station(
     so that many tasks share it; all other rows have salt 0.
 
     The salt follows the position of a row in its partition, or the hash of
-    ``salt_on``. Without ``salt_on``, ``df`` must come from a scan without a
-    shuffle, so that a task run twice places its rows alike.
+    ``salt_on``. Without ``salt_on``, ``df`` should come from a scan or a stored
+    table, so that a task run twice places its rows alike. No salt is used for
+    the rows of stations that are not hot, such as all of a table with one row
+    per station.
     """
     keyed = store(keyed, "keyed")
     if _stored_bytes(keyed) <= broadcast_bytes:
@@ -107,5 +124,5 @@ def keys_join_partials(keys: DataFrame, partials: DataFrame, **how_to_join) -> D
 
 
 def lookup(names: DataFrame, result: DataFrame, **how_to_join) -> DataFrame:
-    """The row of ``result`` for each name, sorted by name."""
-    return join_on_station(names, result, "inner", **how_to_join).orderBy(STATION)
+    """The row of ``result`` for each different name, sorted by name."""
+    return join_on_station(distinct_stations(names), result, "inner", **how_to_join).orderBy(STATION)

@@ -24,14 +24,18 @@ def number_chunks(df: DataFrame, row_number: str, rows: int = ROWS_PER_CHUNK) ->
 
 
 def group_to_list(df: DataFrame, chunk: str = CHUNK) -> DataFrame:
-    """``station, chunk, temps``: the sorted values of a station in one chunk."""
+    """``station, chunk, temps``: the sorted values of a station in one chunk.
+
+    The chunk bounds a list. It should come from ``number_chunks``, or from
+    ``scan_chunks`` with splits of a size that suits one row.
+    """
     return df.groupBy(STATION, chunk).agg(F.sort_array(F.collect_list(TEMP)).alias("temps"))
 
 
 def merge_lists(lists: DataFrame, fan_in: int = 8, chunk: str = CHUNK) -> DataFrame:
     """Concatenate the lists of ``fan_in`` consecutive chunks per station.
 
-    The longest list grows by at most ``fan_in`` times.
+    Chunks are numbers here. The longest list grows by at most ``fan_in`` times.
     """
     wider = whole_part(F.col(chunk), fan_in)
     return (

@@ -47,16 +47,23 @@ def chunk_summary(df: DataFrame, scale: int | None = 1, chunk: str = CHUNK) -> D
 MEAN_SCALE = 12
 
 
-def mean_of_means(summaries: DataFrame, digits: int | None = 1) -> DataFrame:
+def mean_of_means(
+    summaries: DataFrame, digits: int | None = 1, exact: bool = True
+) -> DataFrame:
     """Merge chunk summaries giving every chunk the same weight.
 
     Differs from the true mean when a station's count differs between chunks.
-    Only the mean is rounded.
+    Only the mean is rounded. ``exact=False`` goes with ``scale=None``: means of
+    any size, summed as doubles.
     """
-    total = F.sum(F.col("temp_mean").cast(f"decimal(28,{MEAN_SCALE})"))
+    if exact:
+        total = F.sum(F.col("temp_mean").cast(f"decimal(28,{MEAN_SCALE})"))
+        mean = total.cast("double") / F.count("temp_mean")
+    else:
+        mean = F.avg("temp_mean")
     merged = summaries.groupBy(STATION).agg(
         F.min("temp_minimum").alias("t_min"),
-        (total.cast("double") / F.count("temp_mean")).alias("t_mean"),
+        mean.alias("t_mean"),
         F.max("temp_maximum").alias("t_max"),
     )
     return merged if digits is None else rounded(merged, digits, ["t_mean"])

@@ -29,4 +29,5 @@ def chunk_mean_report(
     These means depend on where the input is cut.
     """
     chunks = chunk_summary(scan_chunks(spark, path, num_chunks), scale)
-    return report_string(mean_of_means(chunks, digits=None), trailing_sep=trailing_sep)
+    means = mean_of_means(chunks, digits=None, exact=scale is not None)
+    return report_string(means, trailing_sep=trailing_sep)

@@ -1,6 +1,8 @@
 """Scans of hand-made files: what is read, and what fails."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from keyfold import (
     build_schema,
@@ -201,6 +203,18 @@ def test_written_lines_read_back(spark, measurements, tmp_path):
         assert sorted(map(tuple, scan(spark, path).collect())) == wanted
 
 
+names = st.text(st.characters(exclude_characters=";\n\r", exclude_categories=["Cs"]), max_size=12)
+tenths = st.integers(-999, 999).map(lambda n: n / 10)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(names, tenths), min_size=1, max_size=20))
+def test_any_name_comes_through(spark, rows):
+    df = spark.createDataFrame([(f"{name};{temp}",) for name, temp in rows], "value STRING")
+    assert sorted(map(tuple, parse_lines(df).collect())) == sorted(rows)
+    assert rejected_lines(df).count() == 0
+
+
 def test_parse_lines_keeps_other_columns(spark):
     df = spark.createDataFrame([(7, "A;1.5")], "id INT, value STRING")
     assert parse_lines(df).first() == (7, "A", 1.5)

@@ -109,6 +109,17 @@ def test_mean_of_means_is_unweighted(measurements):
     assert mean_of_means(chunk_summary(df)).first() == ("A", 0.0, 10.0, 30.0)
 
 
+@pytest.mark.parametrize("size", [1.0, 1e20])
+def test_plain_doubles_may_be_of_any_size(measurements, size):
+    df = measurements([(0, "A", size), (0, "A", 3 * size), (1, "A", 0.0)])
+    chunks = chunk_summary(df, scale=None)
+    assert mean_of_means(chunks, digits=None, exact=False).first() == ("A", 0.0, size, 3 * size)
+    wanted = ("A", 0.0, 4 * size / 3, 3 * size)
+    assert station_stats(df, scale=None).first() == wanted
+    assert merge_state(partial_state(df, scale=None), digits=None).first() == wanted
+    assert list_summary(group_to_list(df), scale=None, digits=None).first() == wanted
+
+
 def test_mean_of_means_of_equal_chunks_is_the_mean(measurements):
     df = measurements([(0, "A", 10.0), (0, "A", 20.0), (1, "A", 30.0), (1, "A", 40.0)])
     assert station_summary(df).first().t_mean == 25.0
