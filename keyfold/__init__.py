@@ -23,7 +23,7 @@ from .operators.summary import (
     summarize,
     table_shape,
 )
-from .plans.challenge import chunk_mean_report, station_report
+from .plans.from_text import chunk_mean_report, station_report
 from .schema import build_schema
 from .sources.delimited import (
     parse_lines,

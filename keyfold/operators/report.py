@@ -19,7 +19,7 @@ ENTRIES_PER_MAP = 10_000
 
 
 def report_lines(stats: DataFrame, digits: int = 1) -> DataFrame:
-    """``station, line``, a line being ``Abha=5.0/18.0/27.4``."""
+    """``station, line``, a line being ``Oslo=-3.1/4.2/21.0``."""
     numbers = F.concat_ws("/", *[format_rounded(F.col(c), digits) for c in RESULT])
     return stats.select(STATION, F.concat(F.col(STATION), F.lit("="), numbers).alias("line"))
 
