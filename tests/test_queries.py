@@ -6,13 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from keyfold.plans.oracle import ORACLE
+from keyfold.plans.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
 
 
 def canonical(rows, columns):
@@ -27,6 +27,8 @@ def canonical(rows, columns):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
