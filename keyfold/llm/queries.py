@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, urls
+from . import bpe, mixing, quality, tokencount, urls
 from .common import table
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+TOKEN_LIMIT = 2048
 URL_RULES = [
     urls.Rule("block", "net", "/"),
     urls.Rule("allow", "example.net", "/en/"),
@@ -36,6 +39,24 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "copies")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return tokencount.token_counts(docs, TOKENIZER, TOKEN_LIMIT, keep=["doc_id"])
+
+
+def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = bpe.build_lexicon(docs, TOKENIZER)
+    encoded = bpe.encode_documents(docs, TOKENIZER, lexicon, keep=["doc_id"], decoded=True)
+    digest = lambda text: F.sha2(text, 256)
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        digest(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated, _ = quality.rate_documents(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return rated.select(
@@ -43,4 +64,4 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_mix_sources, op7_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_mix_sources, op3_token_counts, op6_bpe_round_trip, op7_quality_rules)}
