@@ -16,12 +16,16 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..storage import new_path
 from .lexicon import Lexicon, compile_lexicon
 from .tokencount import batches_of
 from .wordbpe import Memo, model, normalise, words
 
+ENCODED = StructType(
+    [StructField("n_tokens", LongType()), StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())]
+)
 # Words in the lexicon: what bounds the file and the table that reaches the driver.
 LEXICON_WORDS = 1 << 16
 # A longer word is not frequent enough to earn its bytes.
@@ -100,12 +104,10 @@ def encode_documents(
     long; rows keep their number. ``keep`` names the columns to return, all unless
     given; columns of the new names are replaced.
     """
-    made = ["n_tokens", "ids", *["decoded"] * decoded]
+    made = ENCODED.names if decoded else ENCODED.names[:-1]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in made]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.col(text).alias("text"))
-    schema = rows.select("doc").schema
-    for name, kind in zip(made, ("bigint", "array<int>", "string"), strict=False):
-        schema = schema.add(name, kind)
+    schema = StructType([*rows.select("doc").schema, *[f for f in ENCODED if f.name in made]])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, lexicon)
@@ -125,7 +127,7 @@ def decode_documents(encoded: DataFrame, path: str, ids: str = "ids") -> DataFra
     """``encoded`` with ``decoded``, the text of its ids; null ids count as none."""
     kept = [c for c in encoded.columns if c != "decoded"]
     rows = encoded.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(ids).alias("ids"))
-    schema = rows.select("row").schema.add("decoded", "string")
+    schema = rows.select("row").schema.add("decoded", StringType())
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model(path)

@@ -17,10 +17,20 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from .wordbpe import END, Memo, WordBpe, model, pieces, word_starts, words
 
 BATCH_CHARS = 4 << 20
+COUNTED = StructType(
+    [
+        StructField("n_bytes", LongType()),
+        StructField("n_tokens", LongType()),
+        StructField("over_limit", BooleanType()),
+        StructField("limit_chars", LongType()),
+        StructField("prefix_tokens", ArrayType(IntegerType())),
+    ]
+)
 
 
 class PrefixCounter:
@@ -202,12 +212,10 @@ def token_counts(
     counted, however long. ``keep`` names the columns to return, all unless given;
     columns of the new names are replaced. Repeated rows are counted each.
     """
-    made = ("n_bytes", "n_tokens", "over_limit", "limit_chars", "prefix_tokens")
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in made]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in COUNTED.names]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.col(text).alias("text"))
     schema = rows.select("doc").schema
-    for name, kind in zip(made[: 5 if prefixes else 4], ("bigint", "bigint", "boolean", "bigint", "array<int>"), strict=False):
-        schema = schema.add(name, kind)
+    schema = StructType([*schema, *[f for f in COUNTED if prefixes or f.name != "prefix_tokens"]])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(path)
