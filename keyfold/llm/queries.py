@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, tokencount, urls
+from . import bpe, htmltext, mixing, quality, tokencount, urls
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -64,4 +64,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_mix_sources, op3_token_counts, op6_bpe_round_trip, op7_quality_rules)}
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_mix_sources, op3_token_counts, op6_bpe_round_trip, op7_quality_rules, op8_html_text)}
