@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, htmltext, mixing, quality, tokencount, urls
+from . import bpe, htmltext, licenses, mixing, quality, tokencount, urls
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -44,6 +44,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(docs, TOKENIZER, TOKEN_LIMIT, keep=["doc_id"])
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.scan_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return scanned.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", F.size("detections").alias("n_detections")
+    )
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lexicon = bpe.build_lexicon(docs, TOKENIZER)
@@ -68,4 +75,4 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_mix_sources, op3_token_counts, op6_bpe_round_trip, op7_quality_rules, op8_html_text)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_mix_sources, op3_token_counts, op4_license_scan, op6_bpe_round_trip, op7_quality_rules, op8_html_text)}
