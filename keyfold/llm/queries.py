@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, htmltext, licenses, mixing, quality, tokencount, urls
+from . import bpe, htmltext, licenses, mixing, neardup, quality, tokencount, urls, vectordup
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -51,6 +51,10 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "component_id", "kept")
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lexicon = bpe.build_lexicon(docs, TOKENIZER)
@@ -75,4 +79,21 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_mix_sources, op3_token_counts, op4_license_scan, op6_bpe_round_trip, op7_quality_rules, op8_html_text)}
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectordup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_url_filter,
+        op2_mix_sources,
+        op3_token_counts,
+        op4_license_scan,
+        op5_near_duplicates,
+        op6_bpe_round_trip,
+        op7_quality_rules,
+        op8_html_text,
+        op9_near_vectors,
+    )
+}
