@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, htmltext, licenses, mixing, neardup, quality, tokencount, urls, vectordup
+from . import bpe, htmltext, licenses, lmscore, mixing, neardup, quality, tokencount, urls, vectordup
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -83,6 +83,12 @@ def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectordup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lmscore.fit_models(docs, lmscore.good_documents(table(spark, sf_dir, "labels")))
+    return lmscore.score_documents(docs, model, keep=["doc_id"])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -95,5 +101,6 @@ QUERIES = {
         op7_quality_rules,
         op8_html_text,
         op9_near_vectors,
+        op10_lm_score,
     )
 }
