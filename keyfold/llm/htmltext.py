@@ -202,16 +202,13 @@ def _first_pass(block: Block, has_article: bool) -> bool | None:
     size = len(block.text)
     words = block.text.split()
     stops = sum(w.strip(".,;:!?()\"'").lower() in _STOP for w in words) / len(words)
-    dense = block.linked > MOST_LINKED * size
-    if size >= LONG and stops >= MANY_STOPS and not dense:
-        return True
-    if dense:
+    if block.linked > MOST_LINKED * size:
         return False
     if size < SHORT:
         return None
-    if size >= LONG:
-        return True if stops >= FEW_STOPS else False
-    return None if stops >= FEW_STOPS else False
+    if stops >= MANY_STOPS or (size >= LONG and stops >= FEW_STOPS):
+        return True
+    return None if size < LONG and stops >= FEW_STOPS else False
 
 
 def main_blocks(page: str) -> list[str]:

@@ -42,9 +42,9 @@ NAMES = (
     ("gpl-2", "gpl", "(?:gnu )?(?:gplv2|gpl v2|gpl version 2)", "gplv2"),
     ("gpl-3", "gpl", "(?:gnu )?(?:gplv3|gpl v3|gpl version 3)", "gplv3"),
     ("gpl", "gpl", "gnu gpl", "gpl"),
-    ("lgpl-2", "lesser", "gnu (?:lesser|library) general public license(?: as published by the free software foundation)?(?: either)?(?: version| v) ?2(?: [01])?", "lgpl 2 [01](?: only| or later)?"),
+    ("lgpl-2", "general", "gnu (?:lesser|library) general public license(?: as published by the free software foundation)?(?: either)?(?: version| v) ?2(?: [01])?", "lgpl 2 [01](?: only| or later)?"),
     ("lgpl-3", "lesser", "gnu lesser general public license(?: as published by the free software foundation)?(?: either)?(?: version| v) ?3(?: 0)?", "lgpl 3 0(?: only| or later)?"),
-    ("lgpl", "lesser", "(?:gnu )?(?:lesser|library) general public license", "lgpl"),
+    ("lgpl", "general", "(?:gnu )?(?:lesser|library) general public license", "lgpl"),
     ("lgpl", "lgpl", "gnu lgpl", "lgpl"),
     ("agpl-3", "affero", "gnu affero general public license(?: version| v) ?3(?: 0)?", "agpl 3 0(?: only| or later)?"),
     ("agpl", "affero", "(?:gnu )?affero general public license", "agpl"),
@@ -54,7 +54,8 @@ NAMES = (
     ("mpl", "mozilla", "mozilla public license", "mpl"),
     ("epl-2", "eclipse", "eclipse public license(?: version| v)? ?2(?: 0)?", "epl 2 0"),
     ("epl-1", "eclipse", "eclipse public license(?: version| v)? ?1(?: 0)?", "epl 1 0"),
-    ("cddl", "cddl", "(?:common development and distribution license|cddl)(?: version)?(?: 1(?: [01])?)?", "cddl 1 [01]"),
+    ("cddl", "distribution", "common development and distribution license(?: version)?(?: 1(?: [01])?)?", "cddl 1 [01]"),
+    ("cddl", "cddl", "cddl(?: version)?(?: 1(?: [01])?)?", "cddl"),
     ("cpl", "common", "common public license(?: version)?(?: 1(?: 0)?)?", "cpl 1 0"),
     ("eupl", "european", "european union public licen[cs]e(?: version)?(?: 1(?: [012])?)?", "eupl 1 [012]"),
     ("artistic-2", "artistic", "artistic license(?: version)? 2(?: 0)?", "artistic 2 0"),

@@ -1,0 +1,119 @@
+"""Token counts, encoding and decoding against the tokenizers library."""
+
+import random
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from keyfold.llm import bpe, tokencount
+from keyfold.llm.lexicon import Lexicon, compile_lexicon
+from keyfold.llm.wordbpe import WordBpe, words
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+ALPHABET = "abcthe rning'sd! 1é<|endoftext|>\n\t.,ßΣ"
+_rng = random.Random(1)
+TEXTS = [
+    None,
+    "",
+    "   ",
+    "don't we'll x'sabc 'r 're ''s !'s !<|endoftext|>x a<|endo",
+    "a<|startoftext|>b <|endoftext|>",
+    "ΑΣ ΟΔΟΣ İ é é ﬁ ǅ ẞ ŉ K Å",
+    "\x85x\x1cy​z᠎q\xa0w k",
+    "123 4567 x9y 日本語 한국어 😀😀 👩‍👩‍👧",
+    "a" * 3000 + "!?" * 500 + " " + "thereinafter" * 300,
+    *["".join(_rng.choice(ALPHABET) for _ in range(_rng.randint(1, 120))) for _ in range(200)],
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, 5) for i, t in enumerate([*TEXTS, *TEXTS[:20]])] + [(None, "x y", 5)]
+    return spark.createDataFrame(rows, "doc_id BIGINT, text STRING, n_tokens INT")
+
+
+def encode(library, text):
+    return library.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("with_lexicon", [True, False])
+def test_round_trip_equals_the_library(docs, library, with_lexicon):
+    lexicon = bpe.build_lexicon(docs, PATH, most=50) if with_lexicon else None
+    rows = bpe.encode_documents(docs, PATH, lexicon, decoded=True).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        ids = encode(library, r.text)
+        assert r.ids == ids and r.n_tokens == len(ids)
+        assert r.decoded == library.decode(ids, skip_special_tokens=False)
+
+
+def test_decoding_alone(docs, library):
+    encoded = bpe.encode_documents(docs, PATH, keep=["doc_id"])
+    for r in bpe.decode_documents(encoded, PATH).collect():
+        assert r.decoded == library.decode(r.ids, skip_special_tokens=False)
+
+
+def test_counts_and_prefixes_equal_the_library(docs, library):
+    rows = tokencount.token_counts(docs, PATH, limit=10, prefixes=True).collect()
+    assert len(rows) == docs.count()
+    bpe_model = WordBpe(PATH)
+    for r in rows:
+        text = r.text or ""
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(text.encode()), len(encode(library, text)), len(encode(library, text)) > 10)
+        plain = "".join(s for s, _ in bpe_model.segments(text))
+        assert len(r.prefix_tokens) == len(plain) + 1
+        step = 1 if len(plain) < 200 else 211
+        for i in range(0, len(plain) + 1, step):
+            assert r.prefix_tokens[i] == len(encode(library, plain[:i])), (plain[:i], i)
+        assert r.limit_chars == max(i for i, n in enumerate(r.prefix_tokens) if n <= 10)
+
+
+def test_whole_table_counts(spark, sf_dir, library):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    wanted = {r.doc_id: len(encode(library, r.text)) for r in docs.collect()}
+    found = tokencount.token_counts(docs, PATH, 2048, keep=["doc_id"]).collect()
+    assert {r.doc_id: r.n_tokens for r in found} == wanted
+
+
+def test_long_words_merge_like_short_ones():
+    model, rng = WordBpe(PATH), random.Random(2)
+    for _ in range(50):
+        ids = model.symbols("".join(rng.choice("thereinagos") for _ in range(rng.randint(2, 40))))
+        assert model._merge_long(ids) == model.merge(ids)
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id BIGINT, text STRING")
+    assert tokencount.token_counts(docs, PATH, 5).count() == 0
+    assert bpe.encode_documents(docs, PATH, bpe.build_lexicon(docs, PATH)).count() == 0
+
+
+def test_words_are_cut_at_unicode_white_space():
+    assert words("a\x1cb c") == ["a\x1cb", "c"]
+
+
+def test_lexicon_is_minimal_and_exact(tmp_path):
+    rng = random.Random(4)
+    entries = {"".join(rng.choice("abé") for _ in range(rng.randint(1, 8))): [rng.randrange(99) for _ in range(rng.randint(0, 4))] for _ in range(2000)}
+    path = tmp_path / "lexicon"
+    path.write_bytes(compile_lexicon(entries.items()))
+    lexicon = Lexicon(str(path))
+    assert len(lexicon) == len(entries)
+    assert all(lexicon.find(w) == ids for w, ids in entries.items())
+    assert lexicon.find("") is None and lexicon.find("zzz") is None and lexicon.find(max(entries) + "a") is None
+    # As many states as there are different sets of endings.
+    encoded = [w.encode() for w in entries]
+    prefixes = {w[:i] for w in encoded for i in range(len(w) + 1)}
+    endings = {}
+    for w in encoded:
+        for i in range(len(w) + 1):
+            endings.setdefault(w[:i], set()).add(w[i:])
+    assert lexicon.states == len({frozenset(endings[p]) for p in prefixes})
+    with pytest.raises(ValueError, match="twice"):
+        compile_lexicon([("a", [1]), ("a", [2])])
