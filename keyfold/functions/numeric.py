@@ -51,21 +51,30 @@ def exact_sum(value: Column, scale: int | None) -> Column:
     if scale is None:
         return F.sum(value)
     whole = scaled_integer(value, scale)
-    high = F.sum(F.shiftright(whole, LIMB_BITS)).cast("decimal(20,0)")
-    low = F.sum(whole.bitwiseAND(F.lit(LIMB_SIZE - 1))).cast("decimal(20,0)")
-    return _unscaled(high * F.lit(Decimal(LIMB_SIZE)) + low, scale)
+    # try_sum is NULL where a plain sum would wrap around with ANSI mode off.
+    high = F.try_sum(F.shiftright(whole, LIMB_BITS)).cast("decimal(20,0)")
+    low = F.try_sum(whole.bitwiseAND(F.lit(LIMB_SIZE - 1))).cast("decimal(20,0)")
+    total = _unscaled(high * F.lit(Decimal(LIMB_SIZE)) + low, scale)
+    overflow = F.raise_error(F.lit("a sum is too large")).cast(f"decimal(38,{scale})")
+    return F.when(total.isNotNull() | (F.count(value) == 0), total).otherwise(overflow)
 
 
 def exact_list_sum(values: Column, scale: int | None) -> Column:
     """Sum of one array as ``DECIMAL(38, scale)``, or as DOUBLE without a scale."""
     if scale is None:
         return F.aggregate(values, F.lit(0.0), lambda total, v: total + v)
-    whole = F.aggregate(
-        values,
-        F.lit(Decimal(0)).cast("decimal(28,0)"),
-        lambda total, v: (total + scaled_integer(v, scale).cast("decimal(20,0)")).cast("decimal(28,0)"),
-    )
-    return _unscaled(whole, scale)
+    whole = F.transform(values, lambda v: scaled_integer(v, scale))
+    # Two sums of whole numbers, as above; a list is too short for either to overflow.
+    zero = F.lit(0).cast("bigint")
+    both = F.transform(
+        F.array(whole),
+        lambda w: F.struct(
+            F.aggregate(w, zero, lambda total, v: total + F.shiftright(v, LIMB_BITS)).alias("high"),
+            F.aggregate(w, zero, lambda total, v: total + v.bitwiseAND(F.lit(LIMB_SIZE - 1))).alias("low"),
+        ),
+    )[0]
+    high, low = (both[name].cast("decimal(20,0)") for name in ("high", "low"))
+    return _unscaled(high * F.lit(Decimal(LIMB_SIZE)) + low, scale)
 
 
 def _unscaled(whole: Column, scale: int) -> Column:
@@ -77,6 +86,11 @@ def exact_mean(value: Column, scale: int | None) -> Column:
     return exact_sum(value, scale).cast("double") / F.count(value)
 
 
+def one_zero(value: Column) -> Column:
+    """The value, with 0.0 for -0.0; else the least of both would depend on the order of the rows."""
+    return value + F.lit(0.0)
+
+
 def _scaled_and_rounded(value: Column, digits: int) -> Column:
     unit = float(10**digits)
     return F.rint(value * unit) / unit
@@ -89,8 +103,7 @@ def round_half_even(value: Column, digits: int = 1) -> Column:
     the decimal text of the value instead, so that a mean of exactly 52731.45
     that was computed as 52731.450000000004 is no tie for it.
     """
-    # Adding zero turns -0.0 into 0.0.
-    return _scaled_and_rounded(value, digits) + F.lit(0.0)
+    return one_zero(_scaled_and_rounded(value, digits))
 
 
 def format_rounded(value: Column, digits: int = 1) -> Column:
@@ -99,5 +112,6 @@ def format_rounded(value: Column, digits: int = 1) -> Column:
 
 
 def whole_part(number: Column, by: int) -> Column:
-    """Integer division; going through doubles would blur large row numbers."""
-    return F.call_function("div", number, F.lit(by).cast("bigint"))
+    """Integer division, down also below zero; going through doubles would blur large row numbers."""
+    divisor = F.lit(by).cast("bigint")
+    return F.call_function("div", number - F.pmod(number, divisor), divisor)

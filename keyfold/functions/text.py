@@ -24,15 +24,31 @@ def has_one_sep(line: Column, before: Column, after: Column, sep: str = SEP) ->
     return F.octet_length(before) + F.octet_length(after) + len(sep.encode()) == F.octet_length(line)
 
 
-def has_type_suffix(text: Column) -> Column:
-    """Whether a text ends like ``1.0d`` or ``1.0f``, which Java reads as numbers."""
-    return text.endswith("d") | text.endswith("D") | text.endswith("f") | text.endswith("F")
+# What Java trims from a number, and what makes a line blank.
+BLANKS = "".join(map(chr, range(33)))
+
+
+def is_java_number(text: Column) -> Column:
+    """Whether a text is of a form that only Java reads as a number: ``1.0d``, ``1.0f ``, ``0x1p3``."""
+    bare = F.btrim(text, F.lit(BLANKS))
+    suffix = bare.endswith("d") | bare.endswith("D") | bare.endswith("f") | bare.endswith("F")
+    return suffix | text.contains("x") | text.contains("X")
+
+
+def number_of(text: Column) -> Column:
+    """The number a text stands for, NULL for anything else. All scans read numbers so."""
+    return F.when(~is_java_number(text), text.try_cast("double"))
 
 
 def finite_number(text: Column) -> Column:
-    """The number a text stands for, NULL for anything else, NaN and infinities too."""
-    number = text.try_cast("double")
-    return F.when(is_finite(number) & ~has_type_suffix(text), number)
+    """``number_of``, with NULL for NaN and infinities too."""
+    number = number_of(text)
+    return F.when(is_finite(number), number)
+
+
+def is_blank(line: Column, sep: str = SEP) -> Column:
+    """Whether a line has nothing but white space. Lines with a separator are not searched."""
+    return (F.octet_length(line) == 0) | (~line.contains(sep) & (F.btrim(line, F.lit(BLANKS)) == ""))
 
 
 def is_finite(number: Column) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StringType
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
 
 from ..functions.text import (
     SEP,
@@ -19,10 +19,12 @@ from ..functions.text import (
     before_sep,
     finite_number,
     has_one_sep,
-    has_type_suffix,
+    is_blank,
     is_finite,
-    join_fields,
+    number_of,
+    number_text,
 )
+from ..functions.numeric import scaled_integer
 from ..schema import MEASUREMENT_NAMES, MEASUREMENT_TYPES, STATION, TEMP, build_schema
 
 
@@ -49,8 +51,7 @@ def _number_or_fail(text: Column, well_formed: Column, row: Column) -> Column:
     then keeps ``_only_finite`` above the projection, so that a row is parsed
     once and is parsed even if nothing else reads the number.
     """
-    number = F.when(well_formed & ~has_type_suffix(text), text.try_cast("double"))
-    return F.coalesce(number, _fail(row, F.lit("in"), F.input_file_name()).cast("double"))
+    return F.coalesce(F.when(well_formed, number_of(text)), _fail(row, F.lit("in"), F.input_file_name()).cast("double"))
 
 
 def _only_finite(df: DataFrame) -> DataFrame:
@@ -68,30 +69,47 @@ def scan_delimited(
 ) -> DataFrame:
     """Typed scan through the CSV reader, for any number of columns.
 
-    The reader rejects rows with too few or too many fields and bad numbers, but
-    only among the columns it reads, and it lets an empty number and NaN pass.
-    The filter reads every column and rejects those two.
+    Strict, every column is read as text, which makes the reader reject rows with
+    too few or too many fields, and is turned into its type after that. A filter on
+    the result does not get below that step, so it hides no bad row.
     """
     schema = build_schema(names, types)
+    if strict:
+        return _typed(_csv(spark, path, build_schema(names), sep), schema, sep)
     df = _csv(spark, path, schema, sep)
     # The reader has no empty text, only NULL.
     texts = [f.name for f in schema if isinstance(f.dataType, StringType)]
     for name in texts:
         df = df.withColumn(name, F.coalesce(F.col(name), F.lit("")))
-    if not strict:
-        return df
-    good = F.lit(True)
+    return df
+
+
+def _typed(raw: DataFrame, schema: StructType, sep: str) -> DataFrame:
+    """The text columns in their types; fails on what is not of its type.
+
+    A row is one struct, made in one expression that also says which file it came
+    from. The optimizer keeps filters above such an expression and cannot leave
+    parts of it out, so each row is checked whole.
+    """
+    names = schema.names
+    texts = {n: F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in names}
+    good, values = F.lit(True), []
     for field in schema:
-        column = F.col(field.name)
-        if field.name in texts:
-            good = good & (F.octet_length(column) >= 0)
-        elif isinstance(field.dataType, (DoubleType, FloatType)):
-            good = good & column.isNotNull() & is_finite(column)
+        text, kind = texts[field.name], field.dataType
+        if isinstance(kind, StringType):
+            value = text
+        elif isinstance(kind, (DoubleType, FloatType)):
+            value = number_of(text).cast(kind)
+            good = good & F.coalesce(is_finite(value), F.lit(False))
         else:
-            good = good & column.isNotNull()
-    row = F.concat_ws(sep, *[F.col(name).cast("string") for name in names])
-    failure = _fail(row).cast("boolean")
-    return df.filter(F.when(good, F.lit(True)).otherwise(failure))
+            value = text.try_cast(kind)
+            good = good & value.isNotNull()
+        values.append(value.alias(field.name))
+    row = F.concat_ws(sep, *texts.values())
+    failure = _fail(row, F.lit("in"), F.input_file_name()).cast("boolean")
+    checked = F.when(good, F.lit(True)).otherwise(failure)
+    whole = raw.select(F.struct(checked.alias("ok"), F.struct(*values).alias("row")).alias("_checked"))
+    return whole.filter("_checked.ok").select("_checked.row.*")
 
 
 def scan_late_cast(
@@ -114,7 +132,7 @@ def parse_lines(lines: DataFrame, sep: str = SEP, strict: bool = True) -> DataFr
     """
     line, raw = F.col("value"), F.col("_raw")
     rest = [c for c in lines.columns if c != "value"]
-    fields = lines.filter(F.octet_length(line) > 0).select(
+    fields = lines.filter(~is_blank(line, sep)).select(
         "*", before_sep(line, sep).alias(STATION), after_sep(line, sep).alias("_raw")
     )
     well_formed = has_one_sep(line, F.col(STATION), raw, sep)
@@ -143,7 +161,7 @@ def rejected_lines(lines: DataFrame, sep: str = SEP) -> DataFrame:
         .when(finite_number(raw).isNull(), "not a finite number")
     )
     return (
-        lines.filter(F.octet_length(line) > 0)
+        lines.filter(~is_blank(line, sep))
         .select(line.alias("line"), reason.alias("reason"))
         .filter(F.col("reason").isNotNull())
     )
@@ -155,17 +173,16 @@ def preview(df: DataFrame, n: int, order_by: str | Sequence[str] | None = None)
 
 
 def input_bytes(spark: SparkSession, path: str | Sequence[str]) -> int:
-    """Size of the input from the file listing; no content is read."""
-    files = spark.read.format("binaryFile").load(path).select("length")
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    """Size of the input from the file listing; no job runs and no content is read."""
+    return int(spark.read.text(path)._jdf.queryExecution().analyzed().stats().sizeInBytes())
 
 
-_SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
+_OPEN_BYTES = "spark.sql.files.openCostInBytes"
 
 
-def _split_bytes(spark: SparkSession) -> int:
-    """The setting in bytes; it may be written with a unit."""
-    text = spark.conf.get(_SPLIT_BYTES).strip().lower().removesuffix("b")
+def _bytes_of(spark: SparkSession, setting: str) -> int:
+    """A setting in bytes; it may be written with a unit."""
+    text = spark.conf.get(setting).strip().lower().removesuffix("b")
     units = {"k": 10, "m": 20, "g": 30, "t": 40}
     shift = units.get(text[-1], 0)
     return int(text.rstrip("kmgt")) << shift
@@ -175,7 +192,7 @@ def session_for_chunks(spark: SparkSession, path: str | Sequence[str], num_chunk
     """A session like ``spark`` whose scans of ``path`` have at least about ``num_chunks`` splits.
 
     Splits never get larger than they are in ``spark``: of a very large input
-    there are more of them than asked for.
+    there are more of them than asked for. Small files are packed together.
     """
     if num_chunks < 1:
         raise ValueError("num_chunks must be at least 1")
@@ -184,10 +201,10 @@ def session_for_chunks(spark: SparkSession, path: str | Sequence[str], num_chunk
         if session.conf.isModifiable(name):
             session.conf.set(name, value)
     size = max(1, math.ceil(input_bytes(spark, path) / num_chunks))
-    size = min(size, _split_bytes(spark))
-    session.conf.set(_SPLIT_BYTES, f"{size}b")
-    # Otherwise Spark aims at one split per core and makes them smaller.
-    session.conf.set("spark.sql.files.openCostInBytes", f"{size}b")
+    # Spark aims at so many splits, and packs small files together into one.
+    session.conf.set("spark.sql.files.minPartitionNum", str(num_chunks))
+    # What opening a file counts for keeps splits from getting smaller than that.
+    session.conf.set(_OPEN_BYTES, f"{min(size, _bytes_of(spark, _OPEN_BYTES))}b")
     return session
 
 
@@ -196,16 +213,25 @@ def scan_chunks(
 ) -> DataFrame:
     """``scan_lines`` with the hint ``num_chunks``, and the split each row came from.
 
-    ``chunk`` is the file and the byte at which the split starts.
+    ``chunk`` is the number of the split. A large file has many, small files share one.
     """
     session = session_for_chunks(spark, path, num_chunks)
-    split = F.concat_ws("@", F.input_file_name(), F.input_file_block_start())
+    split = F.spark_partition_id().cast("bigint")
     return parse_lines(session.read.text(path).select(split.alias("chunk"), "value"), sep)
 
 
 def write_lines(
     df: DataFrame, path: str, scale: int, sep: str = SEP, rows_per_file: int = 0
 ) -> None:
-    """Write ``station;temp`` text, the form the scans read. 0 is no limit to a file."""
-    line = join_fields(F.col(STATION), F.col(TEMP), scale, sep)
+    """Write ``station;temp`` text, the form the scans read. 0 is no limit to a file.
+
+    Fails on what would not come back: no station, one with a separator or line
+    end in it, no number, one that is not finite or has more than ``scale`` decimals.
+    """
+    name, temp = F.col(STATION), F.col(TEMP)
+    broken = name.contains(sep) | name.contains("\n") | name.contains("\r")
+    good = F.coalesce(~broken & is_finite(temp), F.lit(False))
+    text = F.concat(name, F.lit(sep), number_text(temp, scale))
+    line = F.when(good & scaled_integer(temp, scale).isNotNull(), text)
+    line = F.coalesce(line, _fail(F.lit("cannot be written:"), name, temp.cast("string")))
     df.select(line.alias("value")).write.option("maxRecordsPerFile", rows_per_file).text(path)

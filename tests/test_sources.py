@@ -190,7 +190,28 @@ def test_chunks_are_no_larger_than_the_session_allows(spark, text_file, setting,
         session = session_for_chunks(spark, path, 1)
     finally:
         spark.conf.unset(name)
-    assert session.conf.get(name) == f"{min(300, size)}b"
+    assert session.conf.get(name) == setting
+    assert session.read.text(path).rdd.getNumPartitions() == -(-300 // min(300, size))
+
+
+def test_small_files_share_chunks(spark, tmp_path):
+    for i in range(60):
+        (tmp_path / f"{i}.txt").write_text("A;1.0\n" * 100)
+    rows = scan_chunks(spark, str(tmp_path), 4)
+    assert rows.select("chunk").distinct().count() in (4, 5)
+    assert rows.count() == 6000
+
+
+def test_the_size_takes_no_job(spark, text_file):
+    path = text_file("A;1.0\n" * 50)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("size", "size")
+    try:
+        assert input_bytes(spark, path) == 300
+        session_for_chunks(spark, path, 3)
+        assert list(tracker.getJobIdsForGroup("size")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_written_lines_read_back(spark, measurements, tmp_path):
@@ -218,3 +239,50 @@ def test_any_name_comes_through(spark, rows):
 def test_parse_lines_keeps_other_columns(spark):
     df = spark.createDataFrame([(7, "A;1.5")], "id INT, value STRING")
     assert parse_lines(df).first() == (7, "A", 1.5)
+
+
+@pytest.mark.parametrize("row", [(0, None, 1.0), (0, "A", None), (0, "A", 1.25), (0, "A;B", 1.0), (0, "A\nB", 1.0), (0, "A", float("nan")), (0, "A", float("inf"))])
+def test_lines_that_would_not_come_back_are_not_written(measurements, tmp_path, row):
+    with pytest.raises(Exception, match="cannot be written|does not fit"):
+        write_lines(measurements([(0, "B", 2.0), row]), str(tmp_path / "out"), scale=1)
+
+
+BAD_NUMBERS = ["1.0d", "1.0d ", "1.0f", "0x1p3", "x", "", "NaN", "Infinity", "-inf"]
+FILTERS = ["temp > 5", "temp < 5", "station = 'A'", "true"]
+
+
+@pytest.mark.parametrize("number", BAD_NUMBERS)
+@pytest.mark.parametrize("scan", [scan_lines, scan_delimited, scan_late_cast])
+def test_no_filter_hides_a_bad_number(spark, text_file, scan, number):
+    path = text_file(f"A;1.0\nB;{number}\nC;9.0\n")
+    for condition in FILTERS:
+        with pytest.raises(Exception, match="bad row|not finite|MALFORMED|FAILED_READ"):
+            scan(spark, path).filter(condition).collect()
+    with pytest.raises(Exception, match="bad row|not finite|MALFORMED|FAILED_READ"):
+        scan(spark, path).count()
+
+
+@pytest.mark.parametrize("line", ["B", "B;2.0;3"])
+@pytest.mark.parametrize("scan", [scan_lines, scan_delimited, scan_late_cast])
+def test_no_filter_hides_a_bad_row(spark, text_file, scan, line):
+    path = text_file(f"A;1.0\n{line}\nC;9.0\n")
+    for condition in FILTERS:
+        with pytest.raises(Exception, match="bad row|MALFORMED|FAILED_READ"):
+            scan(spark, path).filter(condition).select("station").collect()
+
+
+def test_no_filter_hides_a_bad_third_column(spark, text_file):
+    path = text_file("A;1.0;3\nB;2.0;x\n")
+    df = scan_delimited(spark, path, ("station", "temp", "n"), {"temp": "DOUBLE", "n": "INT"})
+    assert df.schema.simpleString() == "struct<station:string,temp:double,n:int>"
+    for condition in ("n = 3", "temp > 5", "station = 'A'", "n IS NULL"):
+        with pytest.raises(Exception, match="bad row"):
+            df.filter(condition).select("station").collect()
+    with pytest.raises(Exception, match="bad row"):
+        df.count()
+
+
+@pytest.mark.parametrize("scan", [scan_lines, scan_delimited, scan_late_cast])
+def test_blank_lines_are_skipped_alike(spark, text_file, scan):
+    path = text_file("A;1.0\n\n   \n\t\nB; 2.0 \n")
+    assert sorted(map(tuple, scan(spark, path).collect())) == [("A", 1.0), ("B", 2.0)]
