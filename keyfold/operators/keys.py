@@ -20,10 +20,15 @@ from ..schema import STATION
 from ..storage import store
 
 BROADCAST_BYTES = 32 << 20
-SALTS = 64
-# A station is hot with more than one row in this many. So there are fewer hot
-# stations than this, however large the table.
-HOT_SHARE = 1000
+# A station with more rows than this is spread, so that no task gets many more.
+ROWS_PER_TASK = 4_000_000
+# Stations are counted on a sample of about so many bytes. The counts only choose
+# how rows are dealt out; all rows are joined whatever they say.
+COUNTED_BYTES = 4 << 30
+# The optimizer's word for a size it does not know is near the largest integer.
+UNKNOWN_BYTES = 1 << 60
+# Rows without a station meet nothing, so they may go anywhere.
+NULL_SALTS = 64
 
 
 def distinct_stations(df: DataFrame) -> DataFrame:
@@ -58,11 +63,37 @@ def _stored_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()[0]
 
 
-def hot_stations(df: DataFrame, share: int = HOT_SHARE) -> DataFrame:
-    """The stations with more than one in ``share`` of all rows: fewer than ``share``."""
-    counts = store(df.groupBy(STATION).agg(F.count(F.lit(1)).alias("n")), "counts")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return counts.filter(F.col("n") > total / share).select(STATION, F.lit(True).alias("_hot"))
+def estimated_bytes(df: DataFrame) -> int:
+    """What the optimizer takes for the size of ``df``; no job runs for it."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def station_salts(
+    df: DataFrame, rows_per_task: int = ROWS_PER_TASK, salts: int | None = None
+) -> DataFrame:
+    """``station, salts`` for each station of more than ``rows_per_task`` rows.
+
+    ``salts`` is about the rows over ``rows_per_task``, or as given. Only the
+    station is read, and of a large table only a sample of its rows counts.
+    """
+    stations = df.select(STATION).filter(F.col(STATION).isNotNull())
+    size = estimated_bytes(stations)
+    fraction = 1.0 if size >= UNKNOWN_BYTES else min(1.0, COUNTED_BYTES / max(1, size))
+    if fraction < 1:
+        stations = stations.sample(fraction, seed=1)
+    needed = F.ceil(F.count(F.lit(1)) / (fraction * rows_per_task))
+    counted = stations.groupBy(STATION).agg(needed.alias("_salts")).filter("_salts > 1")
+    given = F.col("_salts") if salts is None else F.lit(salts).cast("bigint")
+    return store(counted.select(STATION, given.alias("_salts")), "salts")
+
+
+_JOINS = {
+    "inner": "inner", "left": "left", "left_outer": "left", "leftouter": "left",
+    "left_semi": "left_semi", "leftsemi": "left_semi", "semi": "left_semi",
+    "left_anti": "left_anti", "leftanti": "left_anti", "anti": "left_anti",
+    "right": "right", "right_outer": "right", "rightouter": "right",
+    "outer": "full", "full": "full", "full_outer": "full", "fullouter": "full",
+}
 
 
 def join_on_station(
@@ -70,41 +101,51 @@ def join_on_station(
     keyed: DataFrame,
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
+    salts: int | None = None,
     salt_on: str | None = None,
 ) -> DataFrame:
-    """Join ``df`` to a table with one row per station.
+    """Join ``df`` to a table with one row per station; any type of join but cross.
 
     ``keyed`` is stored, which computes it once and tells its size. Up to
     ``broadcast_bytes`` it is broadcast and ``df`` is not shuffled. Beyond that
-    both sides are shuffled by station and salt. The rows of a hot station are
-    spread over ``salts`` values and its row in ``keyed`` is repeated for each,
-    so that many tasks share it; all other rows have salt 0.
-
-    The salt follows the position of a row in its partition, or the hash of
-    ``salt_on``. Without ``salt_on``, ``df`` should come from a scan or a stored
-    table, so that a task run twice places its rows alike. No salt is used for
-    the rows of stations that are not hot, such as all of a table with one row
-    per station.
+    both sides are shuffled by station and salt. A station of more than
+    ``rows_per_task`` rows gets as many salts as that takes (or ``salts``), its
+    row in ``keyed`` is repeated for each, and all others have salt 0.
+
+    The salt follows the hash of a row's columns, or of ``salt_on``, so a task run
+    twice places its rows alike. The salted join finds the rows of ``df`` with
+    their match; in a right or full join, the rows of ``keyed`` whose station
+    ``df`` does not have come from a step of their own. So the size decides how
+    rows move and not which come out.
     """
+    if how not in _JOINS:
+        raise ValueError(f"no join of type {how!r}; one of {sorted(set(_JOINS.values()))}")
+    how = _JOINS[how]
     keyed = store(keyed, "keyed")
     if _stored_bytes(keyed) <= broadcast_bytes:
         return df.join(F.broadcast(keyed), STATION, how)
-    hot = F.broadcast(hot_stations(df))
-    place = F.monotonically_increasing_id() if salt_on is None else F.xxhash64(salt_on)
-    spread = F.pmod(place, F.lit(salts)).cast("int")
+    if how in ("right", "full"):
+        joined = _salted_join(df, keyed, "inner" if how == "right" else "left", rows_per_task, salts, salt_on)
+        unmet = keyed.join(distinct_stations(df), STATION, "left_anti")
+        return joined.unionByName(unmet, allowMissingColumns=True)
+    return _salted_join(df, keyed, how, rows_per_task, salts, salt_on)
+
+
+def _salted_join(df, keyed, how, rows_per_task, salts, salt_on) -> DataFrame:
+    hot = station_salts(df, rows_per_task, salts)
+    if _stored_bytes(hot) <= BROADCAST_BYTES:
+        hot = F.broadcast(hot)
+    row = [salt_on] if salt_on else df.columns
+    spread = F.when(F.col(STATION).isNull(), NULL_SALTS).otherwise(F.coalesce("_salts", F.lit(1)))
     salted = (
-        df.withColumn("_salt", spread)
+        df.withColumn("_place", F.xxhash64(*row))
         .join(hot, STATION, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), F.col("_salt")).otherwise(0))
-        .drop("_hot")
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    repeated = (
-        keyed.join(hot, STATION, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
+        .withColumn("_salt", F.pmod("_place", spread).cast("int"))
+        .drop("_salts", "_place")
     )
+    every_salt = F.sequence(F.lit(0), (F.coalesce("_salts", F.lit(1)) - 1).cast("int"))
+    repeated = keyed.join(hot, STATION, "left").withColumn("_salt", F.explode(every_salt)).drop("_salts")
     return salted.join(repeated, [STATION, "_salt"], how).drop("_salt")
 
 

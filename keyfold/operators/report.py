@@ -6,6 +6,8 @@ to zero, which the rounded number no longer has.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,15 +20,29 @@ LINES_PER_PART = 100_000
 ENTRIES_PER_MAP = 10_000
 
 
-def report_lines(stats: DataFrame, digits: int = 1) -> DataFrame:
-    """``station, line``, a line being ``Oslo=-3.1/4.2/21.0``."""
-    numbers = F.concat_ws("/", *[format_rounded(F.col(c), digits) for c in RESULT])
-    return stats.select(STATION, F.concat(F.col(STATION), F.lit("="), numbers).alias("line"))
+def _named(stats: DataFrame) -> DataFrame:
+    """``stats``, failing on a row without a station: neither text nor a map can hold it."""
+    missing = F.raise_error(F.lit("a station without a name cannot be reported"))
+    return stats.withColumn(STATION, F.coalesce(F.col(STATION), missing.cast("string")))
+
+
+def report_lines(
+    stats: DataFrame, digits: int = 1, columns: Sequence[str] = RESULT
+) -> DataFrame:
+    """``station, line``, a line being ``Oslo=-3.1/4.2/21.0``.
+
+    ``columns`` are rounded; the others are printed as they are. A missing number is ``null``.
+    """
+    texts = [format_rounded(F.col(c), digits) if c in columns else F.col(c).cast("string") for c in RESULT]
+    numbers = F.concat_ws("/", *[F.coalesce(F.when(F.col(c).isNotNull(), t), F.lit("null")) for c, t in zip(RESULT, texts, strict=True)])
+    return _named(stats).select(STATION, F.concat(F.col(STATION), F.lit("="), numbers).alias("line"))
 
 
-def write_report_lines(stats: DataFrame, path: str, digits: int = 1) -> None:
+def write_report_lines(
+    stats: DataFrame, path: str, digits: int = 1, columns: Sequence[str] = RESULT
+) -> None:
     """One line per station, in order through the files of ``path``."""
-    report_lines(stats, digits).orderBy(STATION).select("line").write.text(path)
+    report_lines(stats, digits, columns).orderBy(STATION).select("line").write.text(path)
 
 
 def report_string(
@@ -34,13 +50,14 @@ def report_string(
     digits: int = 1,
     trailing_sep: bool = False,
     lines_per_part: int = LINES_PER_PART,
+    columns: Sequence[str] = RESULT,
 ) -> DataFrame:
     """The report ``{A=…, B=…}`` sorted by station, as ``part, report``.
 
     One row holds the whole report for up to ``lines_per_part`` stations. More
     stations give more rows; in order of ``part`` they add up to the same text.
     """
-    lines, total = number_rows(report_lines(stats, digits), STATION)
+    lines, total = number_rows(report_lines(stats, digits, columns), STATION)
     if total == 0:
         return stats.sparkSession.range(1).select(
             F.lit(0).cast("bigint").alias("part"), F.lit("{}").alias("report")
@@ -64,9 +81,10 @@ def summary_map(
 ) -> DataFrame:
     """``part, summary``: maps from station to ``[min, mean, max]``.
 
-    The maps hold consecutive stations, ``entries_per_map`` each.
+    The maps hold consecutive stations, ``entries_per_map`` each, so a station is
+    looked up in all of them; one has it. A row without a station fails.
     """
-    entries = stats if digits is None else rounded(stats, digits)
+    entries = _named(stats) if digits is None else rounded(_named(stats), digits)
     numbered, _ = number_rows(entries.select(STATION, F.array(*RESULT).alias("numbers")), STATION)
     part = whole_part(F.col("row_no"), entries_per_map)
     pairs = F.collect_list(F.struct(STATION, "numbers"))

@@ -1,16 +1,21 @@
 """Joins on the station, row numbers, maps and text."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from keyfold import (
     chunk_mean_report,
+    chunk_summary,
     distinct_stations,
     drop_stations,
     filter_station,
+    group_to_list,
     join_on_station,
     keep_stations,
     keys_join_partials,
+    list_state,
     lookup,
     map_rows,
     partial_state,
@@ -25,10 +30,16 @@ from keyfold import (
     union_tables,
     write_report_lines,
 )
-from keyfold.operators.keys import hot_stations
+from keyfold.operators import keys
+from keyfold.operators.keys import station_salts
 from keyfold.operators.numbering import number_rows
 
-BOTH_WAYS = [{}, {"broadcast_bytes": 0, "salts": 5}, {"broadcast_bytes": 0, "salts": 3, "salt_on": "chunk"}]
+BOTH_WAYS = [
+    {},
+    {"broadcast_bytes": 0, "rows_per_task": 50, "salts": 5},
+    {"broadcast_bytes": 0, "rows_per_task": 50, "salts": 3, "salt_on": "chunk"},
+    {"broadcast_bytes": 0, "rows_per_task": 7},
+]
 
 
 def rows_of(df):
@@ -83,19 +94,19 @@ def test_the_size_decides_on_a_broadcast(skewed, wanted_keys):
     def plan(df):
         return df._jdf.queryExecution().executedPlan().toString()
 
-    keys = wanted_keys.distinct()
-    assert "BroadcastHashJoin" in plan(join_on_station(skewed, keys))
-    salted = plan(join_on_station(skewed, keys, broadcast_bytes=0))
+    names = wanted_keys.distinct()
+    assert "BroadcastHashJoin" in plan(join_on_station(skewed, names))
+    salted = plan(join_on_station(skewed, names, broadcast_bytes=0))
     assert "hashpartitioning(station" in salted or "BroadcastHashJoin" in salted
     assert "_salt" in salted
 
 
 def test_a_hot_station_is_spread_over_the_salts(spark, skewed):
-    keys = distinct_stations(skewed)
+    names = distinct_stations(skewed)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = join_on_station(skewed.coalesce(1), keys, "left_semi", broadcast_bytes=0, salts=16)
+        joined = join_on_station(skewed.coalesce(1), names, "left_semi", broadcast_bytes=0, rows_per_task=20)
         per_task = (
             joined.filter("station = 'hot'").groupBy(F.spark_partition_id()).count().collect()
         )
@@ -106,13 +117,44 @@ def test_a_hot_station_is_spread_over_the_salts(spark, skewed):
     assert len(per_task) > 1
 
 
-def test_hot_stations_are_few(measurements):
-    rows = [(0, f"S{i % 50}", 1.0) for i in range(500)] + [(0, "hot", 1.0)] * 400
+def test_salts_follow_the_rows(measurements):
+    rows = [(0, f"S{i % 50}", 1.0) for i in range(500)] + [(0, "hot", 1.0)] * 400 + [(0, None, 1.0)] * 900
     df = measurements(rows)
-    assert [r.station for r in hot_stations(df, share=3).collect()] == ["hot"]
-    for share in (2, 10, 100):
-        assert hot_stations(df, share).count() < share
-    assert hot_stations(df.limit(0)).count() == 0
+    assert rows_of(station_salts(df, rows_per_task=100)) == [("hot", 4)]
+    assert rows_of(station_salts(df, rows_per_task=399)) == [("hot", 2)]
+    assert station_salts(df, rows_per_task=400).count() == 0
+    assert station_salts(df.limit(0)).count() == 0
+
+
+def test_salts_from_a_sample(spark, monkeypatch):
+    monkeypatch.setattr(keys, "COUNTED_BYTES", 200_000)
+    df = spark.range(400_000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("station"))
+    (row,) = station_salts(df, rows_per_task=20_000).collect()
+    assert row.station == "hot" and 8 <= row._salts <= 12
+
+
+JOIN_TYPES = ["inner", "left", "right", "full", "left_semi", "left_anti"]
+
+
+@pytest.mark.parametrize("how", JOIN_TYPES)
+def test_the_size_does_not_change_the_rows(spark, how):
+    rng = random.Random(JOIN_TYPES.index(how))
+    for _ in range(2):
+        names = [None, "hot", "warm", *[f"S{i}" for i in range(12)]]
+        rows = [(i, rng.choices(names, [3, 40, 9, *[1] * 12])[0]) for i in range(rng.randint(0, 200))]
+        df = spark.createDataFrame(rows, "id BIGINT, station STRING")
+        keyed = spark.createDataFrame(
+            [(n, f"k{n}") for n in [*rng.sample(names, 9), "only here", "nor there"]], "station STRING, about STRING"
+        )
+        wanted = df.join(keyed, "station", how)
+        for way in ({}, {"broadcast_bytes": 0, "rows_per_task": 5}, {"broadcast_bytes": 0, "rows_per_task": 5, "salts": 3}):
+            found = join_on_station(df, keyed, how, **way).select(*wanted.columns)
+            assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, wanted.collect()), key=repr)
+
+
+def test_unknown_join_type(skewed, wanted_keys):
+    with pytest.raises(ValueError, match="cross"):
+        join_on_station(skewed, wanted_keys, "cross")
 
 
 def test_sets_of_stations(measurements):
@@ -190,3 +232,25 @@ def test_report_of_chunk_means(spark, text_file, tmp_path):
     # Two files are at least two splits.
     assert report.first().report in ("{A=0.0/10.0/30.0}", "{A=0.0/15.0/30.0}")
     assert station_report(spark, str(tmp_path)).first().report == "{A=0.0/15.0/30.0}"
+
+
+def test_a_station_without_a_name_is_not_reported(spark, measurements):
+    stats = station_stats(measurements([(0, None, 1.0), (0, "A", 2.0)]))
+    for made in (report_lines(stats), report_string, summary_map):
+        with pytest.raises(Exception, match="without a name"):
+            (made(stats) if callable(made) else made).collect()
+
+
+def test_only_the_mean_is_rounded(measurements):
+    stats = station_stats(measurements([(0, "A", 1.25), (0, "A", 1.26)]), scale=2)
+    assert report_lines(stats, columns=["t_mean"]).first().line == "A=1.25/1.3/1.26"
+    assert report_lines(stats).first().line == "A=1.2/1.3/1.3"
+
+
+@pytest.mark.parametrize("order", [(0.0, -0.0), (-0.0, 0.0)])
+def test_the_sign_of_zero_does_not_depend_on_order(measurements, order):
+    df = measurements([(0, "A", v) for v in order]).coalesce(1)
+    assert report_lines(station_stats(df)).first().line == "A=0.0/0.0/0.0"
+    assert str(chunk_summary(df).first().temp_minimum) == "0.0"
+    assert str(partial_state(df).first().t_min) == "0.0"
+    assert str(list_state(group_to_list(df)).first().t_max) == "0.0"
