@@ -1,6 +1,6 @@
 """Summaries of very large tables of keyed measurements, on PySpark."""
 
-from .operators.apply import apply_per_chunk
+from .operators.apply import apply_per_batch, apply_per_chunk
 from .operators.keys import (
     distinct_stations,
     drop_stations,
@@ -35,4 +35,4 @@ from .sources.delimited import (
     scan_lines,
     write_lines,
 )
-from .streaming.incremental import incremental_stats, latest_stats, run_available
+from .streaming.incremental import compact, incremental_stats, latest_stats, run_available

@@ -2,8 +2,9 @@
 
 A list per station would put every row of a hot station into one array in one
 task. A station's list is therefore kept in parts: the values of one chunk of
-the input each. A chunk has a fixed number of rows, so a part has at most as
-many, whatever the station. The parts together hold every value.
+the input each. A chunk has a fixed number of rows, or ``most`` bounds a list, so
+a part has at most as many, whatever the station. The parts together hold every
+value.
 """
 
 from __future__ import annotations
@@ -11,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_list_sum, whole_part
+from ..functions.numeric import exact_list_sum, one_zero, whole_part
 from ..schema import STATION, TEMP
+from ..storage import store
 from .partial import CHUNK, merge_state
 
 ROWS_PER_CHUNK = 1 << 16
@@ -23,13 +25,27 @@ def number_chunks(df: DataFrame, row_number: str, rows: int = ROWS_PER_CHUNK) ->
     return df.withColumn(CHUNK, whole_part(F.col(row_number), rows))
 
 
-def group_to_list(df: DataFrame, chunk: str = CHUNK) -> DataFrame:
+def group_to_list(
+    df: DataFrame, chunk: str = CHUNK, most: int | None = None
+) -> DataFrame:
     """``station, chunk, temps``: the sorted values of a station in one chunk.
 
-    The chunk bounds a list. It should come from ``number_chunks``, or from
-    ``scan_chunks`` with splits of a size that suits one row.
+    Chunks of ``number_chunks`` bound a list by themselves. For any other chunk,
+    ``most`` does: the rows are counted, and a station with more in a chunk has
+    several lists there, each of at most about ``most`` values and none lost.
     """
-    return df.groupBy(STATION, chunk).agg(F.sort_array(F.collect_list(TEMP)).alias("temps"))
+    keys = [STATION, chunk]
+    if most is not None:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most)
+        large = store(counts.select(*keys, F.ceil(2 * F.col("_n") / most).alias("_parts")), "large")
+        same = [F.col(f"d.{k}").eqNullSafe(F.col(f"l.{k}")) for k in keys]
+        df = df.alias("d").join(large.alias("l"), same, "left").select("d.*", "_parts")
+        # Where a row stands decides on its part, so equal values are spread as well.
+        place = F.xxhash64(F.monotonically_increasing_id())
+        df = df.withColumn("_part", F.pmod(place, F.coalesce("_parts", F.lit(1))))
+        keys = [*keys, "_part"]
+    lists = df.groupBy(*keys).agg(F.sort_array(F.collect_list(TEMP)).alias("temps"))
+    return lists.select(STATION, chunk, "temps")
 
 
 def merge_lists(lists: DataFrame, fan_in: int = 8, chunk: str = CHUNK) -> DataFrame:
@@ -50,9 +66,9 @@ def list_state(lists: DataFrame, scale: int | None = 1) -> DataFrame:
     temps = F.col("temps")
     return lists.select(
         STATION,
-        F.array_min(temps).alias("t_min"),
+        one_zero(F.array_min(temps)).alias("t_min"),
         exact_list_sum(temps, scale).alias("t_sum"),
-        F.array_max(temps).alias("t_max"),
+        one_zero(F.array_max(temps)).alias("t_max"),
         F.size(temps).cast("bigint").alias("n"),
     )
 

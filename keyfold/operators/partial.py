@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_mean, exact_sum
+from ..functions.numeric import exact_mean, exact_sum, one_zero
 from ..schema import STATION, TEMP
 from .summary import rounded
 
@@ -14,7 +14,7 @@ CHUNK = "chunk"
 
 def partial_state(df: DataFrame, scale: int | None = 1, chunk: str = CHUNK) -> DataFrame:
     """``chunk, station, t_min, t_sum, t_max, n``; ``t_sum`` is exact."""
-    temp = F.col(TEMP)
+    temp = one_zero(F.col(TEMP))
     return df.groupBy(chunk, STATION).agg(
         F.min(temp).alias("t_min"),
         exact_sum(temp, scale).alias("t_sum"),
@@ -35,7 +35,7 @@ def merge_state(states: DataFrame, digits: int | None = 1) -> DataFrame:
 
 def chunk_summary(df: DataFrame, scale: int | None = 1, chunk: str = CHUNK) -> DataFrame:
     """Minimum, mean and maximum per chunk and station."""
-    temp = F.col(TEMP)
+    temp = one_zero(F.col(TEMP))
     return df.groupBy(chunk, STATION).agg(
         F.min(temp).alias("temp_minimum"),
         exact_mean(temp, scale).alias("temp_mean"),
@@ -53,7 +53,8 @@ def mean_of_means(
     """Merge chunk summaries giving every chunk the same weight.
 
     Differs from the true mean when a station's count differs between chunks.
-    Only the mean is rounded. ``exact=False`` goes with ``scale=None``: means of
+    Only the mean is rounded. ``exact`` means are taken at twelve decimals before
+    they are summed: that is the same for any order, not exact. ``exact=False`` goes with ``scale=None``: means of
     any size, summed as doubles.
     """
     if exact:

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_mean, round_half_even
+from ..functions.numeric import exact_mean, one_zero, round_half_even
 from ..schema import STATION, TEMP
 
 RESULT = ("t_min", "t_mean", "t_max")
@@ -45,9 +45,9 @@ def station_stats(df: DataFrame, scale: int | None = 1) -> DataFrame:
         df,
         STATION,
         [
-            (TEMP, "min", "t_min"),
+            (TEMP, lambda temp: F.min(one_zero(temp)), "t_min"),
             (TEMP, lambda temp: exact_mean(temp, scale), "t_mean"),
-            (TEMP, "max", "t_max"),
+            (TEMP, lambda temp: F.max(one_zero(temp)), "t_max"),
         ],
     )
 

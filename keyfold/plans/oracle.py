@@ -54,23 +54,29 @@ SELECT station, {chunk} AS chunk, string_agg({TEXT}, ',' ORDER BY temp) AS temps
 FROM u GROUP BY station, {chunk}"""
 
 
-def _lines(view: str, name: str) -> str:
-    def one(value: str) -> str:
-        return f"printf('%.1f', round_even({value}, 1))"
-
+def _lines(view: str, name: str, ends: str = "printf('%.1f', round_even({}, 1))") -> str:
+    """``ends`` is how the minimum and the maximum are printed."""
+    mean = f"printf('%.1f', round_even({MEAN}, 1))"
     return f"""WITH {view}
-SELECT station, station || '=' || {one('min(temp)')} || '/' || {one(MEAN)} || '/' || {one('max(temp)')} AS line
+SELECT station, station || '=' || {ends.format('min(temp)')} || '/' || {mean} || '/' || {ends.format('max(temp)')} AS line
 FROM {name} GROUP BY station"""
 
 
-def _report(view: str, name: str, closing: str) -> str:
+def _report(view: str, name: str, closing: str, lines: str | None = None) -> str:
     return f"""SELECT CAST(0 AS BIGINT) AS part,
        '{{' || string_agg(line, ', ' ORDER BY station) || '{closing}' AS report
-FROM ({_lines(view, name)})"""
+FROM ({lines or _lines(view, name)})"""
 
 
 ALARMING = "SELECT station FROM u WHERE event_type = 'error' AND temp > 100"
 
+FULL = f"""WITH {U},
+low AS (
+  SELECT station, {_round('min(temp)')} AS t_min, {_round(MEAN)} AS t_mean, {_round('max(temp)')} AS t_max
+  FROM u WHERE station < '3' GROUP BY station),
+high AS (SELECT event_id, station FROM u WHERE station > '2')
+SELECT station, event_id, t_min, t_mean, t_max FROM high FULL JOIN low USING (station)"""
+
 ORACLE: dict[str, str] = {
     "station_summary": _summary(A, "a"),
     "station_summary_wide": _summary(P, "p"),
@@ -98,10 +104,12 @@ SELECT event_type, 'no delimiter' FROM events WHERE event_type = 'view'""",
     "mean_of_means": f"""WITH {M}, chunks AS ({_chunks('m')})
 SELECT station, min(temp_minimum) AS t_min, {_round('avg(temp_mean)')} AS t_mean, max(temp_maximum) AS t_max
 FROM chunks GROUP BY station""",
-    "apply_per_chunk": f"""WITH {M}
+    "apply_chunk_summary": f"WITH {M} {_chunks('m')}",
+    "apply_per_batch": f"""WITH {M}
 SELECT chunk, station, min(temp) AS t_min, max(temp) AS t_max, count(temp) AS n
 FROM m GROUP BY chunk, station""",
     "group_to_list": _lists("list_chunk"),
+    "group_to_bounded_list": f"""SELECT *, true AS bounded FROM ({_summary(M, 'm')})""",
     "list_summary": _summary(U, "u"),
     "list_summary_raw": _summary(U, "u", _plain, _plain, _plain),
     "concat_lists": _lists("list_chunk // 2"),
@@ -116,6 +124,10 @@ SELECT event_id, station, temp FROM u WHERE station IN ({ALARMING})""",
 SELECT event_id, station, temp FROM u WHERE station NOT IN ({ALARMING})""",
     "keys_join_partials": f"""WITH {U}, states AS ({_states('u')})
 SELECT states.* FROM states JOIN (SELECT DISTINCT station FROM ({ALARMING})) USING (station)""",
+    "keys_join_shuffled": f"""WITH {U}, states AS ({_states('u')})
+SELECT states.* FROM states JOIN (SELECT DISTINCT station FROM ({ALARMING})) USING (station)""",
+    "full_join": FULL,
+    "full_join_shuffled": FULL,
     "lookup_join": f"""WITH {U}, names AS (SELECT DISTINCT station FROM ({ALARMING}))
 SELECT station, {_round('min(temp)')} AS t_min, {_round(MEAN)} AS t_mean, {_round('max(temp)')} AS t_max
 FROM u JOIN names USING (station) GROUP BY station""",
@@ -133,7 +145,8 @@ FROM events""",
     "fn_least_greatest": f"""WITH {M}
 SELECT event_id, least(temp, CAST(50.0 AS DOUBLE)) AS least_50,
        greatest(temp, CAST(50.0 AS DOUBLE)) AS greatest_50 FROM m""",
-    "fn_array_index": f"WITH {M} SELECT event_id, temp AS t_min, CAST(1.0 AS DOUBLE) AS n FROM m",
+    "fn_array_index": f"""WITH {M}
+SELECT chunk, station, min(temp) AS t_min, CAST(count(temp) AS DOUBLE) AS n FROM m GROUP BY chunk, station""",
     "fn_array_distinct_sort": f"""WITH {U}
 SELECT station, list_chunk AS chunk, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS types
 FROM u GROUP BY station, list_chunk""",
@@ -141,6 +154,9 @@ FROM u GROUP BY station, list_chunk""",
     "report_lines": _lines(A, "a"),
     "report_string": _report(A, "a", "}"),
     "report_string_trailing": _report(U, "u", ", }"),
+    "station_report_text": _report(A, "a", "}"),
+    "report_mean_only": _report(A, "a", "}", _lines(A, "a", "{}")),
+    "report_file": f"SELECT line FROM ({_lines(A, 'a')})",
     "stream_summary": _summary(M, "m"),
     "stream_summary_update": _summary(U, "u"),
 }

@@ -14,6 +14,7 @@ from ..schema import STATION, TEMP
 from ..sources import delimited
 from ..storage import new_path, store
 from ..streaming import incremental
+from . import from_text
 from .views import (
     CHUNKS,
     LIST_ROWS,
@@ -123,9 +124,15 @@ def mean_of_means(spark, sf_dir):
     return partial.mean_of_means(partial.chunk_summary(by_event_type(spark, sf_dir), SCALE))
 
 
-def apply_per_chunk(spark, sf_dir):
+def apply_per_batch(spark, sf_dir):
     rows = by_event_type(spark, sf_dir).select("chunk", STATION, TEMP)
-    return apply.merge_batches(apply.apply_per_chunk(rows, apply.group_batch, apply.BATCH_SCHEMA))
+    return apply.merge_batches(apply.apply_per_batch(rows, apply.group_batch, apply.BATCH_SCHEMA))
+
+
+def apply_chunk_summary(spark, sf_dir):
+    """A function that sees whole chunks; nothing is merged after it."""
+    rows = by_event_type(spark, sf_dir).select("chunk", STATION, TEMP)
+    return apply.apply_per_chunk(rows, apply.summarize_chunk(SCALE), apply.SUMMARY_SCHEMA)
 
 
 # Lists
@@ -145,6 +152,14 @@ def group_to_list(spark, sf_dir):
     return _as_list_text(_user_lists(spark, sf_dir))
 
 
+def group_to_bounded_list(spark, sf_dir):
+    """Chunks that bound nothing: the values of each station and chunk, whatever lists they are in."""
+    rows = lists.group_to_list(by_event_type(spark, sf_dir), most=64)
+    longest = F.max(F.size("temps")) <= 64
+    total = lists.list_summary(rows, SCALE)
+    return total.join(rows.groupBy(STATION).agg(longest.alias("bounded")), STATION)
+
+
 def list_summary(spark, sf_dir):
     return lists.list_summary(_user_lists(spark, sf_dir), SCALE)
 
@@ -206,12 +221,38 @@ def keys_join_partials(spark, sf_dir):
     )
 
 
+def keys_join_shuffled(spark, sf_dir):
+    """The same as if the keys were too many to broadcast, and some users hot."""
+    users = by_user(spark, sf_dir)
+    states = store(partial.partial_state(users, SCALE), "states")
+    found = keys.keys_join_partials(_alarming(users), states, broadcast_bytes=0, rows_per_task=10)
+    return found.select(
+        "chunk", STATION, "t_min", F.col("t_sum").cast("double").alias("t_sum"), "t_max", "n"
+    )
+
+
 def lookup_join(spark, sf_dir):
     users = by_user(spark, sf_dir)
     result = summary.rounded(summary.station_stats(users, SCALE))
     return keys.lookup(keys.distinct_stations(_alarming(users)), result)
 
 
+def _full_join(spark, sf_dir, **how_to_join):
+    """Events with the summary of the user of the same number as their part, and users without."""
+    users = by_user(spark, sf_dir)
+    result = summary.rounded(summary.station_stats(users.filter("station < '3'"), SCALE))
+    rows = users.filter("station > '2'").select("event_id", STATION)
+    return keys.join_on_station(rows, result, "full", **how_to_join)
+
+
+def full_join(spark, sf_dir):
+    return _full_join(spark, sf_dir)
+
+
+def full_join_shuffled(spark, sf_dir):
+    return _full_join(spark, sf_dir, broadcast_bytes=0, rows_per_task=20)
+
+
 # Functions
 
 
@@ -258,9 +299,12 @@ def fn_least_greatest(spark, sf_dir):
 
 
 def fn_array_index(spark, sf_dir):
-    state = F.array(F.col(TEMP), F.col(TEMP), F.col(TEMP), F.lit(1.0))
-    return by_event_type(spark, sf_dir).select(
-        "event_id", state[0].alias("t_min"), F.element_at(state, -1).alias("n")
+    """The state of a chunk as an array, as a merge by position sees it."""
+    states = partial.partial_state(by_event_type(spark, sf_dir), SCALE)
+    numbers = [F.col(c).cast("double") for c in ("t_min", "t_sum", "t_max", "n")]
+    states = states.select("chunk", STATION, F.array(*numbers).alias("state"))
+    return states.select(
+        "chunk", STATION, F.get("state", F.lit(0)).alias("t_min"), F.element_at("state", -1).alias("n")
     )
 
 
@@ -291,6 +335,26 @@ def report_string_trailing(spark, sf_dir):
     return report.report_string(stats, trailing_sep=True)
 
 
+# From text to the printed form
+
+
+def station_report_text(spark, sf_dir):
+    return from_text.station_report(spark, as_text(by_segment(spark, sf_dir)), SCALE)
+
+
+def report_mean_only(spark, sf_dir):
+    """The mean rounded, minimum and maximum printed as they are."""
+    path = as_text(by_segment(spark, sf_dir))
+    return from_text.station_report(spark, path, SCALE, columns=["t_mean"])
+
+
+def report_file(spark, sf_dir):
+    """The lines of a written report, read back."""
+    path = new_path(spark, "report")
+    report.write_report_lines(summary.station_stats(by_segment(spark, sf_dir), SCALE), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 # Streaming
 
 
@@ -302,7 +366,7 @@ def _streamed(spark, rows, mode):
     stats = incremental.incremental_stats(spark, path, SCALE, max_bytes=quarter)
     out = new_path(spark, "stream-out")
     incremental.run_available(stats, out, new_path(spark, "stream-checkpoint"), mode)
-    return summary.rounded(incremental.latest_stats(spark, out))
+    return summary.rounded(incremental.latest_stats(spark, out, mode))
 
 
 def stream_summary(spark, sf_dir):
@@ -333,8 +397,10 @@ QUERIES: dict[str, Query] = {
         merge_state,
         chunk_summary,
         mean_of_means,
-        apply_per_chunk,
+        apply_per_batch,
+        apply_chunk_summary,
         group_to_list,
+        group_to_bounded_list,
         list_summary,
         list_summary_raw,
         concat_lists,
@@ -346,7 +412,10 @@ QUERIES: dict[str, Query] = {
         station_semi,
         station_anti,
         keys_join_partials,
+        keys_join_shuffled,
         lookup_join,
+        full_join,
+        full_join_shuffled,
         fn_split,
         fn_locate,
         fn_parse,
@@ -358,6 +427,9 @@ QUERIES: dict[str, Query] = {
         report_lines,
         report_string,
         report_string_trailing,
+        station_report_text,
+        report_mean_only,
+        report_file,
         stream_summary,
         stream_summary_update,
     )

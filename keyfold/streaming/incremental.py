@@ -53,14 +53,38 @@ def run_available(stats: DataFrame, table: str, checkpoint: str, mode: str = "up
     query.awaitTermination()
 
 
-def latest_stats(spark: SparkSession, table: str) -> DataFrame:
-    """The newest row of every station, from batches written in either mode."""
-    numbers = F.struct(*RESULT)
+def _batches(spark: SparkSession, table: str) -> DataFrame:
     schema = f"{STATION} STRING, " + ", ".join(f"{c} DOUBLE" for c in RESULT) + ", batch BIGINT"
+    return spark.read.schema(schema).parquet(table)
+
+
+def compact(spark: SparkSession, table: str, into: str) -> None:
+    """Write the newest row of every station of ``table`` as one batch of a new table.
+
+    Later runs with ``into`` as their table go on from there, and ``latest_stats``
+    reads one row per station in place of all that was ever written. ``table``
+    stays as it is.
+    """
+    newest = _batches(spark, table).agg(F.max("batch")).first()[0]
+    if newest is not None:
+        latest_stats(spark, table).write.mode("overwrite").parquet(f"{into}/batch={newest}")
+
+
+def latest_stats(spark: SparkSession, table: str, mode: str = "update") -> DataFrame:
+    """The newest row of every station.
+
+    In ``complete`` mode every batch has all stations and only the newest is read.
+    In ``update`` mode all batches are, as any may hold a station's newest row;
+    ``compact`` keeps them few.
+    """
+    batches = _batches(spark, table)
+    if mode == "complete":
+        # Folder names alone tell which batch is the newest.
+        newest = batches.agg(F.max("batch")).first()[0]
+        return batches.filter(F.col("batch") == F.lit(newest)).select(STATION, *RESULT)
+    numbers = F.struct(*RESULT)
     return (
-        spark.read.schema(schema)
-        .parquet(table)
-        .groupBy(STATION)
+        batches.groupBy(STATION)
         .agg(F.max_by(numbers, "batch").alias("newest"))
         .select(STATION, "newest.*")
     )

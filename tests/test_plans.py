@@ -56,7 +56,7 @@ def test_no_python_but_in_apply(spark, sf_dir):
     for name in ("station_summary", "partial_state", "list_summary", "fn_round", "scan_lines"):
         tree = tree_of(QUERIES[name](spark, sf_dir))
         assert "Python" not in tree and "Pandas" not in tree, name
-    assert "InPandas" in tree_of(QUERIES["apply_per_chunk"](spark, sf_dir))
+    assert "InPandas" in tree_of(QUERIES["apply_per_batch"](spark, sf_dir))
 
 
 def test_a_line_is_parsed_once(spark, text_file):

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from keyfold import (
+    apply_per_batch,
     apply_per_chunk,
     chunk_summary,
     group_to_list,
@@ -27,7 +28,7 @@ from keyfold import (
     table_shape,
 )
 from keyfold.functions.numeric import exact_sum, format_rounded, round_half_even, scaled_integer
-from keyfold.operators.apply import BATCH_SCHEMA, group_batch, merge_batches
+from keyfold.operators.apply import BATCH_SCHEMA, SUMMARY_SCHEMA, group_batch, merge_batches, summarize_chunk
 
 
 def rows_of(df):
@@ -255,7 +256,48 @@ def test_function_on_chunks(spark, random_table):
     # Batches far smaller than a chunk of the data.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
     try:
-        found = rows_of(merge_batches(apply_per_chunk(rows, group_batch, BATCH_SCHEMA)))
+        found = rows_of(merge_batches(apply_per_batch(rows, group_batch, BATCH_SCHEMA)))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert found == wanted
+
+
+@pytest.mark.parametrize("size", [100, 10_000])
+def test_function_on_whole_chunks(spark, random_table, size):
+    rows = random_table.select("chunk", "station", "temp")
+    rows = rows.unionByName(spark.createDataFrame([(1, None, 2.5), (1, None, 3.5), (None, "A", 1.0)], rows.schema))
+    wanted = sorted(map(tuple, chunk_summary(rows, scale=1).collect()), key=repr)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+    try:
+        found = apply_per_chunk(rows, summarize_chunk(1), SUMMARY_SCHEMA).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(tuple, found), key=repr) == wanted
+
+
+def test_null_stations_stay_in_batches(spark, measurements):
+    rows = measurements([(0, None, 1.0), (0, None, 2.0), (0, "A", 3.0)])
+    found = merge_batches(apply_per_batch(rows, group_batch, BATCH_SCHEMA)).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted([(0, None, 1.0, 2.0, 2), (0, "A", 3.0, 3.0, 1)], key=repr)
+
+
+def test_long_lists_are_split(measurements):
+    rows = [(0, "hot", 1.5)] * 900 + [(0, f"S{i}", float(i)) for i in range(40)] + [(None, None, 2.0)] * 200
+    lists = group_to_list(measurements(rows).repartition(3), most=100)
+    sizes = lists.select("station", F.size("temps").alias("n")).collect()
+    assert max(r.n for r in sizes) <= 100
+    assert sum(r.n for r in sizes) == len(rows)
+    assert sum(r.n for r in sizes if r.station == "hot") == 900
+    assert list_summary(lists).count() == 42
+
+
+def test_negative_row_numbers_make_no_double_chunk(spark):
+    df = spark.range(-20, 20).withColumn("station", F.lit("A"))
+    sizes = number_chunks(df, "id", 4).groupBy("chunk").count().collect()
+    assert {r["count"] for r in sizes} == {4}
+
+
+def test_list_sums_do_not_overflow(spark):
+    big = float(2**52)
+    df = spark.createDataFrame([("A", [big] * 5000)], "station STRING, temps ARRAY<DOUBLE>")
+    assert list_summary(df, scale=0, digits=None).first().t_mean == big
