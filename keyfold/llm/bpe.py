@@ -8,17 +8,18 @@ is merged exactly, so results do not depend on the lexicon.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from ..storage import new_path
+from ..storage import new_path, store
 from .lexicon import Lexicon, compile_lexicon
 from .tokencount import batches_of
 from .wordbpe import Memo, model, normalise, words
@@ -33,11 +34,22 @@ LEXICON_BYTES = 64
 
 
 def frequent_words(docs: DataFrame, text: str = "text", most: int = LEXICON_WORDS) -> list[str]:
-    """The words between white space that are most frequent in all documents, in lower case."""
+    """The words between white space that are most frequent in all documents, in lower case.
+
+    Counts fall into levels of about a twelfth of a doubling. The words returned are
+    those of the highest levels that together have no more than ``most`` words, so
+    what reaches the driver is bounded: the sizes of the levels, and those words.
+    """
     word = F.explode(F.split(F.lower(F.col(text)), r"\s+")).alias("word")
     counts = docs.select(word).filter((F.col("word") != "") & (F.octet_length("word") <= LEXICON_BYTES)).groupBy("word").count()
-    top = counts.orderBy(F.desc("count"), "word").limit(most)
-    return [row["word"] for row in top.collect()]
+    levels = store(counts.filter("count > 1").select("word", F.floor(12 * F.log2("count")).alias("level")), "words")
+    enough, total = None, 0
+    for row in sorted(levels.groupBy("level").count().collect(), reverse=True):
+        total += row["count"]
+        if total > most:
+            break
+        enough = row["level"]
+    return [] if enough is None else [r["word"] for r in levels.filter(F.col("level") >= enough).collect()]
 
 
 def build_lexicon(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_WORDS) -> str:
@@ -62,24 +74,26 @@ def ship(spark: SparkSession, content: bytes) -> str:
 
 
 class Encoder:
+    """Ids as bytes, four each, which join without touching single ids."""
+
     def __init__(self, path: str, lexicon: str | None):
         self.bpe = model(path)
         self.lexicon = Lexicon(SparkFiles.get(lexicon)) if lexicon else None
-        self.pieces = Memo(lambda piece: self.bpe.merge(self.bpe.symbols(piece)))
-        self.words = Memo(self._word)
+        self.pieces = Memo(self.bpe.merged, 100_000)
+        self.words = Memo(self._word, 200_000)
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> bytes:
         ids = self.lexicon.find(word) if self.lexicon else None
-        return self.bpe.encode_word(word, self.pieces.__getitem__) if ids is None else ids
+        return array("i", self.bpe.encode_word(word, self.pieces.__getitem__) if ids is None else ids).tobytes()
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+    def encode(self, text: str) -> bytes:
+        out: list[bytes] = []
         for segment, special in self.bpe.segments(text):
             if special is not None:
-                out.append(special)
+                out.append(array("i", [special]).tobytes())
             else:
-                out.extend(chain.from_iterable(map(self.words.__getitem__, words(segment))))
-        return out
+                out.extend(map(self.words.__getitem__, words(segment)))
+        return b"".join(out)
 
 
 @lru_cache(maxsize=2)
@@ -115,9 +129,12 @@ def encode_documents(
             for start, end in batches_of(batch.column("text")):
                 part = batch.slice(start, end - start)
                 ids = [encoder.encode(t or "") for t in part.column("text").to_pylist()]
-                columns = [part.column("doc"), pa.array([len(i) for i in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))]
+                sizes = np.array([len(i) // 4 for i in ids], np.int64)
+                flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
+                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                columns = [part.column("doc"), pa.array(sizes), pa.ListArray.from_arrays(offsets, flat)]
                 if decoded:
-                    columns.append(pa.array(map(encoder.bpe.decode, ids), pa.string()))
+                    columns.append(pa.array([encoder.bpe.decode(memoryview(i).cast("i")) for i in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return rows.mapInArrow(encode, schema).select("doc.*", *made)

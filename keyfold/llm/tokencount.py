@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from .wordbpe import END, Memo, WordBpe, model, pieces, word_starts, words
+from .wordbpe import Memo, WordBpe, model, pieces, word_starts, words
 
 BATCH_CHARS = 4 << 20
 COUNTED = StructType(
@@ -38,48 +38,10 @@ class PrefixCounter:
 
     def __init__(self, bpe: WordBpe):
         self.bpe = bpe
-        self.open = {text: i for text, i in bpe.vocab.items() if not text.endswith(END)}
-        self.closed = {text.removesuffix(END): i for text, i in bpe.vocab.items() if text.endswith(END)}
-        self.longest = max(map(len, [*self.open, *self.closed]))
-        self.pairs = Memo(self._fits, 100_000)
+        self.open, self.closed, self.pairs, self.longest = bpe.open, bpe.closed, bpe.fits, bpe.longest
         self.piece = Memo(self._count_piece)
         self.count = Memo(self._count)
 
-    def _fits(self, pair: tuple[int, int]) -> bool:
-        """Whether the two tokens side by side encode to themselves.
-
-        Merges are undone from the latest back. The pair fails if, at some point,
-        the two tokens at the border would have been joined before what stands
-        there now. With -1 first: whether the second alone encodes to itself.
-        """
-        first, second = pair
-        if first < 0:
-            return self._alone(second)
-        joined, halves = self.bpe.joined, self.bpe.halves
-        # Merged tokens are numbered in the order of their merges, after all symbols.
-        bound = 1 << 60
-        while True:
-            if joined.get((first, second), bound) < bound:
-                return False
-            undo_first = first > second
-            if undo_first and first in halves or second not in halves:
-                if first not in halves:
-                    return True
-                bound, first = first, halves[first][1]
-            else:
-                bound, second = second + 1, halves[second][0]
-
-    def _alone(self, token: int) -> bool:
-        symbols, todo = [], [token]
-        while todo:
-            t = todo.pop()
-            if t in self.bpe.halves:
-                a, b = self.bpe.halves[t]
-                todo += [b, a]
-            else:
-                symbols.append(t)
-        return self.bpe.merge(symbols) == [token]
-
     def _step(self, text: str, end: int, tokens: dict[str, int], last: list[int], counts: list[int]) -> tuple[int, int]:
         """Last token and count of the prefix that ends at ``end``."""
         fits = self.pairs
@@ -100,10 +62,8 @@ class PrefixCounter:
 
     def piece_prefixes(self, piece: str) -> list[int]:
         """The count of ``piece[:i]`` as a text of its own, for every i from 0."""
-        symbols = self.bpe.byte_text
         counts_at, at = [0], 0
-        data = piece.encode()
-        text = "".join(symbols[b] for b in data)
+        text = self.bpe.spell(piece)
         table = self.open_table(text)
         for char in piece:
             at += len(char.encode())
@@ -111,8 +71,7 @@ class PrefixCounter:
         return counts_at
 
     def _count_piece(self, piece: str) -> int:
-        symbols = self.bpe.byte_text
-        text = "".join([symbols[b] for b in piece.encode()])
+        text = self.bpe.spell(piece)
         if text in self.closed and self.pairs[-1, self.closed[text]]:
             return 1
         return self._step(text, len(text), self.closed, *self.open_table(text))[1]

@@ -55,6 +55,15 @@ class WordBpe:
         self.byte_text = symbols
         self.open_ids = [self.vocab[s] for s in symbols]
         self.closed_ids = [self.vocab[s + END] for s in symbols]
+        self.open = {text: i for text, i in self.vocab.items() if not text.endswith(END)}
+        self.closed = {text.removesuffix(END): i for text, i in self.vocab.items() if text.endswith(END)}
+        self.longest = max(map(len, [*self.open, *self.closed]))
+        # The longest token by the three symbols that it starts with.
+        self.reach: dict[str, int] = {}
+        for text in self.open:
+            if len(text) > 2:
+                self.reach[text[:3]] = max(len(text), self.reach.get(text[:3], 0))
+        self.fits = Memo(self._fits, 100_000)
         self._special = re.compile("|".join(map(re.escape, self.special))) if self.special else None
 
     def segments(self, text: str) -> Iterator[tuple[str, int | None]]:
@@ -118,12 +127,86 @@ class WordBpe:
                     heappush(heap, (r, left, ids[left], ids[right]))
         return [t for t in ids if t >= 0]
 
+    def _fits(self, pair: tuple[int, int]) -> bool:
+        """Whether the two tokens side by side encode to themselves.
+
+        Merges are undone from the latest back. The pair fails if, at some point,
+        the two tokens at the border would have been joined before what stands
+        there now. With -1 first: whether the second alone encodes to itself.
+        """
+        first, second = pair
+        if first < 0:
+            return self._alone(second)
+        joined, halves = self.joined, self.halves
+        # Merged tokens are numbered in the order of their merges, after all symbols.
+        bound = 1 << 60
+        while True:
+            if joined.get((first, second), bound) < bound:
+                return False
+            if second not in halves or (first > second and first in halves):
+                if first not in halves:
+                    return True
+                bound, first = first, halves[first][1]
+            else:
+                bound, second = second + 1, halves[second][0]
+
+    def _alone(self, token: int) -> bool:
+        symbols, todo = [], [token]
+        while todo:
+            t = todo.pop()
+            if t in self.halves:
+                a, b = self.halves[t]
+                todo += [b, a]
+            else:
+                symbols.append(t)
+        return self.merge(symbols) == [token]
+
+    def spell(self, piece: str) -> str:
+        """The piece in the characters that stand for its bytes."""
+        return "".join(map(self.byte_text.__getitem__, piece.encode()))
+
+    def merged(self, piece: str) -> list[int]:
+        """What ``merge`` makes of the piece, without going through all merges.
+
+        There is one way to cut a word so that no merge would change any two
+        neighbours, and that is the merged one. It is looked for with the longest
+        token first; a place from which no way leads to the end is not tried twice.
+        """
+        text = self.spell(piece)
+        opened, closed, fits, reach, longest, n = self.open, self.closed, self.fits, self.reach, self.longest, len(text)
+        out: list[int] = []
+        at, before, dead = [0], -1, set()
+        start, fresh = 0, True
+        size = min(reach.get(text[:3], 2), n - 1)
+        while True:
+            if fresh and n - start <= longest:
+                token = closed.get(text[start:])
+                if token is not None and fits[before, token]:
+                    out.append(token)
+                    return out
+            fresh = False
+            while size:
+                end = start + size
+                token = opened.get(text[start:end])
+                if token is not None and end not in dead and fits[before, token]:
+                    out.append(token)
+                    at.append(end)
+                    start, before, fresh = end, token, True
+                    size = min(reach.get(text[end : end + 3], 2), n - end - 1)
+                    break
+                size -= 1
+            if not fresh:
+                dead.add(at.pop())
+                size = start - at[-1] - 1
+                start = at[-1]
+                out.pop()
+                before = out[-1] if out else -1
+
     def encode_word(self, word: str, of_piece: Callable[[str], list[int]] | None = None) -> list[int]:
         """Ids of a normalised stretch of text without white space."""
-        out: list[int] = []
-        for piece in pieces(word):
-            out += of_piece(piece) if of_piece else self.merge(self.symbols(piece))
-        return out
+        of_piece = of_piece or self.merged
+        parts = pieces(word)
+        return of_piece(parts[0]) if len(parts) == 1 else [i for p in parts for i in of_piece(p)]
 
     def decode(self, ids) -> str:
         """The texts of the tokens with one space between; the file names no decoder."""

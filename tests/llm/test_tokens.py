@@ -117,3 +117,10 @@ def test_lexicon_is_minimal_and_exact(tmp_path):
     assert lexicon.states == len({frozenset(endings[p]) for p in prefixes})
     with pytest.raises(ValueError, match="twice"):
         compile_lexicon([("a", [1]), ("a", [2])])
+
+
+def test_search_finds_what_merging_makes(library):
+    model, rng = WordBpe(PATH), random.Random(8)
+    cases = ["".join(rng.choice("thereinagosléß日!'9") for _ in range(rng.randint(1, 40))) for _ in range(400)]
+    for piece in [*cases, "a" * 500, "thethethe" * 60, "ing" * 200]:
+        assert model.merged(piece) == model.merge(model.symbols(piece))
