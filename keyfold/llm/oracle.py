@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import licenses
 from .queries import LISTED_WORDS
 
 HOST = r"translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -87,4 +88,66 @@ FROM (SELECT *, CASE WHEN size = 0 THEN 0 ELSE whole + CASE WHEN place IS NOT NU
                 AND upto - residual <= residual - (upto - words) THEN 1 ELSE 0 END END AS copies FROM run)
 """
 
-ORACLE = {"op1_url_filter": OP1, "op2_mix_sources": OP2}
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _spaces(value: str) -> str:
+    return f"(length({value}) - length(replace({value}, ' ', '')))"
+
+
+def _licenses() -> str:
+    rules = ",\n".join(
+        f"({i}, {_text(r.label)}, {_text(r.keyword)}, {_text(r.pattern)}, {r.priority}, {r.confidence}::DOUBLE)"
+        for i, r in enumerate(licenses.default_rules())
+    )
+    phrases = [(licenses._spaced(phrase), label) for phrase, label in licenses.BASE]
+    places = " + ".join(f"(length(t) - length(replace(t, {_text(p)}, ''))) // {len(p)}" for p, _ in phrases)
+    there = lambda p, value: f"CASE WHEN contains(t, {_text(p)}) THEN {value} END"
+    first = ", ".join(there(p, _spaces(f"substr(t, 1, strpos(t, {_text(p)}) - 1)") + " // 2") for p, _ in phrases)
+    tail = lambda p: f"string_split(t, {_text(p)})[-1]"
+    last = ", ".join(there(p, f"({_spaces('t')} - {_spaces(tail(p))} - {p.count(' ')}) // 2") for p, _ in phrases)
+    base = ", ".join(there(p, _text(label)) for p, label in phrases)
+    ends = f"({_spaces('m')} + pos + 1) // 2"
+    return rf"""
+WITH rules(no, label, keyword, pattern, priority, confidence) AS (VALUES
+{rules}),
+bare AS (
+    SELECT row_number() OVER () AS rid, doc_id,
+           trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                               '{licenses.NO_WORD}', '  ', 'g'), ' ') AS w
+    FROM documents),
+texts AS (SELECT rid, doc_id, CASE WHEN w = '' THEN ' ' ELSE ' ' || w || ' ' END AS t FROM bare),
+based AS (
+    SELECT rid, doc_id, {_spaces("t")} // 2 AS n_words, {places} AS n_base,
+           least({first}) AS first_word, greatest({last}) AS last_word,
+           [x FOR x IN [{base}] IF x IS NOT NULL] AS base
+    FROM texts),
+hits AS (
+    SELECT rid, rules.*, regexp_extract_all(t, pattern) AS found, string_split_regex(t, pattern) AS parts
+    FROM texts JOIN rules ON contains(t, keyword) AND regexp_matches(t, pattern)),
+each AS (SELECT *, unnest(generate_series(1, len(found))) AS k FROM hits),
+placed AS (
+    SELECT rid, no, label, priority, confidence, found[k] AS m,
+           list_sum([{_spaces("x")} FOR x IN parts[1:k]])
+           + coalesce(list_sum([{_spaces("x")} FOR x IN found[1:k - 1]]), 0) AS pos
+    FROM each),
+spans AS (SELECT rid, no, label, priority, confidence, (pos // 2)::BIGINT AS low, ({ends})::BIGINT AS high FROM placed),
+kept AS (
+    SELECT * FROM spans a WHERE NOT EXISTS (
+        SELECT 1 FROM spans b
+        WHERE b.rid = a.rid AND b.low <= a.low AND b.high >= a.high AND b.priority >= a.priority
+          AND (b.low <> a.low OR b.high <> a.high OR b.priority > a.priority OR b.no < a.no))),
+labelled AS (SELECT rid, list(label) AS labels, max(confidence) AS confidence, count(*) AS n FROM kept GROUP BY rid)
+SELECT doc_id, n_words::BIGINT AS n_words, n_base::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, array_to_string(list_sort(list_distinct(base)), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(base, coalesce(labels, [])))), ',') AS labels,
+       CASE WHEN len(base) > 0 THEN 1.0::DOUBLE ELSE coalesce(confidence, 0.0::DOUBLE) END AS score,
+       coalesce(n, 0)::INTEGER AS n_detections
+FROM based LEFT JOIN labelled USING (rid)
+"""
+
+
+ORACLE = {"op1_url_filter": OP1, "op2_mix_sources": OP2, "op4_license_scan": _licenses()}
