@@ -8,7 +8,7 @@ import pytest
 
 from keyfold.llm import neardup
 from keyfold.llm.graph import connected_components
-from keyfold.llm.probminhash import Shingler, signatures
+from keyfold.llm.probminhash import Shingler, band_keys, marks, mix, signatures
 
 
 def brute(rows):
@@ -126,3 +126,15 @@ def test_components_of_chains_and_stars(spark):
     found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a BIGINT, b BIGINT")).collect()}
     assert found == {i: 0 for i in range(61)} | {100 + i: 100 for i in range(50)} | {200: 100, 300: 300}
     assert connected_components(spark.createDataFrame([], "a BIGINT, b BIGINT")).count() == 0
+
+
+def test_marks_agree_where_registers_do(spark):
+    sets = [np.arange(0, 300, dtype=np.uint64), np.arange(20, 310, dtype=np.uint64), np.arange(900, 1200, dtype=np.uint64)]
+    signed = signatures(sets, [np.ones(len(s)) for s in sets])
+    rows = np.hstack([band_keys(signed), marks(signed)])
+    df = spark.createDataFrame([(i, j, rows[i].tolist(), rows[j].tolist()) for i in range(3) for j in range(3)], "i INT, j INT, a ARRAY<BIGINT>, b ARRAY<BIGINT>")
+    four = mix(signed) & np.uint64(15)
+    for r in df.select("i", "j", neardup._agree("a", "b").alias("n"), neardup._first_shared("a", "b").alias("band")).collect():
+        assert r.n == (four[r.i] == four[r.j]).sum()
+        same = np.flatnonzero(rows[r.i][:24] == rows[r.j][:24])
+        assert r.band == (same[0] + 1 if len(same) else 0)
