@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from ..storage import store
 
 
+def ends_of(edges: DataFrame) -> DataFrame:
+    """``node``: every end of an edge ``a, b``, once."""
+    return edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of an edge ``a, b``; a component is its smallest node.
 
@@ -27,7 +32,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         at = lambda end: hooks.select(F.col("node").alias(end), F.col("to").alias(f"{end}_to"))  # noqa: B023, E731
         hooked = left.join(at("a"), "a").join(at("b"), "b").filter("a_to <> b_to")
         left = store(hooked.select(*ends("a_to", "b_to")).distinct(), "edges")
-    found = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node"))
+    found = ends_of(edges).withColumn("component", F.col("node"))
     for hooks in rounds:
         step = hooks.select(F.col("node").alias("component"), "to")
         found = found.join(step, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
