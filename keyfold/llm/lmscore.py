@@ -1,14 +1,18 @@
 """Cross-entropy difference of two matched bigram models.
 
 A model of the target documents and one of all documents share one vocabulary:
-the most frequent words of the corpus, and classes by ending for all other words.
-Both are smoothed alike, and the background's counts are scaled to the size of
-the target's, so that they differ by what was counted and not by how much. The
-score of a document is the mean, over its tokens, of the target model's loss
-minus the background model's; the lower, the more it is like the target.
-
-Counts come from all documents. The number of cells is the square of the
-vocabulary's size, whatever the size of the corpus.
+every word of the corpus, and one class for words it does not have. Both are
+smoothed alike, and the background's counts are scaled to the size of the
+target's, so that they differ by what was counted and not by how much. The score
+of a document is the mean, over its tokens, of the target model's loss minus the
+background model's; the lower, the more it is like the target.
+
+Counts come from all documents and grow with them: those of pairs, of words and
+of words that something follows are one table of cells, kept in blocks by the
+first bits of a cell's key and never collected. Documents are scored in chunks. A
+chunk asks each block for its cells once, so that what is shuffled is packed keys
+and counts. A cell has a hash of 64 bits as its key; two of five billion cells
+share one with a probability of about one half.
 """
 
 from __future__ import annotations
@@ -17,26 +21,37 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StringType, StructField, StructType
 
 from ..storage import store
 from .common import join_measured
+from .probminhash import mix
 from .tokencount import batches_of
 from .wordbpe import Memo
 
-WORDS, CLASSES = 768, 256
+# No bound on the words of the vocabulary.
+WORDS = None
 # Counts that the unigrams lend to the words after each word, and each word to the unigrams.
 PRIOR, START = 20.0, 0.5
 # Different words that a task counts before it hands them on.
 FLUSH = 400_000
+# Text, and documents, of a chunk; text a block of the table of cells stands for.
+CHUNK_CHARS, CHUNK_DOCS, BLOCK_CHARS = 8 << 20, 100_000, 1 << 20
+LEAST_BLOCK_BITS = 6
 
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
+# The hash that stands before a document's first word.
+_BEFORE = np.uint64(0)
+_FACTOR, _WORD_SALT, _CONTEXT_SALT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)
+_ODD = np.uint64(1)
 
 
 def tokens(text: str | None) -> list[str]:
@@ -45,33 +60,18 @@ def tokens(text: str | None) -> list[str]:
 
 
 class Vocabulary:
-    """Ids below ``WORDS`` for the frequent words, above for the classes of the rest."""
+    """Ids of given words by place, and one more for all others."""
 
     def __init__(self, words: Sequence[str]):
         self.ids = {w: i for i, w in enumerate(words)}
-        self.size = WORDS + CLASSES
-        self.memo = Memo(self._id)
+        self.size = len(self.ids) + 1
 
     def _id(self, word: str) -> int:
-        known = self.ids.get(word)
-        if known is not None:
-            return known
-        return WORDS + xxhash.xxh32_intdigest(word[-3:].encode("utf-8", "surrogatepass")) % CLASSES
+        return self.ids.get(word, self.size - 1)
 
-    def encode(self, text: str | None) -> np.ndarray:
-        found = tokens(text)
-        return np.fromiter(map(self.memo.__getitem__, found), np.int64, len(found))
 
-    def cells(self, ids: np.ndarray) -> np.ndarray:
-        """Numbers of the pairs of a token and the one before; the first has the start before it."""
-        before = np.empty_like(ids)
-        before[:1] = self.size
-        before[1:] = ids[:-1]
-        return before * self.size + ids
-
-
-def frequent_tokens(docs: DataFrame, text: str = "text", most: int = WORDS) -> list[str]:
-    """The most frequent tokens of all documents; ties by code point."""
+def frequent_tokens(docs: DataFrame, text: str = "text", most: int | None = WORDS) -> list[str]:
+    """The tokens of all documents, the most frequent first, ``most`` if given; ties by code point."""
     schema = StructType([StructField("word", StringType()), StructField("n", LongType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,69 +91,182 @@ def frequent_tokens(docs: DataFrame, text: str = "text", most: int = WORDS) -> l
         yield flush()
 
     counted = docs.select(F.col(text).alias("text")).mapInArrow(count, schema).groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(most).collect()]
+    ordered = counted.orderBy(F.desc("n"), "word")
+    return [r["word"] for r in (ordered if most is None else ordered.limit(most)).collect()]
 
 
-def pair_counts(docs: DataFrame, words: Sequence[str]) -> DataFrame:
-    """``cell, n, n_target`` over ``text, target``: how often each pair occurs, in all and in target documents."""
-    schema = StructType([StructField(n, LongType()) for n in ("cell", "n", "n_target")])
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers byte by byte of their places, compressed."""
+    raw = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(words)
-        size = (vocabulary.size + 1) * vocabulary.size
-        every, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
-        for batch in batches:
-            for start, end in batches_of(batch.column("text")):
-                part = batch.slice(start, end - start)
-                pairs = [vocabulary.cells(vocabulary.encode(t)) for t in part.column("text").to_pylist()]
-                wanted = [p for p, is_target in zip(pairs, part.column("target").to_pylist(), strict=True) if is_target]
-                for into, texts in ((every, pairs), (target, wanted)):
-                    if texts:
-                        cells, n = np.unique(np.concatenate(texts), return_counts=True)
-                        into[cells] += n
-        cells = np.flatnonzero(every)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in (cells, every[cells], target[cells])], names=schema.names)
 
-    counted = docs.select("text", "target").mapInArrow(count, schema)
-    return counted.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+def _unpack(packed: bytes, kind: type) -> np.ndarray:
+    n, width = int.from_bytes(packed[:8], "little"), np.dtype(kind).itemsize
+    raw = pa.decompress(packed[8:], decompressed_size=n * width, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, n).T).reshape(-1).view(kind)
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    return _pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpack_keys(packed: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(packed, np.uint64), dtype=np.uint64)
+
+
+def _join(parts: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.empty(0, kind)
+
+
+def _hash(word: str) -> int:
+    # Zero stands before the first word.
+    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) or 1
+
+
+@dataclass
+class _Chunk:
+    """The words of some documents: hashes of the different ones, and by token which it is."""
+
+    hashes: np.ndarray
+    codes: np.ndarray
+    sizes: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[np.ndarray]) -> _Chunk:
+        hashes, codes = np.unique(_join(texts, np.uint64), return_inverse=True)
+        return cls(hashes, codes.astype(np.int64), np.array([len(t) for t in texts], np.int64))
+
+    def cells(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of its pairs, then its words, then what stands before them; by token its pair and the word before; the pairs."""
+        words = len(self.hashes)
+        before = np.empty_like(self.codes)
+        before[1:] = self.codes[:-1]
+        before[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = words
+        pairs, pair_of = np.unique(before * (words + 1) + self.codes, return_inverse=True)
+        contexts = np.append(self.hashes, _BEFORE)
+        first, second = contexts[pairs // (words + 1)], contexts[pairs % (words + 1)]
+        # The last bit tells words from the rest.
+        keys = [mix(first * _FACTOR + second) & ~_ODD, mix(self.hashes ^ _WORD_SALT) | _ODD, mix(contexts ^ _CONTEXT_SALT) & ~_ODD]
+        return np.concatenate(keys), pair_of, before, pairs, contexts
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], extra: str) -> Iterator[tuple[list[np.ndarray], list[pa.Array]]]:
+    """Hashes of the tokens of the documents of each chunk, and their column ``extra``."""
+    memo = Memo(_hash)
+    texts: list[np.ndarray] = []
+    others: list[pa.Array] = []
+    chars = 0
+    for batch in batches:
+        for start, end in batches_of(batch.column("text")):
+            part = batch.slice(start, end - start)
+            for at in range(0, len(part), CHUNK_DOCS):
+                piece = part.slice(at, CHUNK_DOCS)
+                for t in piece.column("text").to_pylist():
+                    found = tokens(t)
+                    chars += len(t or "")
+                    texts.append(np.fromiter(map(memo.__getitem__, found), np.uint64, len(found)))
+                others.append(piece.column(extra))
+                if chars >= CHUNK_CHARS or len(texts) >= CHUNK_DOCS:
+                    yield texts, others
+                    texts, others, chars = [], [], 0
+    if texts:
+        yield texts, others
+
+
+def _by_block(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
+    """The blocks of sorted keys, and where they lie."""
+    blocks = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    starts = np.flatnonzero(np.diff(blocks, prepend=-1))
+    for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True):
+        yield int(blocks[start]), slice(start, end)
+
+
+def _chars(docs: DataFrame, text: str) -> int:
+    return docs.agg(F.coalesce(F.sum(F.length(F.col(text))), F.lit(0))).first()[0]
+
+
+def cell_counts(docs: DataFrame, bits: int) -> DataFrame:
+    """``block, keys, n, n_target, words, pairs, pairs_target`` over ``text, target``.
+
+    One row a block of cells: their keys in order, how often each occurs in all and
+    in target documents, packed; how many of them are words, and those' sums.
+    """
+    packed = [StructField("block", LongType()), *[StructField(n, BinaryType()) for n in ("keys", "n", "n_target")]]
+    partial = StructType(packed)
+    whole = StructType([*packed, *[StructField(n, LongType()) for n in ("words", "pairs", "pairs_target")]])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts, targets in _encoded(batches, "target"):
+            chunk = _Chunk.of(texts)
+            keys, pair_of, before, pairs, contexts = chunk.cells()
+            wanted = np.repeat(np.array(pa.chunked_array(targets).to_pylist(), bool), chunk.sizes)
+            every = []
+            for chosen in (slice(None), wanted):
+                places = ((pair_of[chosen], len(pairs)), (chunk.codes[chosen], len(chunk.hashes)), (before[chosen], len(contexts)))
+                every.append(np.concatenate([np.bincount(p, minlength=n) for p, n in places]).astype(np.int64))
+            order = np.argsort(keys)
+            order = order[every[0][order] > 0]
+            keys, n, n_target = keys[order], every[0][order], every[1][order]
+            rows = [(b, _pack_keys(keys[at]), _pack(n[at]), _pack(n_target[at])) for b, at in _by_block(keys, bits)]
+            if rows:
+                arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), *[pa.binary()] * 3), strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=partial.names)
+
+    def merge(part: pa.Table) -> pa.Table:
+        keys = np.concatenate([_unpack_keys(k) for k in part.column("keys").to_pylist()])
+        order = np.argsort(keys)
+        keys = keys[order]
+        starts = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+        sums = []
+        for name in ("n", "n_target"):
+            counts = np.concatenate([_unpack(c, np.int64) for c in part.column(name).to_pylist()])
+            sums.append(np.add.reduceat(counts[order], starts))
+        keys = keys[starts]
+        words = (keys & _ODD).astype(bool)
+        row = [part.column("block")[0].as_py(), _pack_keys(keys), *map(_pack, sums), int(words.sum()), *[int(s[words].sum()) for s in sums]]
+        kinds = [pa.int64(), *[pa.binary()] * 3, *[pa.int64()] * 3]
+        return pa.Table.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=whole.names)
+
+    return docs.select("text", "target").mapInArrow(count, partial).groupBy("block").applyInArrow(merge, whole)
 
 
 @dataclass(frozen=True)
 class PairModel:
-    """Losses by cell, of the target model and of the background model."""
+    """Counts of cells in blocks, and their sums: pairs in target and in all documents, words."""
 
-    words: list[str]
-    target: np.ndarray
-    background: np.ndarray
+    docs: DataFrame
+    text: str
+    cells: DataFrame
+    bits: int
+    pairs: int
+    pairs_target: int
+    n_words: int
 
+    @cached_property
+    def words(self) -> list[str]:
+        """All words, the most frequent first. They come to the driver; scoring does not ask for them."""
+        return frequent_tokens(self.docs, self.text)
 
-def _losses(counts: np.ndarray) -> np.ndarray:
-    """Minus the log of the smoothed probability of each second word after the first."""
-    single = counts.sum(axis=0) + START
-    single /= single.sum()
-    after = counts.sum(axis=1, keepdims=True) + PRIOR
-    return -np.log((counts + PRIOR * single) / after)
+    def loss(self, pair: np.ndarray, word: np.ndarray, context: np.ndarray, total: float) -> np.ndarray:
+        """Minus the log of the smoothed probability of a word after another, from their counts and the sum of all."""
+        single = (word + START) / (total + START * (self.n_words + 1))
+        return -np.log((pair + PRIOR * single) / (context + PRIOR))
 
 
 def fit_models(docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: str = "text") -> PairModel:
     """Models of the documents whose id is in ``target`` and of all documents.
 
-    Without any target document both models are the same. The table of cells that
-    reaches the driver has at most ``(WORDS + CLASSES + 1) * (WORDS + CLASSES)`` rows.
+    Without any target document both models are the same. One row of sums reaches
+    the driver; the table of cells is stored.
     """
-    words = frequent_tokens(docs, text)
     ids = store(target.select(F.col(doc_id).alias("id"), F.lit(True).alias("target")).dropna().distinct(), "target")
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     marked = join_measured(texts, ids, "id", "left", 64).select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    found = pair_counts(marked, words).toArrow()
-    size = WORDS + CLASSES
-    every, wanted = np.zeros((size + 1) * size), np.zeros((size + 1) * size)
-    cells = found.column("cell").to_numpy()
-    every[cells], wanted[cells] = found.column("n").to_numpy(), found.column("n_target").to_numpy()
-    scale = wanted.sum() / every.sum() if every.sum() else 0.0
-    shape = (size + 1, size)
-    losses = [_losses(counts.reshape(shape)).astype(np.float32).ravel() for counts in (wanted, every * scale)]
-    return PairModel(words, *losses)
+    bits = max(LEAST_BLOCK_BITS, (_chars(docs, text) // BLOCK_CHARS).bit_length())
+    cells = store(cell_counts(marked, bits), "cells")
+    sums = cells.agg(*[F.coalesce(F.sum(n), F.lit(0)) for n in ("pairs", "pairs_target", "words")]).first()
+    return PairModel(docs, text, cells.select("block", "keys", "n", "n_target"), bits, *sums)
 
 
 def score_documents(docs: DataFrame, model: PairModel, keep: Sequence[str] | None = None, text: str = "text") -> DataFrame:
@@ -167,28 +280,86 @@ def score_documents(docs: DataFrame, model: PairModel, keep: Sequence[str] | Non
     made = ("n_tokens", "loss_target", "loss_background", "score")
     kept = [c for c in (docs.columns if keep is None else keep) if c not in made]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.col(text).alias("text"))
+    doc = rows.schema["doc"]
     kinds = zip(made, (LongType(), DoubleType(), DoubleType(), DoubleType()), strict=True)
-    schema = StructType([*rows.select("doc").schema, *[StructField(n, k) for n, k in kinds]])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(shared.value.words)
-        tables = (shared.value.target, shared.value.background)
+    scored = StructType([doc, *[StructField(n, k) for n, k in kinds]])
+    packed = ("hashes", "codes", "sizes")
+    whole = StructType([StructField("chunk", LongType()), *[StructField(n, BinaryType()) for n in packed], StructField("docs", ArrayType(doc.dataType))])
+    asked = StructType([StructField("chunk", LongType()), StructField("block", LongType()), StructField("keys", BinaryType())])
+    told = StructType([StructField("chunk", LongType()), StructField("block", LongType()), *[StructField(n, BinaryType()) for n in ("n", "n_target")]])
+    bits = model.bits
+    loss, sums = PairModel(None, text, None, bits, model.pairs, model.pairs_target, model.n_words).loss, (model.pairs, model.pairs_target)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for texts, docs in _encoded(batches, "doc"):
+            chunk = _Chunk.of(texts)
+            values = [_pack_keys(chunk.hashes), _pack(chunk.codes.astype(np.uint32)), _pack(chunk.sizes)]
+            own = pa.concat_arrays(docs)
+            listed = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own)
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *[pa.array([v], pa.binary()) for v in values], listed], names=whole.names)
+            number += 1
+
+    def chunk_of(hashes: bytes, codes: bytes, sizes: bytes) -> _Chunk:
+        return _Chunk(_unpack_keys(hashes), _unpack(codes, np.uint32).astype(np.int64), _unpack(sizes, np.int64))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end in batches_of(batch.column("text")):
-                part = batch.slice(start, end - start)
-                sizes, losses = [], [[], []]
-                for t in part.column("text").to_pylist():
-                    cells = vocabulary.cells(vocabulary.encode(t))
-                    sizes.append(len(cells))
-                    for table, out in zip(tables, losses, strict=True):
-                        out.append(float(table[cells].mean(dtype=np.float64)) if len(cells) else None)
-                target, background = losses
-                diff = [a - b if a is not None else None for a, b in zip(target, background, strict=True)]
-                columns = [pa.array(sizes, pa.int64()), *[pa.array(c, pa.float64()) for c in (target, background, diff)]]
-                yield pa.RecordBatch.from_arrays([part.column("doc"), *columns], names=schema.names)
-
-    return rows.mapInArrow(score, schema).select("doc.*", *made)
+            for i in range(len(batch)):
+                keys = np.sort(chunk_of(*[batch.column(n)[i].as_py() for n in packed]).cells()[0])
+                found = [(block, _pack_keys(keys[at])) for block, at in _by_block(keys, bits)]
+                blocks, own = zip(*found, strict=True)
+                number = batch.column("chunk")[i].as_py()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number] * len(found), pa.int64()), pa.array(blocks, pa.int64()), pa.array(own, pa.binary())], names=asked.names
+                )
+
+    def tell(wanted: pa.Table, cells: pa.Table) -> pa.Table:
+        if len(cells):
+            keys = _unpack_keys(cells.column("keys")[0].as_py())
+            counts = [_unpack(cells.column(n)[0].as_py(), np.int64) for n in ("n", "n_target")]
+        # A block that no chunk asks gives no rows.
+        out: list[list[bytes]] = [[], []]
+        for packed_keys in wanted.column("keys").to_pylist():
+            own = _unpack_keys(packed_keys)
+            if len(cells):
+                place = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                known = keys[place] == own
+            for i, into in enumerate(out):
+                # What was never counted is zero.
+                into.append(_pack(np.where(known, counts[i][place], 0) if len(cells) else np.zeros(len(own), np.int64)))
+        return pa.Table.from_arrays([wanted.column("chunk"), wanted.column("block"), *[pa.array(o, pa.binary()) for o in out]], names=told.names)
+
+    def score(chunks: pa.Table, counts: pa.Table) -> pa.Table:
+        chunk = chunk_of(*[chunks.column(n)[0].as_py() for n in packed])
+        keys, pair_of, _, pairs, contexts = chunk.cells()
+        order, counts = np.argsort(keys), counts.sort_by("block")
+        first, second = pairs // len(contexts), pairs % len(contexts)
+        doc_of = np.repeat(np.arange(len(chunk.sizes)), chunk.sizes)
+        scale = sums[1] / sums[0] if sums[0] else 0.0
+        means = []
+        for name, by, total in (("n_target", 1.0, sums[1]), ("n", scale, sums[0] * scale)):
+            n = np.empty(len(keys), np.float64)
+            n[order] = _join([_unpack(c, np.int64) for c in counts.column(name).to_pylist()], np.int64) * by
+            word, context = n[len(pairs) : len(keys) - len(contexts)], n[len(keys) - len(contexts) :]
+            losses = loss(n[: len(pairs)], word[second], context[first], total)
+            means.append(np.bincount(doc_of, losses[pair_of], len(chunk.sizes)) / np.maximum(chunk.sizes, 1))
+        without = chunk.sizes == 0
+        columns = [pa.array(m, pa.float64(), mask=without) for m in (*means, means[0] - means[1])]
+        own = pa.chunked_array([c.flatten() for c in chunks.column("docs").chunks]).combine_chunks()
+        own = own if isinstance(own, pa.Array) else pa.concat_arrays(own.chunks)
+        return pa.Table.from_arrays([own, pa.array(chunk.sizes, pa.int64()), *columns], names=scored.names)
+
+    chunks = store(rows.mapInArrow(encode, whole), "chunks")
+    requests = chunks.select("chunk", *packed).mapInArrow(ask, asked)
+    # Where much more is scored than was fitted, several tasks answer for a block.
+    salts = max(1, _chars(docs, text) // (BLOCK_CHARS << bits))
+    requests = requests.withColumn("salt", F.pmod(F.xxhash64("chunk"), F.lit(salts)))
+    cells = model.cells.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    on = ("block", "salt")
+    replies = requests.groupBy(*on).cogroup(cells.groupBy(*on)).applyInArrow(tell, told)
+    found = chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(score, scored)
+    return found.select("doc.*", *made)
 
 
 def good_documents(labels: DataFrame) -> DataFrame:

@@ -77,3 +77,23 @@ def test_contradicting_labels(spark):
     rows = [(1, 1, 0), (1, 1, 1), (2, 1, None), (3, 1, 0), (3, 0, 0), (4, None, 0), (None, 1, 0), (5, 1, 0), (5, 1, 0)]
     found = lmscore.good_documents(spark.createDataFrame(rows, "doc_id BIGINT, quality INT, toxic INT")).collect()
     assert sorted(r.doc_id for r in found if r.doc_id is not None) == [2, 5]
+
+
+def test_every_word_has_cells_of_its_own(spark):
+    """Rare words of the same ending differ, and what is counted grows with the words."""
+    rows = [(i, f"common {'good' if i % 2 else 'bad'}{i}ing", "x") for i in range(2000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    target = docs.filter("doc_id % 2 = 1").select("doc_id")
+    model = lmscore.fit_models(docs, target)
+    assert (model.n_words, model.pairs, model.pairs_target) == (2001, 4000, 2000)
+    half = lmscore.fit_models(docs.filter("doc_id < 1000"), target)
+    assert (half.n_words, half.pairs) == (1001, 2000)
+    scores = {r.doc_id: r.score for r in lmscore.score_documents(docs, model, keep=["doc_id"]).collect()}
+    assert max(s for i, s in scores.items() if i % 2) < min(s for i, s in scores.items() if not i % 2)
+    # Words and pairs that were never counted are the unknown class.
+    new = spark.createDataFrame([(1, "neverseen otherword", "x")], SCHEMA)
+    (row,) = lmscore.score_documents(new, model).collect()
+    unknown = [lmscore.START / (n + lmscore.START * 2002) for n in (2000, 2000)]
+    before = [lmscore.PRIOR * u / (1000 + lmscore.PRIOR) for u in unknown]
+    wanted = [np.mean([-np.log(a), -np.log(b)]) for a, b in zip(before, unknown, strict=True)]
+    assert (row.loss_target, row.loss_background) == pytest.approx(wanted)
