@@ -4,8 +4,10 @@ A page is cut into blocks at its block-level tags. What stands in menus, forms,
 adverts and the like is out by its element, role or class. The first pass judges
 a block by its length, its share of linked text and its share of stop words, and
 leaves the rest undecided. The second pass lets undecided blocks inherit from the
-nearest decided ones before and after. Where the page marks its article, blocks
-outside of it are out, and inside nothing but the marked parts is.
+nearest decided ones before and after. Where the page marks its article, that is
+a prior: within it a block is only bad if most of it is linked, outside of it only
+long prose is good. Of several kinds of marks the one with most prose counts, so
+teasers in <article> do not outdo a text in <main>.
 """
 
 from __future__ import annotations
@@ -51,7 +53,7 @@ _CONTENT_WORDS = frozenset("article content entry post story main".split())
 _STOP = frozenset(STOP_WORDS)
 
 SHORT, LONG = 70, 140
-MOST_LINKED = 0.33
+MOST_LINKED, MOST_LINKED_INSIDE = 0.33, 0.5
 FEW_STOPS, MANY_STOPS = 0.15, 0.25
 
 
@@ -61,7 +63,7 @@ class Block:
     linked: int
     heading: bool
     out: bool
-    inside: bool
+    sure: int
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -191,19 +193,32 @@ def blocks(page: str) -> list[Block]:
             roots.append([name, 1, sure])
     add(page[at:])
     end()
-    best = max((sure for *_, out, sure in found if not out), default=0)
-    return [Block(*block, best > 0 and sure >= best) for *block, sure in found]
+    return [Block(*block) for block in found]
 
 
-def _first_pass(block: Block, has_article: bool) -> bool | None:
+def _is_prose(block: Block) -> bool:
+    return len(block.text) >= SHORT and block.linked <= MOST_LINKED * len(block.text)
+
+
+def _article_mark(found: Sequence[Block]) -> int:
+    """The sureness of the mark that holds most prose, the surest of those alike; 0 without marks."""
+    marks = sorted({b.sure for b in found} - {0}, reverse=True)
+    return max(marks, key=lambda mark: sum(len(b.text) for b in found if b.sure == mark and _is_prose(b)), default=0)
+
+
+def _first_pass(block: Block, mark: int) -> bool | None:
     """True for good, False for bad, None for undecided."""
-    if has_article:
-        return None if block.inside else False
     size = len(block.text)
     words = block.text.split()
     stops = sum(w.strip(".,;:!?()\"'").lower() in _STOP for w in words) / len(words)
+    if mark and block.sure == mark:
+        if block.linked > MOST_LINKED_INSIDE * size:
+            return False
+        return True if size >= SHORT else None
     if block.linked > MOST_LINKED * size:
         return False
+    if mark:
+        return size >= LONG and stops >= MANY_STOPS
     if size < SHORT:
         return None
     if stops >= MANY_STOPS or (size >= LONG and stops >= FEW_STOPS):
@@ -215,10 +230,8 @@ def main_blocks(page: str) -> list[str]:
     """The blocks of the main text, in page order."""
     # Marked parts are out and say nothing about the rest.
     found = [b for b in blocks(page) if not b.out]
-    has_article = any(b.inside for b in found)
-    labels = [_first_pass(b, has_article) for b in found]
-    if has_article:
-        return [b.text for b, good in zip(found, labels, strict=True) if good is not False]
+    mark = _article_mark(found)
+    labels = [_first_pass(b, mark) for b in found]
     before, after = _nearest(labels), [*reversed([_flip(x, len(labels)) for x in _nearest(labels[::-1])])]
     kept = []
     for i, (block, good) in enumerate(zip(found, labels, strict=True)):
@@ -228,6 +241,10 @@ def main_blocks(page: str) -> list[str]:
             # The nearer one decides; of two as near, both must be good; of none, text stands.
             least = min((abs(i - j) for j in near), default=0)
             good = all(labels[j] for j in near if abs(i - j) == least)
+            if mark:
+                # Within the article only what stands among bad parts of it goes.
+                own = [labels[j] for j in (before[i], after[i]) if j is not None and found[j].sure == mark]
+                good = block.heading or not own or any(own)
         if good:
             kept.append(block.text)
     return kept

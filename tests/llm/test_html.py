@@ -64,3 +64,17 @@ def test_given_pages(spark, sf_dir):
         for part, by in (("<b>", ""), ("<br>", " "), ("&amp;", "&")):
             article = article.replace(part, by)
         assert r.text == "\n\n".join(" ".join(b.split()) for b in article.split("\0") if b.split())
+
+
+LINKS = "".join(f"<li><a href={i}>Another story of the site number {i}</a>" for i in range(4))
+
+
+def test_article_mark_is_a_prior():
+    page = f"<article><h1>Head</h1><p>{PROSE}</p><ul>{LINKS}</ul><p>{PROSE * 2}</p><p>end</p></article><p>box</p><div>{PROSE * 2}</div>"
+    assert htmltext.main_blocks(page) == ["Head", PROSE.strip(), (PROSE * 2).strip(), "end", (PROSE * 2).strip()]
+
+
+def test_teasers_beside_main():
+    teaser = "<article><h3><a href=x>Another story</a></h3><p>Read it here.</p></article>"
+    page = f"{teaser * 3}<main><h1>Head</h1><p>{PROSE * 2}</p><p>short</p></main>{teaser * 3}"
+    assert htmltext.main_blocks(page) == ["Head", (PROSE * 2).strip(), "short"]
