@@ -25,9 +25,12 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from .quality import STOP_WORDS
 from .tokencount import batches_of
 
-_WHOLE = "script|style|noscript|template|iframe|object|svg|canvas|textarea|select|audio|video|map|math"
+# Their content is not markup, and lasts to the end of the page if they are not closed.
+_RAW = "script|style|textarea"
+# Left out with all they hold; those that are not closed hold nothing.
+_HELD = frozenset("noscript template iframe object svg canvas select audio video map math".split())
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_WHOLE})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
+    rf"<!--.*?(?:-->|\Z)|<({_RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
     r"""|<(/?)([a-z][a-z0-9:-]*)([^<>"']*(?:"[^"]*"[^<>"']*|'[^']*'[^<>"']*)*)>""",
     re.IGNORECASE | re.DOTALL,
 )
@@ -50,6 +53,11 @@ _OUT_WORDS = frozenset(
     " disqus discussion widget toolbar pagination pager skip".split()
 )
 _CONTENT_WORDS = frozenset("article content entry post story main".split())
+# What a class name may have beside them, as in `ad-box`; `with-sidebar` is not a sidebar.
+_BESIDE_WORDS = _CONTENT_WORDS | frozenset(
+    "a area bar block body box buttons bottom container form global group header icons inner left links list l m message mobile module page panel primary"
+    " right row s secondary section site slot small text title top unit wrap wrapper x".split()
+)
 _STOP = frozenset(STOP_WORDS)
 
 SHORT, LONG = 70, 140
@@ -64,6 +72,8 @@ class Block:
     heading: bool
     out: bool
     sure: int
+    # Marked out by a class or id alone.
+    doubtful: bool = False
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -72,6 +82,15 @@ def _attributes(raw: str) -> dict[str, str]:
     return {name.lower(): value.strip("\"'").lower() for name, value in _ATTRIBUTE.findall(raw)}
 
 
+def _named_out(attributes: dict[str, str]) -> bool:
+    """Whether a whole class or id says that the element is not the article."""
+    for value in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        parts = set(_PART.findall(value))
+        if not _OUT_WORDS.isdisjoint(parts) and parts <= _OUT_WORDS | _BESIDE_WORDS:
+            return True
+    return False
+
+
 def _marked_out(name: str, attributes: dict[str, str]) -> bool:
     if name in _OUT:
         return True
@@ -81,10 +100,7 @@ def _marked_out(name: str, attributes: dict[str, str]) -> bool:
         return True
     if "display:none" in attributes.get("style", "").replace(" ", ""):
         return True
-    if attributes.get("role") in _OUT_ROLES:
-        return True
-    marks = _PART.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")
-    return not _OUT_WORDS.isdisjoint(marks)
+    return attributes.get("role") in _OUT_ROLES
 
 
 def _is_article(name: str, attributes: dict[str, str]) -> int:
@@ -101,11 +117,17 @@ def _is_article(name: str, attributes: dict[str, str]) -> int:
 
 def blocks(page: str) -> list[Block]:
     """The blocks in page order, those without text left out."""
-    found: list[tuple[str, int, bool, bool, int]] = []
+    found: list[Block] = []
     parts: list[str] = []
     linked, in_link = 0, 0
     # The element that is being skipped, and how deep its name is nested.
     skip, skipped = "", 0
+    # The same for one marked out by its class or id; what it holds is still told apart.
+    doubt, doubted, doubt_within = "", 0, 0
+    # The element whose content is no text at all, and where the last of each name ends.
+    held = ""
+    ends: dict[str, int] = {}
+    lower = ""
     # Open elements that may hold the article: name, depth of the name, sureness.
     roots: list[list] = []
     header, heading = 0, False
@@ -115,7 +137,7 @@ def blocks(page: str) -> list[Block]:
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
             out = bool(skip) or (header > 0 and not heading)
-            found.append((text, linked, heading, out, max((r[2] for r in roots), default=0)))
+            found.append(Block(text, linked, heading, out, max((r[2] for r in roots), default=0), bool(doubt)))
         parts.clear()
         linked = 0
 
@@ -127,13 +149,26 @@ def blocks(page: str) -> list[Block]:
 
     at = 0
     for token in _TOKEN.finditer(page):
-        if token.start() > at:
+        if token.start() > at and not held:
             add(page[at : token.start()])
         at = token.end()
         name = token[3]
         if name is None:
             continue
         name, closes = name.lower(), bool(token[2])
+        if held:
+            if closes and name == held:
+                held = ""
+            continue
+        if name in _HELD:
+            if closes or token[4].endswith("/"):
+                continue
+            if name not in ends:
+                lower = lower or page.lower()
+                ends[name] = max((lower.rfind(f"</{name}{c}") for c in "> \n\t"), default=-1)
+            if ends[name] > token.start():
+                held = name
+            continue
         if name == "a":
             in_link = 0 if closes else 1
         elif name == "br":
@@ -149,6 +184,14 @@ def blocks(page: str) -> list[Block]:
             elif skip and name in ("body", "html", "article", "main"):
                 # What was never closed ends with what holds it.
                 skip = ""
+            if doubt == name:
+                doubted -= 1
+                if not doubted:
+                    # Text before the end of an inline part is a block of its own.
+                    end()
+                    doubt = ""
+            elif doubt and name in ("body", "html"):
+                doubt = ""
             if name == "header" and header:
                 header -= 1
             if name in _HEADINGS:
@@ -158,6 +201,9 @@ def blocks(page: str) -> list[Block]:
                     roots[i][1] -= 1
                     if not roots[i][1]:
                         del roots[i:]
+                        if len(roots) < doubt_within:
+                            # What was never closed ends with what holds it.
+                            doubt = ""
                     break
             continue
         if name in _VOID or token[4].endswith("/"):
@@ -185,21 +231,39 @@ def blocks(page: str) -> list[Block]:
                 end()
             skip, skipped = name, 1
             continue
+        if doubt == name:
+            doubted += 1
+        elif not doubt and name not in ("html", "body", "main") and _named_out(attributes):
+            if not is_block:
+                end()
+            doubt, doubted, doubt_within = name, 1, len(roots)
         for root in reversed(roots):
             if root[0] == name:
                 root[1] += 1
                 break
         if sure := _is_article(name, attributes):
             roots.append([name, 1, sure])
-    add(page[at:])
+    if not held:
+        add(page[at:])
     end()
-    return [Block(*block) for block in found]
+    return found
 
 
 def _is_prose(block: Block) -> bool:
     return len(block.text) >= SHORT and block.linked <= MOST_LINKED * len(block.text)
 
 
+def _candidates(found: Sequence[Block]) -> list[Block]:
+    """The blocks that are not marked out. What only its class or id marks comes back where nothing else has prose."""
+    left = [b for b in found if not b.out]
+    sure = [b for b in left if not b.doubtful]
+    if any(_is_prose(b) for b in sure) or not any(_is_prose(b) or b.sure > 1 for b in left if b.doubtful):
+        return sure
+    if any(b.sure for b in sure) and not any(_is_prose(b) for b in left if b.doubtful):
+        return sure
+    return left
+
+
 def _article_mark(found: Sequence[Block]) -> int:
     """The sureness of the mark that holds most prose, the surest of those alike; 0 without marks."""
     marks = sorted({b.sure for b in found} - {0}, reverse=True)
@@ -229,7 +293,7 @@ def _first_pass(block: Block, mark: int) -> bool | None:
 def main_blocks(page: str) -> list[str]:
     """The blocks of the main text, in page order."""
     # Marked parts are out and say nothing about the rest.
-    found = [b for b in blocks(page) if not b.out]
+    found = _candidates(blocks(page))
     mark = _article_mark(found)
     labels = [_first_pass(b, mark) for b in found]
     before, after = _nearest(labels), [*reversed([_flip(x, len(labels)) for x in _nearest(labels[::-1])])]

@@ -78,3 +78,27 @@ def test_teasers_beside_main():
     teaser = "<article><h3><a href=x>Another story</a></h3><p>Read it here.</p></article>"
     page = f"{teaser * 3}<main><h1>Head</h1><p>{PROSE * 2}</p><p>short</p></main>{teaser * 3}"
     assert htmltext.main_blocks(page) == ["Head", (PROSE * 2).strip(), "short"]
+
+
+KEPT = [
+    "<div class='layout with-sidebar'><article><p>x</p></article></div>",
+    "<div id='no-ads'><article><p>x</p></article></div>",
+    "<article class='post hentry category-social'><p>x</p></article>",
+    "<div class='discussion'><article><p>x</p></article></div>",
+    "<article><svg width='1' /><p>x</p></article>",
+    "<article><math/><p>x</p></article>",
+    "<article><svg><p>x</p></article>",
+    "<article><svg><title>t</title></svg><p>x</p></article>",
+    *[f"<article><{n}><p>x</p></{n}></article>" for n in ("video-player", "select-box", "map-view", "object-card")],
+    "<article><p>x</p><div class='ad-box'>a</div><div class='comments-area'>b</div></article>",
+]
+
+
+@pytest.mark.parametrize("page", KEPT)
+def test_articles_are_not_lost_by_a_name(page):
+    assert htmltext.main_blocks(page) == ["x"]
+
+
+def test_long_prose_is_not_lost_by_a_class():
+    assert htmltext.main_blocks(f"<div class='discussion'><p>{PROSE * 2}</p></div>") == [(PROSE * 2).strip()]
+    assert htmltext.main_blocks(f"<article><p>{PROSE}</p></article><div class='comments'><p>{PROSE * 2}</p></div>") == [PROSE.strip()]
