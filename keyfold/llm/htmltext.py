@@ -63,6 +63,8 @@ _STOP = frozenset(STOP_WORDS)
 SHORT, LONG = 70, 140
 MOST_LINKED, MOST_LINKED_INSIDE = 0.33, 0.5
 FEW_STOPS, MANY_STOPS = 0.15, 0.25
+# A page whose unlinked blocks have a smaller share of stop words is in another language.
+KNOWN_STOPS = 0.1
 
 
 @dataclass
@@ -270,11 +272,23 @@ def _article_mark(found: Sequence[Block]) -> int:
     return max(marks, key=lambda mark: sum(len(b.text) for b in found if b.sure == mark and _is_prose(b)), default=0)
 
 
-def _first_pass(block: Block, mark: int) -> bool | None:
+def _stops(text: str) -> tuple[int, int]:
+    """How many words are stop words, and how many words there are."""
+    words = text.split()
+    return sum(w.strip(".,;:!?()\"'").lower() in _STOP for w in words), len(words)
+
+
+def _is_known(found: Sequence[Block]) -> bool:
+    """Whether the page is in a language of the stop words, by its longer unlinked blocks."""
+    counts = [_stops(b.text) for b in found if _is_prose(b)]
+    return sum(n for n, _ in counts) >= KNOWN_STOPS * sum(n for _, n in counts)
+
+
+def _first_pass(block: Block, mark: int, known: bool) -> bool | None:
     """True for good, False for bad, None for undecided."""
     size = len(block.text)
-    words = block.text.split()
-    stops = sum(w.strip(".,;:!?()\"'").lower() in _STOP for w in words) / len(words)
+    n_stops, n_words = _stops(block.text)
+    stops = n_stops / n_words
     if mark and block.sure == mark:
         if block.linked > MOST_LINKED_INSIDE * size:
             return False
@@ -282,7 +296,9 @@ def _first_pass(block: Block, mark: int) -> bool | None:
     if block.linked > MOST_LINKED * size:
         return False
     if mark:
-        return size >= LONG and stops >= MANY_STOPS
+        return size >= LONG and (stops >= MANY_STOPS or not known)
+    if not known:
+        return True if size >= SHORT else None
     if size < SHORT:
         return None
     if stops >= MANY_STOPS or (size >= LONG and stops >= FEW_STOPS):
@@ -295,11 +311,18 @@ def main_blocks(page: str) -> list[str]:
     # Marked parts are out and say nothing about the rest.
     found = _candidates(blocks(page))
     mark = _article_mark(found)
-    labels = [_first_pass(b, mark) for b in found]
+    known = _is_known(found)
+    labels = [_first_pass(b, mark, known) for b in found]
+    # Code, tables and lists of references are prose of few stop words; between good blocks they stay.
+    few = {i for i, (b, good) in enumerate(zip(found, labels, strict=True)) if good is False and not mark and _is_prose(b)}
+    labels = [None if i in few else good for i, good in enumerate(labels)]
     before, after = _nearest(labels), [*reversed([_flip(x, len(labels)) for x in _nearest(labels[::-1])])]
     kept = []
     for i, (block, good) in enumerate(zip(found, labels, strict=True)):
-        if good is None:
+        if i in few:
+            near = [labels[j] for j in (before[i], after[i]) if j is not None]
+            good = len(near) == 2 and all(near)
+        elif good is None:
             # A heading goes with what follows.
             near = [x for x in ((after[i],) if block.heading and after[i] is not None else (before[i], after[i])) if x is not None]
             # The nearer one decides; of two as near, both must be good; of none, text stands.

@@ -102,3 +102,24 @@ def test_articles_are_not_lost_by_a_name(page):
 def test_long_prose_is_not_lost_by_a_class():
     assert htmltext.main_blocks(f"<div class='discussion'><p>{PROSE * 2}</p></div>") == [(PROSE * 2).strip()]
     assert htmltext.main_blocks(f"<article><p>{PROSE}</p></article><div class='comments'><p>{PROSE * 2}</p></div>") == [PROSE.strip()]
+
+
+OTHER = {
+    "it": "Nella vecchia casa vicino al mare viveva un pescatore che ogni mattina usciva con la barca, anche quando pioveva forte e nessuno lo aspettava. ",
+    "pl": "Stary rybak mieszkał nad morzem i każdego ranka wypływał łodzią, nawet gdy padało i nikt na niego nie czekał przy brzegu ani w porcie. ",
+    "ru": "Старый рыбак жил у моря и каждое утро выходил на лодке, даже когда шёл дождь и никто не ждал его на берегу или в порту до самого вечера. ",
+    "zh": "老渔夫住在海边的一座旧房子里，每天早上都划船出海，即使下着大雨，岸上也没有人等他。" * 4,
+}
+
+
+@pytest.mark.parametrize("lang", list(OTHER))
+def test_other_languages_without_a_mark(lang):
+    text = (OTHER[lang] * 2).strip()
+    page = f"<ul>{LINKS}</ul><h1>T</h1><div>{text}</div><div>k</div><div>{text}</div><ul>{LINKS}</ul>"
+    assert htmltext.main_blocks(page) == ["T", text, "k", text]
+
+
+def test_code_between_prose():
+    code = "x = compute(alpha, beta); y = x + gamma; print(x, y); z = x * y; print(z); assert z > 0; print(alpha)"
+    page = f"<div>{PROSE * 2}</div><pre>{code}</pre><div>{PROSE * 2}</div><ul>{LINKS}</ul><div>{code}</div>"
+    assert htmltext.main_blocks(page) == [(PROSE * 2).strip(), code, (PROSE * 2).strip()]
