@@ -25,7 +25,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from ..storage import store
 from .common import join_measured
 from .graph import connected_components, ends_of
-from .probminhash import BANDS, FEWEST, REGISTERS, Shingler, band_keys, marks, mix, signatures, weight
+from .probminhash import BANDS, FEWEST, REGISTERS, Shingler, band_keys, marks, mix, signatures
 from .tokencount import batches_of
 
 # A rational threshold, so that the comparison is exact.
@@ -78,7 +78,8 @@ def sketch(docs: DataFrame) -> DataFrame:
             large = [i for i, (s, _) in enumerate(sets) if len(s) >= FEWEST]
             bands: list[np.ndarray | None] = [None] * len(sets)
             if large:
-                signed = signatures([sets[i][0] for i in large], [weight(sets[i][1]) for i in large])
+                # What is verified is the plain similarity of sets, so all shingles weigh the same.
+                signed = signatures([sets[i][0] for i in large], [np.ones(len(sets[i][0])) for i in large])
                 found = np.hstack([band_keys(signed), marks(signed)])
                 for i, row in zip(large, found, strict=True):
                     bands[i] = row

@@ -61,11 +61,6 @@ class Shingler:
         return np.unique(mix(joined), return_counts=True)
 
 
-def weight(counts: np.ndarray) -> np.ndarray:
-    """A repeated shingle weighs more, but a line repeated over and over not all."""
-    return 1.0 + np.log(counts)
-
-
 def signatures(shingles: list[np.ndarray], weights: list[np.ndarray], registers: int = REGISTERS) -> np.ndarray:
     """One row of ``registers`` shingle hashes a document; no document may be without shingles."""
     sizes = np.array([len(s) for s in shingles])

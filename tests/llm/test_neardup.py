@@ -138,3 +138,18 @@ def test_marks_agree_where_registers_do(spark):
         assert r.n == (four[r.i] == four[r.j]).sum()
         same = np.flatnonzero(rows[r.i][:24] == rows[r.j][:24])
         assert r.band == (same[0] + 1 if len(same) else 0)
+
+
+def test_repeated_passages_do_not_hide_a_pair(spark):
+    """Sets are alike however often one text repeats a passage."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        words = [f"r{i}x{k}" for k in range(250)]
+        part = words[100:150]
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[:100] + part * 100 + words[150:]))]
+    rng.shuffle(rows)
+    check(spark, rows)
+    sketched = {r.node: r.bands for r in neardup.sketch(spark.createDataFrame(rows, "node BIGINT, text STRING")).collect()}
+    shared = [np.array(sketched[2 * i])[: neardup.BANDS] == np.array(sketched[2 * i + 1])[: neardup.BANDS] for i in range(60)]
+    assert min(s.sum() for s in shared) >= 12
