@@ -22,6 +22,7 @@ SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
     "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
     "pages": "page_id BIGINT, url STRING, html STRING",
+    "benchmark": "item_id BIGINT, text STRING",
     "labels": "doc_id BIGINT, quality INT, toxic INT",
 }
 

@@ -150,4 +150,58 @@ FROM based LEFT JOIN labelled USING (rid)
 """
 
 
-ORACLE = {"op1_url_filter": OP1, "op2_mix_sources": OP2, "op4_license_scan": _licenses()}
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP11 = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+bench AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+begins AS (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS p FROM bench WHERE len(w) > 0),
+windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS m, array_to_string(w[p:p + 9], ' ') AS s FROM begins),
+sizes AS (SELECT DISTINCT m FROM windows),
+starts AS (
+    SELECT r, w, m, unnest(generate_series(1, len(w) - m + 1)) AS p FROM docs, sizes WHERE len(w) >= m),
+places AS (SELECT r, m, p, array_to_string(w[p:p + m - 1], ' ') AS s FROM starts),
+found AS (SELECT r, m, p, item_id FROM places JOIN windows USING (m, s)),
+hits AS (
+    SELECT r, count(DISTINCT q) AS n_hit
+    FROM (SELECT DISTINCT r, unnest(generate_series(p, p + m - 1)) AS q FROM found) GROUP BY r),
+names AS (
+    SELECT r, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT r, item_id::VARCHAR AS name FROM found WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (r) LEFT JOIN names USING (r)
+"""
+
+OP13 = """
+WITH rows AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+           [floor(256 * x::DOUBLE) for x in embedding] AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+           list_dot_product(a.q, r.q)::BIGINT AS score
+    FROM rows a JOIN rows r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id AND len(a.q) = len(r.q)),
+positives AS (
+    SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM scored WHERE same)
+    WHERE place <= 5),
+ranked AS (
+    SELECT p.anchor_id, p.id AS positive_id, p.score AS positive_score, n.id AS negative_id, n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INTEGER AS rank
+    FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+     AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
+
+ORACLE = {
+    "op1_url_filter": OP1,
+    "op2_mix_sources": OP2,
+    "op4_license_scan": _licenses(),
+    "op11_decontaminate": OP11,
+    "op13_hard_negatives": OP13,
+}

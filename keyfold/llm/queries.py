@@ -6,10 +6,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, htmltext, licenses, lmscore, mixing, neardup, quality, tokencount, urls, vectordup
+from . import (
+    alignment,
+    bpe,
+    decontaminate,
+    htmltext,
+    licenses,
+    lmscore,
+    mixing,
+    neardup,
+    negatives,
+    quality,
+    tokencount,
+    urls,
+    vectordup,
+)
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 2048
 URL_RULES = [
     urls.Rule("block", "net", "/"),
@@ -89,6 +105,31 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score_documents(docs, model, keep=["doc_id"])
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_benchmark(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op12_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align_tokens(docs, BYTE_TOKENIZER, PIECE_TOKENIZER, keep=["doc_id"])
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("bigint")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.hard_negatives(vectors, lambda vec_id: vec_id % 100 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -102,5 +143,8 @@ QUERIES = {
         op8_html_text,
         op9_near_vectors,
         op10_lm_score,
+        op11_decontaminate,
+        op12_align_tokens,
+        op13_hard_negatives,
     )
 }
