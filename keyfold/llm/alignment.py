@@ -1,9 +1,13 @@
 """How the tokens of two tokenizers lie over each other in the same text.
 
-Within a batch, ``merge_asof`` by document finds for each token's start the token of
-the other side that covers it; both directions together give all overlaps. Where
-the two tokens of an overlap end alike, both sides break, and these places cut a
-document into groups. All pairs of tokens of a group are links.
+Within a batch, ``merge_asof`` finds for each token's start the token of the other
+side that covers it; both directions together give all overlaps. Where the two
+tokens of an overlap end alike, both sides break, and these places cut a document
+into groups. All pairs of tokens of a group are links.
+
+Documents are first cut into cells, at spaces where neither side can go on. Tokens,
+groups and links of a document are those of its cells one after the other, so the
+equal cells of a batch are encoded and aligned once, with the cell as the key.
 
 In how many documents a pair of ids is linked is counted over the whole corpus.
 Documents are kept in chunks of bounded size, each with one row for every different
@@ -35,14 +39,17 @@ from .common import BROADCAST_BYTES
 from .tokencount import batches_of
 from .wordbpe import _byte_symbols
 
-# Bytes of text aligned in one step, and the length at which a text is cut where both sides break.
-STEP, CELL = 1 << 20, 1 << 16
+# Characters of texts, and of different cells, worked on in one step.
+STEP, PORTION = 8 << 20, 1 << 20
 # Pairs of documents in a chunk, and groups with more links are counted by different ids.
 CHUNK_PAIRS, WIDE = 1 << 22, 1 << 12
 # Pairs of a chunk in one row of the stored table.
 ROW_PAIRS = 1 << 15
+# Bytes of cells encoded as one text.
+_TEXT = 1 << 14
 _SPACE = "▁"
-_BREAK = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
+# A space between characters that are white space to neither side: both start a token there.
+_BREAK = re.compile("(?<=[!-~\u00a1-\u024f]) (?=[!-~\u00a1-\u024f])")
 
 ALIGNED = StructType(
     [StructField(n, LongType()) for n in ("n_a", "n_b", "n_groups", "n_links")] + [StructField("groups_sha256", StringType())]
@@ -71,38 +78,54 @@ class Pair:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)
         ]
         self.width_a, self.width_b = (np.array([len(t) for t in side], np.int64) for side in (self.bytes_a, self.bytes_b))
-        # A space between two letters starts a token of both, unless a piece has one within.
+        # No token of side B has a space within, so neither side goes on over such a break.
         self.breaks = not any(_SPACE in p.lstrip(_SPACE) for p in pieces)
 
     def cells(self, text: str) -> list[str]:
-        """The text in parts of about ``CELL`` characters that are encoded alike on their own.
+        """The parts of a text that either side encodes alike on their own; the spaces between are left out.
+
+        Both sides get a space before each part.
+        """
+        return _BREAK.split(text) if self.breaks else [text]
+
+    def encode(self, cells: Sequence[str]) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """The tokens of both sides for each cell, none where they do not spell a space and the cell.
 
-        The space at a cut is left out: both sides get one before each part.
+        Cells that stand next to each other in one text break where they meet, so
+        they are encoded as texts of some length.
         """
-        if len(text) <= CELL or not self.breaks:
-            return [text]
-        parts, at = [], 0
-        while len(text) - at > CELL and (found := _BREAK.search(text, at + CELL - 1024)):
-            parts.append(text[at : found.start()])
-            at = found.end()
-        return [*parts, text[at:]]
-
-    def encode(self, texts: Sequence[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both sides for each text, none where they do not spell a space and the text."""
-        cells = [self.cells(t) if t else [] for t in texts]
-        flat = [c for parts in cells for c in parts]
-        found_a = (e.ids for e in self.a.encode_batch_fast([" " + c for c in flat], add_special_tokens=False)) if flat else iter(())
-        found_b = iter(self.b.encode(flat, num_threads=1) if flat else ())
-        out_a, out_b = [], []
-        for text, parts in zip(texts, cells, strict=True):
-            ids_a = [i for _ in parts for i in next(found_a)]
-            ids_b = [i for _ in parts for i in next(found_b)]
-            wanted = b" " + (text or "").encode()
-            spelled = (b"".join(map(side.__getitem__, ids)) for side, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b)))
-            same = bool(text) and all(s == wanted for s in spelled)
-            out_a.append(ids_a if same else [])
-            out_b.append(ids_b if same else [])
-        return out_a, out_b
+        ends = np.cumsum([len(c.encode()) + 1 for c in cells])
+        texts, first = [], [0]
+        for end in range(1, len(cells) + 1):
+            if end == len(cells) or not self.breaks or not _meet(cells[end - 1], cells[end]) or ends[end - 1] - ends[first[-1]] > _TEXT:
+                texts.append(" ".join(cells[first[-1] : end]))
+                first.append(end)
+        spaced = [" " + t for t in texts]
+        found = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)], self.b.encode(texts, num_threads=1)
+        sides, odd = [], []
+        for ids, spelling, widths in zip(found, (self.bytes_a, self.bytes_b), (self.width_a, self.width_b), strict=True):
+            odd += [i for i, t in enumerate(spaced) if b"".join(map(spelling.__getitem__, ids[i])) != t.encode()]
+            sides.append((ids, widths))
+        if odd and len(cells) > 1:
+            return self._apart(cells, texts, first, set(odd))
+        if odd:
+            return tuple(_tokens(np.empty(0, np.int64), self.width_a, ends[:0]) for _ in sides)
+        return tuple(_tokens(np.concatenate([np.array(i, np.int64) for i in ids]), widths, ends) for ids, widths in sides)
+
+    def _apart(self, cells, texts, first, odd) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """The same where a text is not spelled as it stands: the cells of such texts on their own."""
+        parts = []
+        for i in range(len(texts)):
+            alone = i in odd
+            for start in range(first[i], first[i + 1]) if alone else (first[i],):
+                stop = start + 1 if alone else first[i + 1]
+                parts.append([frame.assign(doc=frame["doc"] + start) for frame in self.encode(cells[start:stop])])
+        return tuple(pd.concat([p[side] for p in parts], ignore_index=True).assign(at=lambda f: np.arange(len(f))) for side in (0, 1))
+
+
+def _meet(left: str, right: str) -> bool:
+    """Whether a space between two cells is a break."""
+    return all("!" <= c <= "~" or "\u00a1" <= c <= "\u024f" for c in (left[-1], right[0]))
 
 
 @lru_cache(maxsize=1)
@@ -111,15 +134,12 @@ def _pair(path_a: str, path_b: str) -> Pair:
     return Pair(path_a, path_b)
 
 
-def _tokens(ids: list[list[int]], widths: np.ndarray) -> pd.DataFrame:
-    """One row a token: document, id, first byte and the byte after the last."""
-    sizes = np.array([len(i) for i in ids], np.int64)
-    flat = np.concatenate([np.array(i, np.int64) for i in ids]) if ids else np.empty(0, np.int64)
-    doc = np.repeat(np.arange(len(ids)), sizes)
-    ends = np.cumsum(widths[flat])
-    before = np.concatenate([[0], ends])[np.cumsum(sizes) - sizes]
-    ends -= before[doc]
-    return pd.DataFrame({"doc": doc, "id": flat, "start": ends - widths[flat], "end": ends, "at": np.arange(len(flat))})
+def _tokens(ids: np.ndarray, widths: np.ndarray, cell_ends: np.ndarray) -> pd.DataFrame:
+    """One row a token: cell, id, first byte and the byte after the last, counted over all cells."""
+    sizes = widths[ids]
+    ends = np.cumsum(sizes)
+    doc = np.searchsorted(cell_ends, ends, side="left")
+    return pd.DataFrame({"doc": doc, "id": ids, "start": ends - sizes, "end": ends, "at": np.arange(len(ids))})
 
 
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -162,20 +182,15 @@ class Aligned:
         np.add.at(total, self.doc, links)
         return {"n_a": per_doc(self.a["doc"]), "n_b": per_doc(self.b["doc"]), "n_groups": per_doc(self.doc), "n_links": total}
 
-    def digests(self) -> list[str]:
-        """Groups as text, hashed; nothing for a document without tokens."""
-        out = [""] * self.n_docs
-        spelled_a, spelled_b = (x["id"].astype(str).tolist() for x in (self.a, self.b))
-        first_a, first_b = self.first_a.tolist(), self.first_b.tolist()
+    def spelled(self) -> list[str]:
+        """The groups of each document as text."""
+        spelled = []
+        for frame, first in ((self.a, self.first_a), (self.b, self.first_b)):
+            ids, at = list(map(str, frame["id"].tolist())), first.tolist()
+            spelled.append([ids[i] if j - i == 1 else ",".join(ids[i:j]) for i, j in zip(at, at[1:])])
+        groups = list(map("|".join, zip(*spelled, strict=True)))
         where = np.searchsorted(self.doc, np.arange(self.n_docs + 1)).tolist()
-        for doc in range(self.n_docs):
-            if where[doc] < where[doc + 1]:
-                parts = (
-                    ",".join(spelled_a[first_a[g] : first_a[g + 1]]) + "|" + ",".join(spelled_b[first_b[g] : first_b[g + 1]])
-                    for g in range(where[doc], where[doc + 1])
-                )
-                out[doc] = hashlib.sha256(";".join(parts).encode()).hexdigest()
-        return out
+        return [";".join(groups[i:j]) for i, j in zip(where, where[1:])]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Document, pair and number of links, sorted, each document's pair once."""
@@ -195,13 +210,65 @@ class Aligned:
             code.append((a[:, None] * self.size_b + b).reshape(-1))
             times.append((n_a[:, None] * n_b).reshape(-1))
             doc.append(np.full(len(code[-1]), self.doc[g]))
-        doc, code, times = map(np.concatenate, (doc, code, times))
-        order = np.lexsort((code, doc))
-        doc, code, times = doc[order], code[order], times[order]
-        new = np.ones(len(doc), bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (code[1:] != code[:-1])
-        first = np.flatnonzero(new)
-        return doc[first], code[first], np.add.reduceat(times, first) if len(first) else times
+        return _summed(*map(np.concatenate, (doc, code, times)))
+
+
+def _portions(cells: Sequence[str]) -> Iterator[Sequence[str]]:
+    start = size = 0
+    for i, cell in enumerate(cells):
+        if size and size + len(cell) > PORTION:
+            yield cells[start:i]
+            start, size = i, 0
+        size += len(cell) + 1
+    if start < len(cells):
+        yield cells[start:]
+
+
+def align_texts(pair: Pair, texts: Sequence[str | None]) -> tuple[dict[str, np.ndarray], list[str], tuple[np.ndarray, ...]]:
+    """Counts and digests of texts, and text, pair of ids and number of links, sorted."""
+    number: dict[str, int] = {}
+    numbers, ends = [], [0]
+    for text in texts:
+        numbers += [number.setdefault(c, len(number)) for c in (pair.cells(text) if text else ())]
+        ends.append(len(numbers))
+    parts, spelled, done = [], [], 0
+    for portion in _portions(list(number)):
+        found = Aligned(*pair.encode(portion), len(portion), len(pair.bytes_b))
+        cell, code, times = found.pairs()
+        parts.append((found.counts(), cell + done, code, times))
+        spelled += found.spelled()
+        done += len(portion)
+    none = np.empty(0, np.int64)
+    own = {n: np.concatenate([none, *[p[0][n] for p in parts]]) for n in ALIGNED.names[:-1]}
+    cell_of, code, times = (np.concatenate([none, *[p[i] for p in parts]]) for i in (1, 2, 3))
+
+    # A text with a cell that one side does not spell has no tokens.
+    cells, ends = np.array(numbers, np.int64), np.array(ends)
+    text_of = np.repeat(np.arange(len(texts)), np.diff(ends))
+    odd = np.bincount(text_of[own["n_a"][cells] == 0], minlength=len(texts)) > 0
+    cells, text_of = cells[~odd[text_of]], text_of[~odd[text_of]]
+    ends = np.searchsorted(text_of, np.arange(len(texts) + 1))
+    totals = {n: np.diff(np.concatenate([[0], np.cumsum(x[cells])])[ends]) for n, x in own.items()}
+    listed = [spelled[c] for c in cells.tolist()]
+    digests = [hashlib.sha256(";".join(listed[i:j]).encode()).hexdigest() if i < j else "" for i, j in zip(ends, ends[1:])]
+
+    # The pairs of a text's different cells, each as often as the cell stands there.
+    key, often = np.unique(text_of << 32 | cells, return_counts=True)
+    text_of, cells = key >> 32, key & 0xFFFFFFFF
+    first = np.searchsorted(cell_of, np.arange(len(number) + 1))
+    sizes = np.diff(first)[cells]
+    at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(first[cells], sizes)
+    return totals, digests, _summed(np.repeat(text_of, sizes), code[at], times[at] * np.repeat(often, sizes))
+
+
+def _summed(doc: np.ndarray, code: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each document's pair once, sorted."""
+    order = np.lexsort((code, doc))
+    doc, code, times = doc[order], code[order], times[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (code[1:] != code[:-1])
+    first = np.flatnonzero(new)
+    return doc[first], code[first], np.add.reduceat(times, first) if len(first) else times
 
 
 def pack(places: np.ndarray, times: np.ndarray) -> bytes:
@@ -296,10 +363,9 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, keep: Sequence[str]
         for batch in batches:
             for start, end in batches_of(batch.column("text"), STEP):
                 part = batch.slice(start, end - start)
-                ids_a, ids_b = pair.encode(part.column("text").to_pylist())
-                found = Aligned(_tokens(ids_a, pair.width_a), _tokens(ids_b, pair.width_b), len(part), sizes[1])
+                found = align_texts(pair, part.column("text").to_pylist())
                 chunk = chunk or _Chunk(schema.names, part.column("doc").type)
-                chunk.add(part.column("doc"), found.counts(), found.digests(), found.pairs())
+                chunk.add(part.column("doc"), *found)
                 if chunk.size >= chunk_pairs:
                     yield from chunk.batches()
                     chunk = None
