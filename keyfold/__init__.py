@@ -1,6 +1,8 @@
 """Summaries of very large tables of keyed measurements, on PySpark."""
 
 from .operators.apply import apply_per_batch, apply_per_chunk
+from .operators.fold import Extremes, Fold, MeanVariance, fold_by_key, merge_fold, partial_fold
+from .operators.gate import gate_stations
 from .operators.keys import (
     distinct_stations,
     drop_stations,
@@ -23,6 +25,7 @@ from .operators.summary import (
     summarize,
     table_shape,
 )
+from .operators.stored import lookup_stored, open_result, row_of, store_result
 from .plans.from_text import chunk_mean_report, station_report
 from .schema import build_schema
 from .sources.delimited import (
@@ -33,6 +36,9 @@ from .sources.delimited import (
     scan_delimited,
     scan_late_cast,
     scan_lines,
+    write_chunk_files,
     write_lines,
 )
+from .sources.divided import divide_lines
+from .sources.head import head_lines, preview_head
 from .streaming.incremental import compact, incremental_stats, latest_stats, run_available

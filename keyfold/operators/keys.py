@@ -18,6 +18,8 @@ from pyspark.sql.types import (
 
 from ..schema import STATION
 from ..storage import store
+from .gate import MOST_BYTES as GATE_BYTES
+from .gate import gate_stations
 
 BROADCAST_BYTES = 32 << 20
 # A station with more rows than this is spread, so that no task gets many more.
@@ -68,6 +70,13 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def _counted_part(df: DataFrame) -> tuple[DataFrame, float]:
+    """``df`` or a sample of it of about ``COUNTED_BYTES``, and its share."""
+    size = estimated_bytes(df)
+    fraction = 1.0 if size >= UNKNOWN_BYTES else min(1.0, COUNTED_BYTES / max(1, size))
+    return (df.sample(fraction, seed=1) if fraction < 1 else df), fraction
+
+
 def station_salts(
     df: DataFrame, rows_per_task: int = ROWS_PER_TASK, salts: int | None = None
 ) -> DataFrame:
@@ -76,11 +85,7 @@ def station_salts(
     ``salts`` is about the rows over ``rows_per_task``, or as given. Only the
     station is read, and of a large table only a sample of its rows counts.
     """
-    stations = df.select(STATION).filter(F.col(STATION).isNotNull())
-    size = estimated_bytes(stations)
-    fraction = 1.0 if size >= UNKNOWN_BYTES else min(1.0, COUNTED_BYTES / max(1, size))
-    if fraction < 1:
-        stations = stations.sample(fraction, seed=1)
+    stations, fraction = _counted_part(df.select(STATION).filter(F.col(STATION).isNotNull()))
     needed = F.ceil(F.count(F.lit(1)) / (fraction * rows_per_task))
     counted = stations.groupBy(STATION).agg(needed.alias("_salts")).filter("_salts > 1")
     given = F.col("_salts") if salts is None else F.lit(salts).cast("bigint")
@@ -104,6 +109,7 @@ def join_on_station(
     rows_per_task: int = ROWS_PER_TASK,
     salts: int | None = None,
     salt_on: str | None = None,
+    gate_bytes: int = GATE_BYTES,
 ) -> DataFrame:
     """Join ``df`` to a table with one row per station; any type of join but cross.
 
@@ -113,8 +119,14 @@ def join_on_station(
     ``rows_per_task`` rows gets as many salts as that takes (or ``salts``), its
     row in ``keyed`` is repeated for each, and all others have salt 0.
 
+    Before that, a Bloom filter of the stations of ``keyed``, of ``gate_bytes`` at
+    most, drops rows of ``df`` that a join without need of them would drop anyway
+    (inner, semi and right); 0 is no filter.
+
     The salt follows the hash of a row's columns, or of ``salt_on``, so a task run
-    twice places its rows alike. The salted join finds the rows of ``df`` with
+    twice places its rows alike. Rows of a hot station that are alike in all columns
+    and more than ``rows_per_task`` are counted, and as counts they are dealt evenly
+    to the salts. The salted join finds the rows of ``df`` with
     their match; in a right or full join, the rows of ``keyed`` whose station
     ``df`` does not have come from a step of their own. So the size decides how
     rows move and not which come out.
@@ -125,6 +137,8 @@ def join_on_station(
     keyed = store(keyed, "keyed")
     if _stored_bytes(keyed) <= broadcast_bytes:
         return df.join(F.broadcast(keyed), STATION, how)
+    if gate_bytes and how in ("inner", "left_semi", "right"):
+        df = gate_stations(df, keyed.select(STATION), gate_bytes)
     if how in ("right", "full"):
         joined = _salted_join(df, keyed, "inner" if how == "right" else "left", rows_per_task, salts, salt_on)
         unmet = keyed.join(distinct_stations(df), STATION, "left_anti")
@@ -136,17 +150,50 @@ def _salted_join(df, keyed, how, rows_per_task, salts, salt_on) -> DataFrame:
     hot = station_salts(df, rows_per_task, salts)
     if _stored_bytes(hot) <= BROADCAST_BYTES:
         hot = F.broadcast(hot)
-    row = [salt_on] if salt_on else df.columns
-    spread = F.when(F.col(STATION).isNull(), NULL_SALTS).otherwise(F.coalesce("_salts", F.lit(1)))
-    salted = (
-        df.withColumn("_place", F.xxhash64(*row))
-        .join(hot, STATION, "left")
-        .withColumn("_salt", F.pmod("_place", spread).cast("int"))
-        .drop("_salts", "_place")
-    )
+    salted = salted_rows(df, hot, rows_per_task, salt_on)
     every_salt = F.sequence(F.lit(0), (F.coalesce("_salts", F.lit(1)) - 1).cast("int"))
     repeated = keyed.join(hot, STATION, "left").withColumn("_salt", F.explode(every_salt)).drop("_salts")
-    return salted.join(repeated, [STATION, "_salt"], how).drop("_salt")
+    joined = salted.join(repeated, [STATION, "_salt"], how).drop("_salt")
+    if "_copies" in joined.columns:
+        joined = joined.withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+    return joined.drop("_copies")
+
+
+def salted_rows(df: DataFrame, hot: DataFrame, rows_per_task: int, salt_on: str | None = None) -> DataFrame:
+    """``df`` with ``_salt``; with ``_copies`` too if there are equal rows that a salt by hash would not spread."""
+    row = [salt_on] if salt_on else df.columns
+    spread = F.when(F.col(STATION).isNull(), NULL_SALTS).otherwise(F.coalesce("_salts", F.lit(1)))
+    placed = df.withColumn("_place", F.xxhash64(*row))
+    by_hash = F.pmod("_place", spread).cast("int").alias("_salt")
+    repeated = _repeated_rows(placed, hot, rows_per_task)
+    if repeated is None:
+        return placed.join(hot, STATION, "left").select(*df.columns, by_hash)
+    key = [STATION, "_place"]
+    # Rows without a station are no repeated rows, and an anti join keeps them.
+    single = placed.join(repeated, key, "left_anti").join(hot, STATION, "left")
+    single = single.select(*df.columns, by_hash, F.lit(1).cast("bigint").alias("_copies"))
+    counted = placed.join(repeated, key, "left_semi").groupBy(*df.columns, "_place").agg(F.count(F.lit(1)).alias("_n"))
+    dealt = counted.join(hot, STATION).withColumn("_i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_salts") - 1)))
+    salt = F.pmod(F.pmod("_place", F.col("_salts")) + F.col("_i"), F.col("_salts")).cast("int")
+    share = F.floor(F.col("_n") / F.col("_salts")) + F.when(F.col("_i") < F.col("_n") % F.col("_salts"), 1).otherwise(0)
+    many = dealt.select(*df.columns, salt.alias("_salt"), share.cast("bigint").alias("_copies")).filter("_copies > 0")
+    return single.unionByName(many)
+
+
+def _repeated_rows(placed: DataFrame, hot: DataFrame, rows_per_task: int) -> DataFrame | None:
+    """Station and hash of rows that are repeated more than ``rows_per_task`` times; None if there are none.
+
+    Rows are counted on a sample, as stations are. A table with a map column has
+    none, since such rows cannot be counted.
+    """
+    if any("map<" in f.dataType.simpleString() for f in placed.schema) or not hot.head(1):
+        return None
+    part, fraction = _counted_part(placed.select(STATION, "_place"))
+    counts = part.join(hot.select(STATION), STATION, "left_semi").groupBy(STATION, "_place").count()
+    found = store(counts.filter(F.col("count") > fraction * rows_per_task).select(STATION, "_place"), "repeated")
+    if not found.head(1):
+        return None
+    return F.broadcast(found) if _stored_bytes(found) <= BROADCAST_BYTES else found
 
 
 def keep_stations(df: DataFrame, keys: DataFrame, **how_to_join) -> DataFrame:

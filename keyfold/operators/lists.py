@@ -31,21 +31,32 @@ def group_to_list(
     """``station, chunk, temps``: the sorted values of a station in one chunk.
 
     Chunks of ``number_chunks`` bound a list by themselves. For any other chunk,
-    ``most`` does: the rows are counted, and a station with more in a chunk has
-    several lists there, each of at most about ``most`` values and none lost.
+    ``most`` does: a station with more rows in a chunk has several lists there, each
+    of at most about ``most`` values and none lost. Equal values are counted before
+    anything else, and a count is dealt out in pieces, each by its value and number.
+    So the list a value goes to depends on the data alone, however rows are ordered
+    and whichever task is run again, and a value that fills a station is spread.
+    Zero has no sign then.
     """
+    if most is None:
+        lists = df.groupBy(STATION, chunk).agg(F.sort_array(F.collect_list(TEMP)).alias("temps"))
+        return lists.select(STATION, chunk, "temps")
     keys = [STATION, chunk]
-    if most is not None:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most)
-        large = store(counts.select(*keys, F.ceil(2 * F.col("_n") / most).alias("_parts")), "large")
-        same = [F.col(f"d.{k}").eqNullSafe(F.col(f"l.{k}")) for k in keys]
-        df = df.alias("d").join(large.alias("l"), same, "left").select("d.*", "_parts")
-        # Where a row stands decides on its part, so equal values are spread as well.
-        place = F.xxhash64(F.monotonically_increasing_id())
-        df = df.withColumn("_part", F.pmod(place, F.coalesce("_parts", F.lit(1))))
-        keys = [*keys, "_part"]
-    lists = df.groupBy(*keys).agg(F.sort_array(F.collect_list(TEMP)).alias("temps"))
-    return lists.select(STATION, chunk, "temps")
+    counted = store(df.groupBy(*keys, TEMP).agg(F.count(F.lit(1)).alias("_n")), "values")
+    sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_rows")).filter(F.col("_rows") > most)
+    large = store(sizes.select(*keys, F.ceil(2 * F.col("_rows") / most).alias("_parts")), "large")
+    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"l.{k}")) for k in keys]
+    found = counted.alias("d").join(large.alias("l"), same, "left").select("d.*", F.coalesce("_parts", F.lit(1)).alias("_parts"))
+    piece = max(1, most // 64)
+    cut = F.when(F.col("_parts") == 1, F.lit(1)).otherwise(F.ceil(F.col("_n") / piece))
+    pieces = found.withColumn("_cut", cut).withColumn("_piece", F.explode(F.sequence(F.lit(1), F.col("_cut").cast("bigint"))))
+    last = F.col("_piece") == F.col("_cut")
+    size = F.when(last, F.col("_n") - (F.col("_cut") - 1) * piece).otherwise(piece).cast("int")
+    part = F.pmod(F.xxhash64(TEMP, "_piece"), F.col("_parts"))
+    dealt = pieces.select(*keys, part.alias("_part"), F.struct(F.col(TEMP).alias("temp"), size.alias("n")).alias("_some"))
+    values = F.flatten(F.transform(F.collect_list("_some"), lambda x: F.array_repeat(x["temp"], x["n"])))
+    lists = dealt.groupBy(*keys, "_part").agg(values.alias("temps"))
+    return lists.select(*keys, F.sort_array(F.filter("temps", lambda x: x.isNotNull())).alias("temps"))
 
 
 def merge_lists(lists: DataFrame, fan_in: int = 8, chunk: str = CHUNK) -> DataFrame:

@@ -27,14 +27,15 @@ def station_report(
 def chunk_mean_report(
     spark: SparkSession,
     path: str,
-    num_chunks: int,
+    num_chunks: int | None = None,
     scale: int | None = 1,
     trailing_sep: bool = False,
     columns: Sequence[str] = RESULT,
 ) -> DataFrame:
-    """The report with the mean of the means of ``num_chunks`` input splits.
+    """The report with the mean of the means of the chunks of the input.
 
-    These means depend on where the input is cut. ``columns`` are rounded, the
+    Chunks are the files, or, with ``num_chunks``, parts of them, as ``scan_chunks``
+    says. The mean depends on where they are cut. ``columns`` are rounded, the
     others printed as they are.
     """
     chunks = chunk_summary(scan_chunks(spark, path, num_chunks), scale)

@@ -70,13 +70,25 @@ FROM ({lines or _lines(view, name)})"""
 
 ALARMING = "SELECT station FROM u WHERE event_type = 'error' AND temp > 100"
 
-FULL = f"""WITH {U},
-low AS (
-  SELECT station, {_round('min(temp)')} AS t_min, {_round(MEAN)} AS t_mean, {_round('max(temp)')} AS t_max
-  FROM u WHERE station < '3' GROUP BY station),
-high AS (SELECT event_id, station FROM u WHERE station > '2')
+FULL = f"""WITH low AS (
+  SELECT CAST(CAST(floor(c_acctbal / 10) AS BIGINT) AS VARCHAR) AS station, {_round('min(temp)')} AS t_min,
+         {_round(MEAN)} AS t_mean, {_round('max(temp)')} AS t_max
+  FROM (SELECT *, c_acctbal AS temp FROM customer) GROUP BY 1),
+high AS (SELECT event_id, CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS station FROM events)
 SELECT station, event_id, t_min, t_mean, t_max FROM high FULL JOIN low USING (station)"""
 
+LOOKUP = f"""WITH {U}, names AS (SELECT DISTINCT station FROM ({ALARMING}))
+SELECT station, {_round('min(temp)')} AS t_min, {_round(MEAN)} AS t_mean, {_round('max(temp)')} AS t_max
+FROM u JOIN names USING (station) GROUP BY station"""
+
+# Whole numbers of the last decimal, whose sums are exact.
+UNITS = f"CAST(round(temp * {10**SCALE}) AS HUGEINT)"
+
+_CHUNK_LINES = f"""WITH {M}, chunks AS ({_chunks('m')})
+SELECT station, station || '=' || printf('%.1f', round_even(min(temp_minimum), 1)) || '/'
+       || printf('%.1f', round_even(avg(temp_mean), 1)) || '/' || printf('%.1f', round_even(max(temp_maximum), 1)) AS line
+FROM chunks GROUP BY station"""
+
 ORACLE: dict[str, str] = {
     "station_summary": _summary(A, "a"),
     "station_summary_wide": _summary(P, "p"),
@@ -97,6 +109,13 @@ UNION ALL
 SELECT event_type, 'no delimiter' FROM events WHERE event_type = 'view'""",
     "input_chunks": _summary(M, "m"),
     "preview_head": f"WITH {M} SELECT event_id, station, temp FROM m ORDER BY event_id LIMIT 10",
+    "preview_file_head": f"WITH {M} SELECT station, temp FROM m ORDER BY event_id LIMIT 10",
+    "strict_good_rows": f"""WITH {M}
+SELECT station, temp FROM m WHERE station NOT IN ('error', 'view')""",
+    "strict_set_aside": """SELECT event_type || ';' || props AS line, 'not a finite number' AS reason
+FROM events WHERE event_type = 'error'
+UNION ALL
+SELECT event_type, 'no delimiter' FROM events WHERE event_type = 'view'""",
     "rename_columns": f"WITH {A} SELECT station, temp FROM a",
     "partial_state": f"WITH {M} {_states('m')}",
     "merge_state": _summary(M, "m"),
@@ -104,6 +123,15 @@ SELECT event_type, 'no delimiter' FROM events WHERE event_type = 'view'""",
     "mean_of_means": f"""WITH {M}, chunks AS ({_chunks('m')})
 SELECT station, min(temp_minimum) AS t_min, {_round('avg(temp_mean)')} AS t_mean, max(temp_maximum) AS t_max
 FROM chunks GROUP BY station""",
+    "chunk_mean_report": _report(M, "m", "}", _CHUNK_LINES),
+    "fold_mean_variance": f"""WITH {P}
+SELECT station, count(temp) AS n, CAST(sum({UNITS}) AS DOUBLE) / {10**SCALE} / count(temp) AS mean,
+       CAST(count(temp) * sum({UNITS} * {UNITS}) - sum({UNITS}) * sum({UNITS}) AS DOUBLE)
+       / CAST(count(temp) * CAST(count(temp) AS HUGEINT) * {10 ** (2 * SCALE)} AS DOUBLE) AS variance
+FROM p GROUP BY station""",
+    "fold_extremes": f"""WITH {M}, ends AS (SELECT chunk, station, min(temp) AS low, max(temp) AS high FROM m GROUP BY chunk, station)
+SELECT chunk, station, low, count(*) FILTER (temp = low) AS n_low, high, count(*) FILTER (temp = high) AS n_high
+FROM m JOIN ends USING (chunk, station) GROUP BY chunk, station, low, high""",
     "apply_chunk_summary": f"WITH {M} {_chunks('m')}",
     "apply_per_batch": f"""WITH {M}
 SELECT chunk, station, min(temp) AS t_min, max(temp) AS t_max, count(temp) AS n
@@ -119,6 +147,8 @@ FROM m GROUP BY chunk, station""",
     "union_chunks": f"WITH {M}, {A} {_chunks('m')} UNION ALL {_chunks('a')}",
     "filter_station": f"WITH {M} SELECT event_id, station, temp FROM m WHERE station = 'click'",
     "station_semi": f"""WITH {U}
+SELECT event_id, station, temp FROM u WHERE station IN ({ALARMING})""",
+    "station_semi_gated": f"""WITH {U}
 SELECT event_id, station, temp FROM u WHERE station IN ({ALARMING})""",
     "station_anti": f"""WITH {U}
 SELECT event_id, station, temp FROM u WHERE station NOT IN ({ALARMING})""",
@@ -128,9 +158,9 @@ SELECT states.* FROM states JOIN (SELECT DISTINCT station FROM ({ALARMING})) USI
 SELECT states.* FROM states JOIN (SELECT DISTINCT station FROM ({ALARMING})) USING (station)""",
     "full_join": FULL,
     "full_join_shuffled": FULL,
-    "lookup_join": f"""WITH {U}, names AS (SELECT DISTINCT station FROM ({ALARMING}))
-SELECT station, {_round('min(temp)')} AS t_min, {_round(MEAN)} AS t_mean, {_round('max(temp)')} AS t_max
-FROM u JOIN names USING (station) GROUP BY station""",
+    "lookup_join": LOOKUP,
+    "stored_lookup": LOOKUP,
+    "stored_point": f"SELECT * FROM ({_summary(P, 'p')}) WHERE station = '42'",
     "fn_split": f"""SELECT event_id, split_part(line, ';', 1) AS station, split_part(line, ';', 2) AS temp_text,
        CAST(len(string_split(line, ';')) AS INTEGER) AS n_fields
 FROM (SELECT event_id, {LINE} AS line FROM events)""",

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half_even
 from ..functions.text import SEP, after_sep, before_sep, finite_number, join_fields, number_text
-from ..operators import apply, keys, lists, partial, report, summary
+from ..operators import apply, fold, keys, lists, partial, report, stored, summary
 from ..schema import STATION, TEMP
-from ..sources import delimited
+from ..sources import delimited, divided, head
 from ..storage import new_path, store
 from ..streaming import incremental
 from . import from_text
@@ -19,11 +19,14 @@ from .views import (
     CHUNKS,
     LIST_ROWS,
     SCALE,
+    as_chunk_files,
     as_text,
+    by_balance,
     by_event_type,
     by_part,
     by_segment,
     by_user,
+    by_whole_value,
     table,
 )
 
@@ -100,6 +103,30 @@ def preview_head(spark, sf_dir):
     return head.select("event_id", STATION, TEMP)
 
 
+def preview_file_head(spark, sf_dir):
+    """The first lines of text, of which only the beginning is read."""
+    rows = by_event_type(spark, sf_dir).orderBy("event_id")
+    return head.preview_head(spark, as_text(rows), 10)
+
+
+def _mixed_lines(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    good = join_fields(F.col("event_type"), F.col("value"), SCALE)
+    line = F.when(F.col("event_type") == "error", F.concat_ws(SEP, "event_type", "props"))
+    path = new_path(spark, "mixed-rows")
+    events.select(line.when(F.col("event_type") == "view", F.col("event_type")).otherwise(good).alias("value")).write.text(path)
+    return divided.divide_lines(spark.read.text(path), new_path(spark, "divided"))
+
+
+def strict_good_rows(spark, sf_dir):
+    """What a strict scan takes of text with bad lines, which are set aside in the same pass."""
+    return _mixed_lines(spark, sf_dir).good
+
+
+def strict_set_aside(spark, sf_dir):
+    return _mixed_lines(spark, sf_dir).rejected
+
+
 def rename_columns(spark, sf_dir):
     return by_segment(spark, sf_dir).select(STATION, TEMP)
 
@@ -124,6 +151,21 @@ def mean_of_means(spark, sf_dir):
     return partial.mean_of_means(partial.chunk_summary(by_event_type(spark, sf_dir), SCALE))
 
 
+def chunk_mean_report(spark, sf_dir):
+    """From text, one file a chunk, to the report with the mean of the chunks' means."""
+    return from_text.chunk_mean_report(spark, as_chunk_files(by_event_type(spark, sf_dir)), scale=SCALE)
+
+
+def fold_mean_variance(spark, sf_dir):
+    """An aggregate in Python, whose states merge, over many stations."""
+    return fold.fold_by_key(by_part(spark, sf_dir), STATION, TEMP, fold.MeanVariance(SCALE))
+
+
+def fold_extremes(spark, sf_dir):
+    """The same over few hot stations, by chunk too."""
+    return fold.fold_by_key(by_event_type(spark, sf_dir), ["chunk", STATION], TEMP, fold.Extremes())
+
+
 def apply_per_batch(spark, sf_dir):
     rows = by_event_type(spark, sf_dir).select("chunk", STATION, TEMP)
     return apply.merge_batches(apply.apply_per_batch(rows, apply.group_batch, apply.BATCH_SCHEMA))
@@ -212,6 +254,13 @@ def station_anti(spark, sf_dir):
     return keys.drop_stations(users, _alarming(users)).select("event_id", STATION, TEMP)
 
 
+def station_semi_gated(spark, sf_dir):
+    """The same as if the keys were too many to broadcast: rows pass a Bloom filter before they are shuffled."""
+    users = by_user(spark, sf_dir)
+    found = keys.keep_stations(users, _alarming(users), broadcast_bytes=0)
+    return found.select("event_id", STATION, TEMP)
+
+
 def keys_join_partials(spark, sf_dir):
     users = by_user(spark, sf_dir)
     states = store(partial.partial_state(users, SCALE), "states")
@@ -238,13 +287,33 @@ def lookup_join(spark, sf_dir):
 
 
 def _full_join(spark, sf_dir, **how_to_join):
-    """Events with the summary of the user of the same number as their part, and users without."""
-    users = by_user(spark, sf_dir)
-    result = summary.rounded(summary.station_stats(users.filter("station < '3'"), SCALE))
-    rows = users.filter("station > '2'").select("event_id", STATION)
+    """Events by the whole part of their value with customers by tens of their balance.
+
+    Either side has stations that the other one has not.
+    """
+    result = summary.rounded(summary.station_stats(by_balance(spark, sf_dir), SCALE))
+    rows = by_whole_value(spark, sf_dir).select("event_id", STATION)
     return keys.join_on_station(rows, result, "full", **how_to_join)
 
 
+def stored_lookup(spark, sf_dir):
+    """The same from a result that is stored in buckets, which a lookup leaves where it is."""
+    users = by_user(spark, sf_dir)
+    table = _stored(spark, summary.rounded(summary.station_stats(users, SCALE)))
+    return stored.lookup_stored(_alarming(users), table)
+
+
+def stored_point(spark, sf_dir):
+    """One station of a stored result: a row group of one bucket is read."""
+    table = _stored(spark, summary.rounded(summary.station_stats(by_part(spark, sf_dir), SCALE)))
+    return stored.row_of(table, "42")
+
+
+def _stored(spark, result):
+    path = new_path(spark, "result")
+    return stored.store_result(result, path.rsplit("/", 1)[1].replace("-", "_"), path, buckets=8)
+
+
 def full_join(spark, sf_dir):
     return _full_join(spark, sf_dir)
 
@@ -392,11 +461,17 @@ QUERIES: dict[str, Query] = {
         strict_bad_rows,
         input_chunks,
         preview_head,
+        preview_file_head,
+        strict_good_rows,
+        strict_set_aside,
         rename_columns,
         partial_state,
         merge_state,
         chunk_summary,
         mean_of_means,
+        chunk_mean_report,
+        fold_mean_variance,
+        fold_extremes,
         apply_per_batch,
         apply_chunk_summary,
         group_to_list,
@@ -410,10 +485,13 @@ QUERIES: dict[str, Query] = {
         union_chunks,
         filter_station,
         station_semi,
+        station_semi_gated,
         station_anti,
         keys_join_partials,
         keys_join_shuffled,
         lookup_join,
+        stored_lookup,
+        stored_point,
         full_join,
         full_join_shuffled,
         fn_split,

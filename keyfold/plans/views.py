@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import STATION, TEMP
-from ..sources.delimited import write_lines
+from ..sources.delimited import write_chunk_files, write_lines
 from ..storage import new_path
 
 SCALE = 2
@@ -67,3 +67,22 @@ def as_text(df: DataFrame, rows_per_file: int = 0) -> str:
     path = new_path(df.sparkSession, "text")
     write_lines(df, path, SCALE, rows_per_file=rows_per_file)
     return path
+
+
+def as_chunk_files(df: DataFrame) -> str:
+    """Write the measurements as text, one file for each chunk, and return where."""
+    path = new_path(df.sparkSession, "chunks")
+    write_chunk_files(df, path, SCALE)
+    return path
+
+
+def by_whole_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by the whole part of their value: 0 to 490."""
+    whole = F.floor("value").cast("string")
+    return _view(table(spark, sf_dir, "events"), whole, "value", F.lit(0), "event_id")
+
+
+def by_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by tens of their balance: -100 to 999."""
+    tens = F.floor(F.col("c_acctbal") / 10).cast("string")
+    return _view(table(spark, sf_dir, "customer"), tens, "c_acctbal", F.lit(0))

@@ -150,19 +150,23 @@ def scan_lines(
     return parse_lines(spark.read.text(path), sep, strict)
 
 
-def rejected_lines(lines: DataFrame, sep: str = SEP) -> DataFrame:
-    """The rows of a text column ``value`` that a strict scan fails on, and why."""
-    line = F.col("value")
+def reject_reason(line: Column, sep: str = SEP) -> Column:
+    """Why a strict scan fails on a line that is not blank; NULL if it does not."""
     raw = after_sep(line, sep)
-    reason = (
+    return (
         F.when(~line.contains(sep), "no delimiter")
         .when(~has_one_sep(line, before_sep(line, sep), raw, sep), "extra field")
         .when(raw == "", "no value")
         .when(finite_number(raw).isNull(), "not a finite number")
     )
+
+
+def rejected_lines(lines: DataFrame, sep: str = SEP) -> DataFrame:
+    """The rows of a text column ``value`` that a strict scan fails on, and why."""
+    line = F.col("value")
     return (
         lines.filter(~is_blank(line, sep))
-        .select(line.alias("line"), reason.alias("reason"))
+        .select(line.alias("line"), reject_reason(line, sep).alias("reason"))
         .filter(F.col("reason").isNotNull())
     )
 
@@ -188,6 +192,15 @@ def _bytes_of(spark: SparkSession, setting: str) -> int:
     return int(text.rstrip("kmgt")) << shift
 
 
+def like_session(spark: SparkSession) -> SparkSession:
+    """Another session with the settings of ``spark``, to be changed without changing those."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    return session
+
+
 def session_for_chunks(spark: SparkSession, path: str | Sequence[str], num_chunks: int) -> SparkSession:
     """A session like ``spark`` whose scans of ``path`` have at least about ``num_chunks`` splits.
 
@@ -196,10 +209,7 @@ def session_for_chunks(spark: SparkSession, path: str | Sequence[str], num_chunk
     """
     if num_chunks < 1:
         raise ValueError("num_chunks must be at least 1")
-    session = spark.newSession()
-    for name, value in spark.conf.getAll.items():
-        if session.conf.isModifiable(name):
-            session.conf.set(name, value)
+    session = like_session(spark)
     size = max(1, math.ceil(input_bytes(spark, path) / num_chunks))
     # Spark aims at so many splits, and packs small files together into one.
     session.conf.set("spark.sql.files.minPartitionNum", str(num_chunks))
@@ -209,15 +219,31 @@ def session_for_chunks(spark: SparkSession, path: str | Sequence[str], num_chunk
 
 
 def scan_chunks(
-    spark: SparkSession, path: str | Sequence[str], num_chunks: int, sep: str = SEP
+    spark: SparkSession, path: str | Sequence[str], num_chunks: int | None = None, sep: str = SEP
 ) -> DataFrame:
-    """``scan_lines`` with the hint ``num_chunks``, and the split each row came from.
-
-    ``chunk`` is the number of the split. A large file has many, small files share one.
+    """``scan_lines`` with ``chunk``, the part of the input that each row came from.
+
+    A chunk is a struct of ``file`` and ``start``, the byte of the file at which it
+    begins. Without ``num_chunks`` a chunk is a whole file, however many tasks read
+    it. With it, files are cut to give at least about so many chunks, and every file
+    starts a new one. Neither depends on which task reads what, so a chunk is the
+    same when a task is run again, when small files are packed together, and for
+    any number of executors.
     """
-    session = session_for_chunks(spark, path, num_chunks)
-    split = F.spark_partition_id().cast("bigint")
-    return parse_lines(session.read.text(path).select(split.alias("chunk"), "value"), sep)
+    session = spark if num_chunks is None else session_for_chunks(spark, path, num_chunks)
+    start = F.lit(0).cast("bigint") if num_chunks is None else F.col("_metadata.file_block_start")
+    chunk = F.struct(F.col("_metadata.file_path").alias("file"), start.alias("start"))
+    return parse_lines(session.read.text(path).select(chunk.alias("chunk"), "value"), sep)
+
+
+def _line(scale: int, sep: str) -> Column:
+    """A measurement as a line of text; fails on what would not come back."""
+    name, temp = F.col(STATION), F.col(TEMP)
+    broken = name.contains(sep) | name.contains("\n") | name.contains("\r")
+    good = F.coalesce(~broken & is_finite(temp), F.lit(False))
+    text = F.concat(name, F.lit(sep), number_text(temp, scale))
+    line = F.when(good & scaled_integer(temp, scale).isNotNull(), text)
+    return F.coalesce(line, _fail(F.lit("cannot be written:"), name, temp.cast("string")))
 
 
 def write_lines(
@@ -228,10 +254,10 @@ def write_lines(
     Fails on what would not come back: no station, one with a separator or line
     end in it, no number, one that is not finite or has more than ``scale`` decimals.
     """
-    name, temp = F.col(STATION), F.col(TEMP)
-    broken = name.contains(sep) | name.contains("\n") | name.contains("\r")
-    good = F.coalesce(~broken & is_finite(temp), F.lit(False))
-    text = F.concat(name, F.lit(sep), number_text(temp, scale))
-    line = F.when(good & scaled_integer(temp, scale).isNotNull(), text)
-    line = F.coalesce(line, _fail(F.lit("cannot be written:"), name, temp.cast("string")))
-    df.select(line.alias("value")).write.option("maxRecordsPerFile", rows_per_file).text(path)
+    df.select(_line(scale, sep).alias("value")).write.option("maxRecordsPerFile", rows_per_file).text(path)
+
+
+def write_chunk_files(df: DataFrame, path: str, scale: int, chunk: str = "chunk", sep: str = SEP) -> None:
+    """``write_lines`` with one file for each value of ``chunk``, in a folder of its own."""
+    lines = df.select(F.col(chunk).alias("chunk"), _line(scale, sep).alias("value"))
+    lines.repartition("chunk").write.partitionBy("chunk").text(path)

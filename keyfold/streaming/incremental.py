@@ -5,6 +5,9 @@ State is one row per station, so it needs no watermark.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,9 +35,37 @@ def incremental_stats(
     return station_stats(parse_lines(reader.text(path)), scale)
 
 
-def run_available(stats: DataFrame, table: str, checkpoint: str, mode: str = "update") -> None:
+# State on local disk beside the heap, saved to the checkpoint as what changed.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def _with_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def run_available(stats: DataFrame, table: str, checkpoint: str, mode: str = "update") -> list[dict]:
     """Fold in all files that are there, then stop. Run it again when more have come.
 
+    State is kept in RocksDB, so it may outgrow the memory of the executors, and each
+    batch saves only what changed of it. A run goes on from what ``checkpoint`` has,
+    whether the one before it came to its end or was stopped. Returns the progress
+    of the batches.
+
     Each batch goes to a folder of its own below ``table``; a batch that is run
     again after a failure replaces it. ``update`` writes the stations that
     changed and suits many stations; ``complete`` writes all of them every time.
@@ -43,14 +74,12 @@ def run_available(stats: DataFrame, table: str, checkpoint: str, mode: str = "up
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
-    query = (
-        stats.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(write_batch)
-        .start()
-    )
+    writer = stats.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    # A query keeps the settings that hold when it starts.
+    with _with_settings(stats.sparkSession, STATE):
+        query = writer.foreachBatch(write_batch).start()
     query.awaitTermination()
+    return list(query.recentProgress)
 
 
 def _batches(spark: SparkSession, table: str) -> DataFrame:

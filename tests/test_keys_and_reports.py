@@ -254,3 +254,20 @@ def test_the_sign_of_zero_does_not_depend_on_order(measurements, order):
     assert str(chunk_summary(df).first().temp_minimum) == "0.0"
     assert str(partial_state(df).first().t_min) == "0.0"
     assert str(list_state(group_to_list(df)).first().t_max) == "0.0"
+
+
+def test_equal_rows_of_a_hot_station_are_spread(spark):
+    """A million equal rows, and others, over 16 salts: each gets its share, and few rows are shuffled."""
+    equal = spark.range(1_000_000).select(F.lit("hot").alias("station"), F.lit(1.5).alias("temp"))
+    other = spark.range(50_000).select(F.lit("hot").alias("station"), (F.col("id") + 0.5).alias("temp"))
+    df = equal.union(other).union(spark.createDataFrame([(None, 1.5), ("cold", 1.5)], "station STRING, temp DOUBLE"))
+    hot = station_salts(df, 100_000, 16)
+    salted = keys.salted_rows(df, hot, 100_000)
+    sizes = salted.filter("station = 'hot'").groupBy("_salt").agg(F.sum("_copies").alias("n"), F.count("*").alias("rows")).collect()
+    assert len(sizes) == 16 and sum(r.n for r in sizes) == 1_050_000
+    assert max(r.n for r in sizes) < 2 * min(r.n for r in sizes)
+    assert sum(r["rows"] for r in sizes) <= 50_000 + 16
+    names = spark.createDataFrame([("hot", 1), ("absent", 2)], "station STRING, code INT")
+    for how, n in (("inner", 1_050_000), ("left", 1_050_002), ("left_semi", 1_050_000), ("left_anti", 2), ("full", 1_050_003)):
+        joined = keys.join_on_station(df, names, how, broadcast_bytes=0, rows_per_task=100_000, salts=16)
+        assert "_copies" not in joined.columns and joined.count() == n

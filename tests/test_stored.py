@@ -1,0 +1,126 @@
+"""A result stored by station, and the filter that goes before a shuffle."""
+
+import glob
+import os
+import uuid
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from keyfold.operators import gate, keys, stored
+
+from plan_metrics import bytes_read, metric, named, nodes, rows_shuffled
+
+
+def name():
+    return f"result_{uuid.uuid4().hex}"
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """As if both sides of a join were large."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+@pytest.fixture(scope="module")
+def result(spark):
+    number = F.col("id")
+    return spark.range(20_000).select(
+        F.format_string("s%05d", number).alias("station"), (number / 10).alias("t_min"), (number / 5).alias("t_max")
+    )
+
+
+def test_a_lookup_leaves_the_table_where_it_is(spark, result, tmp_path, no_broadcast):
+    table = stored.store_result(result, name(), str(tmp_path / "r"), buckets=8)
+    few = spark.createDataFrame([("s00007",), ("s00007",), ("none",), (None,)], "station STRING")
+    assert [r.t_max for r in stored.lookup_stored(few, table).collect()] == [7 / 5]
+    many = result.select("station").union(few)
+    found = stored.lookup_stored(many, table)
+    (scan,) = named(found, "Scan parquet")
+    assert scan.bucketedScan()
+    # Every exchange is below the names, none above the table.
+    join = next(n for n in nodes(found) if "Join" in n.nodeName())
+    left = join.children().apply(0).toString()
+    assert "Scan parquet" in left and "Exchange" not in left
+    assert found.count() == 20_000
+
+
+def test_a_point_lookup_skips_buckets_and_row_groups(spark, result, tmp_path):
+    path = str(tmp_path / "r")
+    table = stored.store_result(result, name(), path, buckets=4, row_group_bytes=4096)
+    files = glob.glob(f"{path}/*.parquet")
+    groups = [pq.ParquetFile(f).metadata for f in files]
+    assert len(files) == 4 and min(g.num_row_groups for g in groups) > 5
+    found = stored.row_of(table, "s01234")
+    (scan,) = named(found, "Scan parquet")
+    read, _ = bytes_read(spark, found.collect)
+    assert read < max(map(os.path.getsize, files))
+    # What the scan gives are the rows of one row group at most, of thousands in the file.
+    largest = max(g.row_group(i).num_rows for g in groups for i in range(g.num_row_groups))
+    assert 1 <= metric(scan, "numOutputRows") <= largest < 2000
+    assert [r.t_min for r in found.collect()] == [123.4]
+
+
+def test_a_second_run_replaces_the_first(spark, result, tmp_path):
+    path, table_name = str(tmp_path / "r"), name()
+    stored.store_result(result, table_name, path, buckets=4)
+    again = stored.store_result(result.withColumn("t_max", F.lit(1.0)), table_name, path, buckets=4)
+    assert len(glob.glob(f"{path}/*.parquet")) == 4
+    assert again.count() == 20_000 and again.select("t_max").distinct().count() == 1
+
+
+def test_another_session_opens_it(spark, result, tmp_path):
+    path = str(tmp_path / "r")
+    stored.store_result(result, name(), path, buckets=4)
+    table = stored.open_result(spark, name(), path, buckets=4)
+    found = stored.row_of(table, "s00042")
+    read, rows = bytes_read(spark, found.collect)
+    assert read < 1.1 * max(map(os.path.getsize, glob.glob(f"{path}/*.parquet"))) and rows[0].t_min == 4.2
+    assert stored.lookup_stored(result.select("station").limit(10), table).count() == 10
+
+
+def test_empty_result(spark, result, tmp_path):
+    table = stored.store_result(result.limit(0), name(), str(tmp_path / "r"), buckets=4)
+    assert stored.lookup_stored(result.select("station"), table).count() == 0
+
+
+@pytest.fixture(scope="module")
+def large(spark):
+    station = F.when(F.col("id") % 3 == 0, "s00001").when(F.col("id") % 97 == 0, F.lit(None)).otherwise(F.format_string("s%05d", F.col("id") % 20_000))
+    return spark.range(0, 100_000, numPartitions=4).select(station.alias("station"), "id")
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi", "right", "left", "left_anti", "full"])
+def test_gate_changes_no_result(spark, large, result, how):
+    few = result.filter("station < 's00100'").union(spark.createDataFrame([("x", 0.0, 0.0), (None, 0.0, 0.0)], "station STRING, t_min DOUBLE, t_max DOUBLE"))
+    ways = [keys.join_on_station(large, few, how, **w) for w in ({}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "gate_bytes": 0})]
+    results = [sorted(map(tuple, w.select("station", "id" if "id" in w.columns else "t_min").collect()), key=repr) for w in ways]
+    assert results[0] == results[1] == results[2]
+
+
+def test_gate_drops_rows_before_the_shuffle(spark, large, result, no_broadcast):
+    """Of rows of other stations, only about one in a hundred is shuffled."""
+    few = result.filter("station between 's00100' and 's00199'")
+    own = large.join(few.select("station"), "station", "left_semi").count()
+    shuffled = {}
+    for size in (0, gate.MOST_BYTES):
+        found = keys.keep_stations(large, few, broadcast_bytes=0, gate_bytes=size, rows_per_task=1 << 30)
+        shuffled[size] = max(rows_shuffled(found))
+        assert found.count() == own
+    assert shuffled[0] == large.filter("station IS NOT NULL").count()
+    assert shuffled[gate.MOST_BYTES] < own + 0.02 * large.count()
+
+
+def test_filter_has_no_false_negatives_and_few_false_positives(spark, result):
+    half = result.filter(F.col("t_min") < 1000)
+    for most, share in ((gate.MOST_BYTES, 0.02), (10_000, 0.25)):
+        left = gate.gate_stations(result, half.select("station"), most).select("station", "t_min")
+        assert left.filter("t_min < 1000").count() == half.count()
+        assert left.filter("t_min >= 1000").count() < share * 10_000
+    assert gate.station_filter(half.select("station"), 100) is None
+    assert gate.gate_stations(result, half.select("station").limit(0)).count() == 0

@@ -1,5 +1,6 @@
 """The streamed summary equals the batch one, in one run or several."""
 
+import os
 import random
 
 import pytest
@@ -58,3 +59,37 @@ def test_a_bad_row_stops_the_stream(spark, tmp_path):
     stats = incremental_stats(spark, str(incoming))
     with pytest.raises(Exception, match="bad row"):
         run_available(stats, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+
+
+def test_state_is_in_rocksdb_and_outlives_a_stop(spark, tmp_path):
+    """Stopped half way, the stream goes on from its checkpoint and gives what a batch gives."""
+    incoming, table, checkpoint = (tmp_path / n for n in ("in", "out", "checkpoint"))
+    incoming.mkdir()
+    for i in range(6):
+        write_file(incoming, f"f{i}.txt", i, 50)
+    # A file that fails in the middle stops the run after some batches.
+    good = (incoming / "f3.txt").read_text()
+    (incoming / "f3.txt").write_text("broken\n")
+    # Files are taken in the order of their age.
+    ages = lambda: [os.utime(incoming / f"f{i}.txt", (10**9 + i, 10**9 + i)) for i in range(6)]
+    ages()
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        with pytest.raises(Exception, match="bad row"):
+            run_available(incremental_stats(spark, str(incoming), max_files=1), str(table), str(checkpoint))
+        done = len(list(table.glob("batch=*/_SUCCESS")))
+        assert done == 3
+        (incoming / "f3.txt").write_text(good)
+        ages()
+        progress = run_available(incremental_stats(spark, str(incoming), max_files=1), str(table), str(checkpoint))
+        assert "HDFS" in spark.conf.get(provider)
+    finally:
+        spark.conf.set(provider, before)
+    assert sum(p["numInputRows"] for p in progress) == 600
+    state = progress[-1]["stateOperators"][0]
+    assert state["numRowsTotal"] == 50
+    assert any(name.startswith("rocksdb") for name in state["customMetrics"])
+    assert list(checkpoint.glob("state/0/*/*.changelog"))
+    assert rows_of(latest_stats(spark, str(table))) == rows_of(station_stats(scan_lines(spark, str(incoming))))

@@ -1,6 +1,9 @@
 """Means, rounding and the ways to the same summary."""
 
+import os
 import random
+import subprocess
+import sys
 from decimal import Decimal
 from fractions import Fraction
 
@@ -301,3 +304,47 @@ def test_list_sums_do_not_overflow(spark):
     big = float(2**52)
     df = spark.createDataFrame([("A", [big] * 5000)], "station STRING, temps ARRAY<DOUBLE>")
     assert list_summary(df, scale=0, digits=None).first().t_mean == big
+
+
+def test_bounded_lists_depend_on_the_data_alone(measurements, spark):
+    """However rows are ordered and dealt to tasks, each value is in the same list."""
+    rows = [(0, "hot", float(i % 37)) for i in range(3000)] + [(0, "hot", 1.5)] * 2000 + [(1, None, None), (1, "B", 2.0)]
+    df = measurements(rows)
+    ways = [df.repartition(1), df.repartition(5, "temp"), df.orderBy(F.desc("temp")), df.repartition(11)]
+    lists = [sorted(map(repr, group_to_list(w, most=100).collect())) for w in ways]
+    assert lists[0] == lists[1] == lists[2] == lists[3]
+    whole = group_to_list(df, most=100)
+    assert whole.agg(F.sum(F.size("temps"))).first()[0] == len(rows) - 1
+    assert whole.agg(F.max(F.size("temps"))).first()[0] <= 100
+
+
+def test_bounded_lists_survive_a_lost_shuffle_file(spark, tmp_path):
+    """A task that is run again deals its rows as before: nothing is lost or doubled."""
+    script = tmp_path / "lost.py"
+    script.write_text(
+        """
+import glob, os, sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession, functions as F
+from keyfold.operators.lists import group_to_list
+local = sys.argv[2]
+spark = (SparkSession.builder.master("local[2,4]").config("spark.local.dir", local).config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "4").config("spark.sql.adaptive.enabled", "false").getOrCreate())
+df = spark.range(20000).select(F.lit(0).alias("chunk"), F.lit("hot").alias("station"), (F.col("id") % 613).cast("double").alias("temp"))
+lists = group_to_list(df.repartition(3), most=500)
+rdd = lists.rdd.map(lambda r: (len(r.temps), sum(r.temps)))
+first = sorted(rdd.collect())
+lost = glob.glob(local + "/**/shuffle_*.data", recursive=True)
+assert lost
+for path in lost:
+    os.remove(path)
+assert sorted(rdd.collect()) == first
+assert sum(n for n, _ in first) == 20000 and max(n for n, _ in first) <= 500
+print("SAME")
+"""
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    local = str(tmp_path / "local")
+    run = [sys.executable, str(script), root, local]
+    got = subprocess.run(run, capture_output=True, text=True, timeout=240, env=os.environ | {"SPARK_LOCAL_DIRS": local})
+    assert "SAME" in got.stdout, got.stderr[-2000:]
