@@ -5,8 +5,8 @@ adverts and the like is out by its element, role or class. The first pass judges
 a block by its length, its share of linked text and its share of stop words, and
 leaves the rest undecided. The second pass lets undecided blocks inherit from the
 nearest decided ones before and after. Where the page marks its article, that is
-a prior: within it a block is only bad if most of it is linked, outside of it only
-long prose is good. Of several kinds of marks the one with most prose counts, so
+a prior: within it a block is only bad if most of it is linked and others beside it
+are as well, outside of it only long prose is good. Of several kinds of marks the one with most prose counts, so
 teasers in <article> do not outdo a text in <main>.
 """
 
@@ -31,10 +31,12 @@ _RAW = "script|style|textarea"
 _HELD = frozenset("noscript template iframe object svg canvas select audio video map math".split())
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
-    r"""|<(/?)([a-z][a-z0-9:-]*)([^<>"']*(?:"[^"]*"[^<>"']*|'[^']*'[^<>"']*)*)>""",
+    # A quote only opens a value after an equals sign; elsewhere it is a character like others.
+    r"""|<(/?)([a-z][a-z0-9:-]*)((?:[^<>=]++|=\s*+(?>"[^"]*"|'[^']*')|=)*+)>""",
     re.IGNORECASE | re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""([a-z][a-z0-9:-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+_LINK_TAG = re.compile(r"<(/?)a[\s>]", re.IGNORECASE)
 _PART = re.compile(r"[a-z]+")
 
 _BLOCKS = frozenset(
@@ -43,7 +45,9 @@ _BLOCKS = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
-_OUT = frozenset("head title nav footer aside form button dialog menu fieldset".split())
+_OUT = frozenset("head title nav footer aside button dialog menu".split())
+# Out as well, unless nothing outside of them is prose: some pages are one form.
+_FORMS = frozenset(("form", "fieldset"))
 _OUT_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 # Words of a class or id that mark what is not the article.
 _OUT_WORDS = frozenset(
@@ -56,7 +60,7 @@ _CONTENT_WORDS = frozenset("article content entry post story main".split())
 # What a class name may have beside them, as in `ad-box`; `with-sidebar` is not a sidebar.
 _BESIDE_WORDS = _CONTENT_WORDS | frozenset(
     "a area bar block body box buttons bottom container form global group header icons inner left links list l m message mobile module page panel primary"
-    " right row s secondary section site slot small text title top unit wrap wrapper x".split()
+    " reader readers right row s secondary section site slot small text thread threads title top unit user users wrap wrapper x".split()
 )
 _STOP = frozenset(STOP_WORDS)
 
@@ -74,8 +78,8 @@ class Block:
     heading: bool
     out: bool
     sure: int
-    # Marked out by a class or id alone.
-    doubtful: bool = False
+    # 1 within a form, 2 marked out by a class or id alone.
+    doubtful: int = 0
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -117,13 +121,25 @@ def _is_article(name: str, attributes: dict[str, str]) -> int:
     return 0
 
 
+def _is_link(attributes: dict[str, str], heading: bool) -> bool:
+    """Not an anchor that only has a name, nor a heading that points into its page."""
+    target = attributes.get("href", "")
+    if not target:
+        return "name" not in attributes and "id" not in attributes
+    return not (heading and target.startswith("#"))
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks in page order, those without text left out."""
     found: list[Block] = []
     parts: list[str] = []
-    linked, in_link = 0, 0
+    # Linked text so far; whether a link is open, the blocks within it, and whether it is in a paragraph.
+    linked, in_link, link_blocks, in_paragraph, open_ended = 0, False, 0, False, False
     # The element that is being skipped, and how deep its name is nested.
     skip, skipped = "", 0
+    # Of an inline one: what its block had before it, and the blocks opened within it.
+    cut: tuple[int, int] | None = None
+    skip_blocks = forms = 0
     # The same for one marked out by its class or id; what it holds is still told apart.
     doubt, doubted, doubt_within = "", 0, 0
     # The element whose content is no text at all, and where the last of each name ends.
@@ -135,14 +151,26 @@ def blocks(page: str) -> list[Block]:
     header, heading = 0, False
 
     def end() -> None:
-        nonlocal linked
+        nonlocal linked, cut
+        hidden = bool(skip)
+        if cut:
+            drop_inline()
+            hidden = False
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            out = bool(skip) or (header > 0 and not heading)
-            found.append(Block(text, linked, heading, out, max((r[2] for r in roots), default=0), bool(doubt)))
+            block = Block(text, linked, heading, hidden, max((r[2] for r in roots), default=0), 2 if doubt else int(forms > 0))
+            # Of an article's own header, headings and prose belong to it.
+            block.out = hidden or (header > 0 and not heading and not (roots and _is_prose(block)))
+            found.append(block)
         parts.clear()
         linked = 0
 
+    def drop_inline() -> None:
+        """Throw away the text of an inline part that is out; its block goes on."""
+        nonlocal linked, cut
+        del parts[cut[0] :]
+        linked, cut = cut[1], None
+
     def add(text: str) -> None:
         nonlocal linked
         parts.append(text)
@@ -171,18 +199,38 @@ def blocks(page: str) -> list[Block]:
             if ends[name] > token.start():
                 held = name
             continue
+        is_block = name in _BLOCKS
         if name == "a":
-            in_link = 0 if closes else 1
+            in_link, link_blocks = not closes and _is_link(_attributes(token[4]), heading), 0
+            # One that is never closed ends with its block.
+            following = _LINK_TAG.search(page, at) if in_link else None
+            open_ended = not following or not following[1]
         elif name == "br":
             parts.append(" ")
-        is_block = name in _BLOCKS
         if is_block:
             end()
+            if in_link and (open_ended or (closes and not link_blocks) or (name == "p" and in_paragraph and not closes)):
+                in_link = False
+            elif in_link:
+                link_blocks += -1 if closes else 1
+            else:
+                in_paragraph = name == "p" and not closes
         if closes:
+            if name in _FORMS and forms:
+                forms -= 1
             if skip == name:
                 skipped -= 1
                 if not skipped:
+                    if cut:
+                        drop_inline()
+                    elif not is_block:
+                        end()
+                    skip = ""
+            elif skip and is_block and skip not in _BLOCKS:
+                # An inline part ends with the block it stands in.
+                if not skip_blocks:
                     skip = ""
+                skip_blocks = max(0, skip_blocks - 1)
             elif skip and name in ("body", "html", "article", "main"):
                 # What was never closed ends with what holds it.
                 skip = ""
@@ -217,6 +265,7 @@ def blocks(page: str) -> list[Block]:
         attributes = _attributes(token[4])
         out = _marked_out(name, attributes)
         if skip:
+            skip_blocks += is_block
             if name == skip:
                 skipped += 1
             if name == "body" or (name in ("article", "main") and not out and skip in ("nav", "head", "title", "header")):
@@ -228,11 +277,10 @@ def blocks(page: str) -> list[Block]:
             if not roots:
                 out = True
         if out:
-            if not is_block:
-                # Text before an inline part that is out is a block of its own.
-                end()
-            skip, skipped = name, 1
+            skip, skipped, skip_blocks = name, 1, 0
+            cut = None if is_block else (len(parts), linked)
             continue
+        forms += name in _FORMS
         if doubt == name:
             doubted += 1
         elif not doubt and name not in ("html", "body", "main") and _named_out(attributes):
@@ -258,8 +306,12 @@ def _is_prose(block: Block) -> bool:
 def _candidates(found: Sequence[Block]) -> list[Block]:
     """The blocks that are not marked out. What only its class or id marks comes back where nothing else has prose."""
     left = [b for b in found if not b.out]
+    for level in (0, 1):
+        sure = [b for b in left if b.doubtful <= level]
+        if any(_is_prose(b) for b in sure):
+            return sure
     sure = [b for b in left if not b.doubtful]
-    if any(_is_prose(b) for b in sure) or not any(_is_prose(b) or b.sure > 1 for b in left if b.doubtful):
+    if not any(_is_prose(b) or b.sure > 1 for b in left if b.doubtful > 1):
         return sure
     if any(b.sure for b in sure) and not any(_is_prose(b) for b in left if b.doubtful):
         return sure
@@ -313,6 +365,11 @@ def main_blocks(page: str) -> list[str]:
     mark = _article_mark(found)
     known = _is_known(found)
     labels = [_first_pass(b, mark, known) for b in found]
+    # Within the article one linked block among others is part of it; a run of them is a list of links.
+    labels = [
+        good is not False or _is_lone(labels, i) if mark and b.sure == mark and good is not None else good
+        for i, (b, good) in enumerate(zip(found, labels, strict=True))
+    ]
     # Code, tables and lists of references are prose of few stop words; between good blocks they stay.
     few = {i for i, (b, good) in enumerate(zip(found, labels, strict=True)) if good is False and not mark and _is_prose(b)}
     labels = [None if i in few else good for i, good in enumerate(labels)]
@@ -337,6 +394,11 @@ def main_blocks(page: str) -> list[str]:
     return kept
 
 
+def _is_lone(labels: Sequence[bool | None], i: int) -> bool:
+    """Whether the blocks on both sides are there and not bad."""
+    return 0 < i < len(labels) - 1 and labels[i - 1] is not False and labels[i + 1] is not False
+
+
 def _nearest(labels: Sequence[bool | None]) -> list[int | None]:
     """For each place, the last decided place before it."""
     last, out = None, []
@@ -355,7 +417,7 @@ def extract_text(pages: DataFrame, html: str = "html", keep: Sequence[str] | Non
     """``pages`` with ``text``, the blocks of the main text joined by an empty line, and ``n_chars``.
 
     Character references are decoded, white space within a block becomes one
-    space. Null and empty pages have an empty text. Pages are read whole, however
+    space. Null and empty pages have an empty text, and an empty table stays so. Pages are read whole, however
     long; unclosed tags end with what holds them. ``keep`` names the columns to
     return, all unless given; columns of the new names are replaced. Repeated rows
     are extracted each.

@@ -123,3 +123,65 @@ def test_code_between_prose():
     code = "x = compute(alpha, beta); y = x + gamma; print(x, y); z = x * y; print(z); assert z > 0; print(alpha)"
     page = f"<div>{PROSE * 2}</div><pre>{code}</pre><div>{PROSE * 2}</div><ul>{LINKS}</ul><div>{code}</div>"
     assert htmltext.main_blocks(page) == [(PROSE * 2).strip(), code, (PROSE * 2).strip()]
+
+
+PROSE = "The committee published what it had found in the course of the year, and it was more than anyone had thought it would be."
+MORE = "It is for the council to say what is to be done with it, and when, and at whose cost, as the law has it for all of them."
+
+
+@pytest.mark.parametrize("anchor", ['<a name="top">', '<a id="x"></a>', '<p><a href="/x">Home</p>', '<a href="/x">Home<p></p>'])
+def test_anchors_and_links_that_are_never_closed(anchor):
+    page = f"<html><body>{anchor}<p>{PROSE}</p><p>{MORE}</p></body></html>"
+    assert htmltext.main_blocks(page)[-2:] == [PROSE, MORE]
+
+
+def test_a_link_around_blocks_is_one():
+    teaser = f'<a href="/t"><h3>Another story</h3><p>{MORE}</p></a>' * 2
+    page = f"<article><p>{PROSE}</p><p>{MORE} 1</p>{teaser}</article>"
+    assert htmltext.main_blocks(page) == [PROSE, MORE + " 1"]
+
+
+def test_a_form_around_the_page():
+    page = f'<body><form action="/"><div><nav>Menu</nav><p>{PROSE}</p><p>{MORE}</p><div class="ads">Buy the {MORE}</div></div></form></body>'
+    assert htmltext.main_blocks(page) == [PROSE, MORE]
+    page = f"<article><p>{PROSE}</p><form><p>Your name and all that we want to know of you, and of the others at your address.</p></form></article>"
+    assert htmltext.main_blocks(page) == [PROSE]
+
+
+@pytest.mark.parametrize("tag", ['<p class="a"">', "<p data-t=John's>", "<p title='a > b'>", '<p a = "x>y" b>', "<p \"x\">"])
+def test_quotes_in_tags(tag):
+    assert htmltext.main_blocks(f"<article>{tag}{PROSE}</p></article>") == [PROSE]
+
+
+def test_tags_with_many_quotes_end():
+    page = "<article>" + "<p a=\"x\" " * 3000 + f"<p>{PROSE}</p></article>"
+    assert PROSE in htmltext.main_blocks(page)[-1]
+
+
+def test_one_linked_block_within_the_article_stays():
+    linked = f'<p><a href="/r">{PROSE}</a>.</p>'
+    page = f"<article><p>{MORE}</p>{linked}<p>{MORE}</p></article>"
+    assert htmltext.main_blocks(page) == [MORE, PROSE + ".", MORE]
+    links = "".join(f'<li><a href="/{i}">Link number {i}</a></li>' for i in range(4))
+    page = f"<article><p>{MORE}</p><ul>{links}</ul><p>{MORE}</p></article>"
+    assert htmltext.main_blocks(page) == [MORE, MORE]
+
+
+def test_headings_that_point_at_themselves_and_standfirsts():
+    page = (
+        f'<article><header><h1>Title</h1><p>By a person</p><p>{PROSE}</p></header>'
+        f'<h2><a href="#s">Section title</a></h2><p>{MORE}</p></article>'
+    )
+    assert htmltext.main_blocks(page) == ["Title", PROSE, "Section title", MORE]
+
+
+def test_inline_parts_that_are_out_leave_their_block_whole():
+    page = f"<article><p>Before <button>Click</button> after. {PROSE}</p><p>{MORE} <span hidden>SECRET</span> end.</p></article>"
+    assert htmltext.main_blocks(page) == [f"Before after. {PROSE}", f"{MORE} end."]
+    page = f"<article><p>{PROSE} <span hidden>SECRET</p><p>{MORE}</p><p>x <button><div>Click</div></button> y</p></article>"
+    assert htmltext.main_blocks(page) == [PROSE, MORE, "x", "y"]
+
+
+def test_comments_by_readers():
+    page = f'<article><p>{PROSE}</p><div class="user-comments-thread"><p>{MORE}</p></div></article>'
+    assert htmltext.main_blocks(page) == [PROSE]
