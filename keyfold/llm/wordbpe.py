@@ -18,6 +18,7 @@ from heapq import heapify, heappop, heappush
 import regex
 
 END = "</w>"
+_SHORT = (2, 1)
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+")
 # Python counts these four as white space, Unicode does not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -40,29 +41,29 @@ class WordBpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.vocab: dict[str, int] = spec["model"]["vocab"]
+        vocab: dict[str, int] = spec["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.texts = dict(zip(self.vocab.values(), self.vocab.keys(), strict=True)) | {v: k for k, v in self.special.items()}
-        self.ranks: dict[tuple[int, int], int] = {}
-        self.joined: dict[tuple[int, int], int] = {}
-        for rank, (a, b) in enumerate(spec["model"]["merges"]):
-            pair = (self.vocab[a], self.vocab[b])
-            self.ranks[pair], self.joined[pair] = rank, self.vocab[a + b]
+        self.texts = [""] * (max([*vocab.values(), *self.special.values()]) + 1)
+        for text, i in [*vocab.items(), *self.special.items()]:
+            self.texts[i] = text
+        # Tokens are numbered in the order of their merges, so a number is a rank as well.
+        self.joined: dict[tuple[int, int], int] = {(vocab[a], vocab[b]): vocab[a + b] for a, b in spec["model"]["merges"]}
         self.halves = {token: pair for pair, token in self.joined.items()}
-        if list(self.halves) != sorted(self.halves) or len(self.halves) < len(self.ranks):
+        if list(self.halves) != sorted(self.halves) or len(self.halves) < len(self.joined):
             raise ValueError("tokens must be numbered in the order of their merges")
         symbols = _byte_symbols()
         self.byte_text = symbols
-        self.open_ids = [self.vocab[s] for s in symbols]
-        self.closed_ids = [self.vocab[s + END] for s in symbols]
-        self.open = {text: i for text, i in self.vocab.items() if not text.endswith(END)}
-        self.closed = {text.removesuffix(END): i for text, i in self.vocab.items() if text.endswith(END)}
+        self.open_ids = [vocab[s] for s in symbols]
+        self.closed_ids = [vocab[s + END] for s in symbols]
+        self.open = {text: i for text, i in vocab.items() if not text.endswith(END)}
+        self.closed = {text.removesuffix(END): i for text, i in vocab.items() if text.endswith(END)}
         self.longest = max(map(len, [*self.open, *self.closed]))
-        # The longest token by the three symbols that it starts with.
-        self.reach: dict[str, int] = {}
+        # How long tokens are by the three symbols that they start with, the longest first.
+        sizes: dict[str, set[int]] = {}
         for text in self.open:
             if len(text) > 2:
-                self.reach[text[:3]] = max(len(text), self.reach.get(text[:3], 0))
+                sizes.setdefault(text[:3], {1, 2}).add(len(text))
+        self.sizes = {start: tuple(sorted(found, reverse=True)) for start, found in sizes.items()}
         self.fits = Memo(self._fits, 100_000)
         self._special = re.compile("|".join(map(re.escape, self.special))) if self.special else None
 
@@ -86,7 +87,7 @@ class WordBpe:
         """Join the pair of the lowest rank, the leftmost first, until none is left."""
         if len(ids) > 48:
             return self._merge_long(ids)
-        ranks = self.ranks
+        ranks = self.joined
         while len(ids) > 1:
             best, where = 1 << 60, None
             for pair in zip(ids, ids[1:]):
@@ -96,7 +97,7 @@ class WordBpe:
             if where is None:
                 return ids
             first, second = where
-            new, out, i, last = self.joined[where], [], 0, len(ids) - 1
+            new, out, i, last = best, [], 0, len(ids) - 1
             while i <= last:
                 if i < last and ids[i] == first and ids[i + 1] == second:
                     out.append(new)
@@ -111,7 +112,7 @@ class WordBpe:
         """The same with a heap and a linked list, for words of any length."""
         ids, n = list(ids), len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := self.ranks.get((ids[i], ids[i + 1]))) is not None]
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := self.joined.get((ids[i], ids[i + 1]))) is not None]
         heapify(heap)
         while heap:
             _, i, a, b = heappop(heap)
@@ -123,7 +124,7 @@ class WordBpe:
             if k < n:
                 before[k] = i
             for left, right in ((before[i], i), (i, k)):
-                if left >= 0 and right < n and (r := self.ranks.get((ids[left], ids[right]))) is not None:
+                if left >= 0 and right < n and (r := self.joined.get((ids[left], ids[right]))) is not None:
                     heappush(heap, (r, left, ids[left], ids[right]))
         return [t for t in ids if t >= 0]
 
@@ -173,11 +174,10 @@ class WordBpe:
         token first; a place from which no way leads to the end is not tried twice.
         """
         text = self.spell(piece)
-        opened, closed, fits, reach, longest, n = self.open, self.closed, self.fits, self.reach, self.longest, len(text)
+        opened, closed, fits, sizes, longest, n = self.open, self.closed, self.fits, self.sizes, self.longest, len(text)
         out: list[int] = []
         at, before, dead = [0], -1, set()
-        start, fresh = 0, True
-        size = min(reach.get(text[:3], 2), n - 1)
+        start, fresh, most = 0, True, n - 1
         while True:
             if fresh and n - start <= longest:
                 token = closed.get(text[start:])
@@ -185,19 +185,19 @@ class WordBpe:
                     out.append(token)
                     return out
             fresh = False
-            while size:
+            for size in sizes.get(text[start : start + 3], _SHORT):
+                if size > most:
+                    continue
                 end = start + size
                 token = opened.get(text[start:end])
                 if token is not None and end not in dead and fits[before, token]:
                     out.append(token)
                     at.append(end)
-                    start, before, fresh = end, token, True
-                    size = min(reach.get(text[end : end + 3], 2), n - end - 1)
+                    start, before, fresh, most = end, token, True, n - end - 1
                     break
-                size -= 1
             if not fresh:
                 dead.add(at.pop())
-                size = start - at[-1] - 1
+                most = start - at[-1] - 1
                 start = at[-1]
                 out.pop()
                 before = out[-1] if out else -1
