@@ -34,9 +34,14 @@ def grade_of(size: Column) -> Column:
     return grade
 
 
-def uniform(doc_id: Column, size: Column, seed: int) -> Column:
+def mark_of(doc_id: Column, text: Column) -> Column:
+    """What tells a document from others: its id, or its text where it has none."""
+    return F.coalesce(doc_id.cast("string"), F.md5(F.coalesce(text, F.lit(""))))
+
+
+def uniform(mark: Column, size: Column, seed: int) -> Column:
     """A number in (0, 1) from the first 52 bits of a digest."""
-    digest = F.md5(F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), size.cast("string"), F.lit(str(seed))))
+    digest = F.md5(F.concat_ws(":", mark, size.cast("string"), F.lit(str(seed))))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
@@ -94,9 +99,10 @@ def mix_sources(
     ``docs`` has ``doc_id``, ``text`` and ``source``; ``keep`` names the columns
     to return, all unless given. ``copies`` is how often the mix takes the
     document: 0 to ``most``. Null text and text without words have size 0 and no
-    copies. Null sources are one source, null ids are hashed as empty. Rows alike
-    in id, size and source are taken alike, so reruns agree however rows are
-    dealt out. Columns of the four names are replaced. An empty table stays so.
+    copies. Null sources are one source. A document without an id goes by its text.
+    Rows alike in id (or text), size and source are taken alike, so reruns agree
+    however rows are dealt out; a source may miss its target by half of what such
+    rows add up to. Columns of the four names are replaced. An empty table stays so.
     """
     made = ("size", "source_size", "target", "copies")
     kept = [F.col(f"`{c}`") for c in (docs.columns if keep is None else keep) if c not in made]
@@ -105,6 +111,7 @@ def mix_sources(
         docs.select(
             F.struct(*kept).alias("doc"),
             F.col("doc_id").alias("id"),
+            mark_of(F.col("doc_id"), F.col("text")).alias("mark"),
             F.col("source").alias("source"),
             size.alias("size"),
         ),
@@ -122,7 +129,7 @@ def mix_sources(
         .select("d.*", "source_size", "target", "rate")
         .withColumn("whole", F.floor(expected).cast("int"))
         .withColumn("chance", expected - F.col("whole"))
-        .withColumn("u", uniform(F.col("id"), F.col("size"), seed))
+        .withColumn("u", uniform(F.col("mark"), F.col("size"), seed))
         # Random odds over inclusion odds, q, as q / (1 + q).
         .withColumn("out", F.col("u") * (1 - F.col("chance")))
         .withColumn("rank", F.col("out") / (F.col("out") + (1 - F.col("u")) * F.col("chance")))

@@ -35,10 +35,12 @@ _SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 OP2 = rf"""
 WITH sized AS (
-    SELECT doc_id, source, {_SIZE}::BIGINT AS size FROM documents),
+    SELECT doc_id, source, {_SIZE}::BIGINT AS size,
+           coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS mark
+    FROM documents),
 graded AS (
     SELECT *, CASE WHEN size < 50 THEN 1 WHEN size < 500 THEN 2 ELSE 3 END AS grade,
-           ((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || size::VARCHAR || ':7'), 1, 13))::BIGINT)::DOUBLE
+           ((('0x' || substr(md5(mark || ':' || size::VARCHAR || ':7'), 1, 13))::BIGINT)::DOUBLE
             + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
     FROM sized),
 sources AS (

@@ -80,3 +80,13 @@ def test_empty_and_wordless_tables(spark):
     assert mixing.mix_sources(spark.createDataFrame([], SCHEMA)).count() == 0
     rows = mixing.mix_sources(spark.createDataFrame([(1, None, "a", ""), (2, " \n", None, "")], SCHEMA)).collect()
     assert [(r.size, r.source_size, r.target, r.copies) for r in rows] == [(0, 0, 0.0, 0)] * 2
+
+
+def test_documents_without_ids_are_drawn_by_their_texts(spark):
+    """A hundred of one size: about as many words are taken as the target says, not all or none."""
+    def rows(source, ids):
+        return [(i if ids else None, " ".join(f"w{source}{i}x{j}" for j in range(11)), source) for i in range(100)]
+
+    docs = spark.createDataFrame(rows("a", False) + rows("b", True) + rows("c", False), "doc_id BIGINT, text STRING, source STRING")
+    for r in mixing.mix_sources(docs).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("n"), F.first("target").alias("t")).collect():
+        assert abs(r.n - r.t) <= 11 / 2 + 1e-6

@@ -75,12 +75,15 @@ def test_run_is_the_stages(spark, stages):
 
 
 def test_odd_documents(spark):
-    """Null ids and texts, repeated rows, an empty table, and a column named like one of ours."""
+    """Null ids and texts, repeated rows, an empty table, and columns named like the stages' own."""
     prose = "it is the way of all that was and of what will be in the end for them and us who saw it with our own eyes at last here"
-    rows = [(None, None, None, 1), (1, "", "a", 1), (2, prose, "a", 1), (2, prose, "a", 1), (None, prose + " more", None, 1), (3, "x " * 50_000, "a", 1)]
-    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING, n_words INT")
+    rows = [(None, None, None), (1, "", "a"), (2, prose, "a"), (2, prose, "a"), (None, prose + " more", None), (3, "x " * 50_000, "a")]
+    schema = "doc_id BIGINT, text STRING, source STRING, n_words INT, posterior STRING, kept STRING, size STRING, copies DOUBLE, target INT, node STRING"
+    docs = spark.createDataFrame([(*r, 77, "p", "k", "s", 0.5, 3, "n") for r in rows], schema)
     for table in (docs, docs.limit(0)):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             table = stage(spark, table, "")
-            assert table.columns == docs.columns
-        corpus_pipeline.tokenize(spark, table, "").collect()
+            assert table.dtypes == docs.dtypes
+        last = corpus_pipeline.tokenize(spark, table, "")
+        assert last.columns == [*docs.columns, "n_tokens", "ids"]
+        assert all(tuple(r)[3:-2] == (77, "p", "k", "s", 0.5, 3, "n") and r.text for r in last.collect())
