@@ -1,7 +1,7 @@
 """A corpus pipeline over ``documents``: each stage works on all that its predecessor kept.
 
-A stage takes and returns the columns of the documents it is given; the last one
-adds tokens. Null ids and texts, repeated rows and further columns are handled as
+A stage takes and returns the columns of the documents it is given, with their
+values and types, whatever they are called; the last one adds tokens. Null ids and texts, repeated rows and further columns are handled as
 the operators state. Stages store what they compute in the cluster's shared
 folder, so a lost executor costs no more than its own tasks.
 """
@@ -21,8 +21,14 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality rules keep."""
-    rated, _ = quality.rate_documents(docs)
-    return rated.filter("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rated, _ = quality.rate_documents(_with_row(docs, "text"), keep=["given_row"])
+    return rated.filter("kept").select("given_row.*")
+
+
+def _with_row(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns that a stage reads, and the given row as one column that it only carries."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("given_row")
+    return docs.select(row, *columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,14 +38,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix to target weights: each document as often as it is taken."""
-    return mixing.take_copies(mixing.mix_sources(docs), docs.columns)
+    mixed = mixing.mix_sources(_with_row(docs, "doc_id", "text", "source"), keep=["given_row"])
+    return mixing.take_copies(mixed, ["given_row"]).select("given_row.*")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix with ``n_tokens`` and ``ids``; the text is what the ids decode to."""
-    lexicon = bpe.build_lexicon(docs, TOKENIZER)
-    kept = [c for c in docs.columns if c != "text"]
-    return bpe.encode_documents(docs, TOKENIZER, lexicon, keep=kept)
+    """The documents of the mix with ``n_tokens`` and ``ids``, which replace given columns of these names."""
+    return bpe.encode_documents(docs, TOKENIZER, bpe.build_lexicon(docs, TOKENIZER))
 
 
 STAGES = [
