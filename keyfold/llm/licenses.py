@@ -9,7 +9,7 @@ that overlap, one is dropped if it lies within another of at least its priority.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -130,52 +130,84 @@ def _spaces(text: Column) -> Column:
     return (F.octet_length(text) - F.octet_length(F.replace(text, F.lit(" "), F.lit("")))).cast("bigint")
 
 
+SPANS = "array<struct<start:bigint,minus_end:bigint,minus_priority:int,no:int,label:string,confidence:double>>"
+# A list that grows by one is copied each time, so lists grow within blocks of so many.
+_BLOCK = 128
+
+
+def _gathered(values: Column, start: Column, step: Callable[[Column, Column], Column], emit: Callable[[Column, Column], Column]) -> Column:
+    """What ``emit`` gives, as arrays, for each value and the state before it; ``step`` gives the next state.
+
+    The work is in proportion to the number of values.
+    """
+    empty = F.array().cast(SPANS)
+    last = F.floor((F.size(values) - 1) / _BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(values, i * _BLOCK + 1, F.lit(_BLOCK)))
+
+    def within(state: Column, x: Column) -> Column:
+        return F.struct(step(state["now"], x).alias("now"), F.concat(state["out"], emit(state["now"], x)).alias("out"))
+
+    def over(state: Column, block: Column) -> Column:
+        done = F.aggregate(block, F.struct(state["now"].alias("now"), empty.alias("out")), within)
+        return let(done, lambda d: F.struct(d["now"].alias("now"), F.concat(state["out"], F.array(d["out"])).alias("out")))
+
+    zero = F.struct(start.alias("now"), F.array().cast(f"array<{SPANS}>").alias("out"))
+    found = F.flatten(F.aggregate(blocks, zero, over)["out"])
+    return F.when(F.size(values) > 0, found).otherwise(empty)
+
+
 def _spans(text: Column, rule: Column) -> Column:
     """``rule`` at each place of its pattern, with start and end as word numbers."""
     # Between the matches lie the parts of the split; their lengths give the places.
     def placed(found: Column) -> Column:
         parts = F.split(text, rule["pattern"], -1)
 
-        def step(state: Column, match: Column, i: Column, parts: Column) -> Column:
-            start = state["at"] + _spaces(F.get(parts, i))
-            end = start + _spaces(match)
+        def begin(at: Column, x: Column, parts: Column) -> Column:
+            return at + _spaces(F.get(parts, x["i"]))
+
+        def span(at: Column, x: Column, parts: Column) -> Column:
             # A word has two spaces; a match ends before the space of its last word.
-            span = F.struct(
-                F.floor(start / 2).alias("start"),
-                (-F.floor((end + 1) / 2)).alias("minus_end"),
-                (-rule["priority"]).alias("minus_priority"),
-                rule["no"].alias("no"),
-                rule["label"].alias("label"),
-                rule["confidence"].alias("confidence"),
+            first = begin(at, x, parts)
+            return F.array(
+                F.struct(
+                    F.floor(first / 2).alias("start"),
+                    (-F.floor((first + _spaces(x["m"]) + 1) / 2)).alias("minus_end"),
+                    (-rule["priority"]).alias("minus_priority"),
+                    rule["no"].alias("no"),
+                    rule["label"].alias("label"),
+                    rule["confidence"].alias("confidence"),
+                )
             )
-            return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
         numbered = F.transform(found, lambda m, i: F.struct(m.alias("m"), i.alias("i")))
-        empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPANS).alias("spans"))
-        return let(parts, lambda p: F.aggregate(numbered, empty, lambda s, x: step(s, x["m"], x["i"], p))["spans"])
 
-    found = F.regexp_extract_all(text, rule["pattern"], F.lit(0))
-    return let(found, lambda f: F.when(F.size(f) > 0, placed(f)).otherwise(F.array().cast(SPANS)))
+        def along(parts: Column) -> Column:
+            after = lambda at, x: begin(at, x, parts) + _spaces(x["m"])
+            return let(numbered, lambda n: _gathered(n, F.lit(0).cast("bigint"), after, lambda at, x: span(at, x, parts)))
 
+        return let(parts, along)
 
-SPANS = "array<struct<start:bigint,minus_end:bigint,minus_priority:int,no:int,label:string,confidence:double>>"
+    found = F.regexp_extract_all(text, rule["pattern"], F.lit(0))
+    return let(found, lambda f: F.when(F.size(f) > 0, placed(f)).otherwise(F.array().cast(SPANS)))
 
 
 def _suppressed(spans: Column) -> Column:
     """The spans not within another of at least their priority; of equal ones the first rule stays."""
     # In this order whatever holds a span comes before it; so the furthest end
     # so far, by priority, tells whether there is one.
-    start = F.struct(*[F.lit(0).cast("bigint").alias(f"p{p}") for p in (1, 2, 3)], F.array().cast(SPANS).alias("kept"))
+    start = F.struct(*[F.lit(0).cast("bigint").alias(f"p{p}") for p in (1, 2, 3)])
+
+    def step(far: Column, x: Column) -> Column:
+        reach = lambda p: F.when(-x["minus_priority"] == p, F.greatest(far[f"p{p}"], -x["minus_end"]))
+        return F.struct(*[reach(p).otherwise(far[f"p{p}"]).alias(f"p{p}") for p in (1, 2, 3)])
 
-    def step(state: Column, x: Column) -> Column:
+    def left(far: Column, x: Column) -> Column:
         end, priority = -x["minus_end"], -x["minus_priority"]
-        furthest = F.when(priority == 3, state["p3"]).when(priority == 2, F.greatest(state["p2"], state["p3"]))
-        furthest = furthest.otherwise(F.greatest(state["p1"], state["p2"], state["p3"]))
-        reach = [F.when(priority == p, F.greatest(state[f"p{p}"], end)).otherwise(state[f"p{p}"]).alias(f"p{p}") for p in (1, 2, 3)]
-        kept = F.when(furthest >= end, state["kept"]).otherwise(F.concat(state["kept"], F.array(x)))
-        return F.struct(*reach, kept.alias("kept"))
+        furthest = F.when(priority == 3, far["p3"]).when(priority == 2, F.greatest(far["p2"], far["p3"]))
+        furthest = furthest.otherwise(F.greatest(far["p1"], far["p2"], far["p3"]))
+        return F.when(furthest >= end, F.array().cast(SPANS)).otherwise(F.array(x))
 
-    return F.aggregate(F.sort_array(spans), start, step)["kept"]
+    return let(F.sort_array(spans), lambda ordered: _gathered(ordered, start, step, left))
 
 
 def scan_licenses(
@@ -187,7 +219,8 @@ def scan_licenses(
     base phrases; ``detections``, the rules left after suppression, as start and
     end (word numbers, the end excluded), label and confidence; ``labels`` of both;
     ``score``, the highest confidence, 1 for a base phrase and 0 for none. Null
-    text counts as empty. Whole texts are scanned. ``keep`` names the columns to
+    text counts as empty. Whole texts are scanned, in time in proportion to what is
+    found. Repeated rows are scanned each, and an empty table stays so. ``keep`` names the columns to
     return, all unless given; columns of the new names are replaced.
     """
     rules = list(default_rules() if rules is None else rules)

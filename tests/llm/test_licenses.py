@@ -90,3 +90,19 @@ def test_no_python_in_the_plan(spark):
 
 def test_empty_table(spark):
     assert licenses.scan_licenses(spark.createDataFrame([], "doc_id BIGINT, text STRING")).count() == 0
+
+
+def test_a_hundred_thousand_hits_take_time_in_proportion(spark):
+    import time
+
+    seconds, found = [], []
+    for n in (6_000, 36_000):
+        docs = spark.createDataFrame([("cc by mit license " * n,)], "text STRING")
+        start = time.perf_counter()
+        row = licenses.scan_licenses(docs).first()
+        seconds.append(time.perf_counter() - start)
+        found.append(row)
+        assert row.n_words == 4 * n
+        assert {"cc-by", "mit"} <= set(row.labels.split(","))
+    assert len(found[1].detections) >= 36_000
+    assert seconds[1] < 12 * seconds[0] + 5
