@@ -101,8 +101,7 @@ def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = lmscore.fit_models(docs, lmscore.good_documents(table(spark, sf_dir, "labels")))
-    return lmscore.score_documents(docs, model, keep=["doc_id"])
+    return lmscore.score_corpus(docs, lmscore.good_documents(table(spark, sf_dir, "labels")), keep=["doc_id"])
 
 
 def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,10 +12,10 @@ SCHEMA = "doc_id BIGINT, text STRING, score STRING"
 
 def brute(rows, target, words):
     """Losses by row from dictionaries of counts."""
-    vocabulary = lmscore.Vocabulary(words)
-    size = vocabulary.size
-    coded = [[vocabulary._id(t) for t in lmscore.tokens(text)] for _, text, _ in rows]
-    pairs = [list(zip([size, *c], c, strict=False)) for c in coded]
+    # One more for words that were never counted.
+    size = len(words) + 1
+    coded = [lmscore.tokens(text) for _, text, _ in rows]
+    pairs = [list(zip([None, *c], c, strict=False)) for c in coded]
     every = Counter(p for own in pairs for p in own)
     wanted = Counter(p for (i, _, _), own in zip(rows, pairs, strict=True) if i in target for p in own)
     scale = sum(wanted.values()) / max(sum(every.values()), 1)
@@ -40,11 +40,13 @@ def test_scores_equal_plain_counting(spark):
     docs = spark.createDataFrame(rows, SCHEMA)
     target = spark.createDataFrame([(1,), (1,), (None,), (12,), (999,)], "doc_id BIGINT")
     model = lmscore.fit_models(docs, target)
-    counts = Counter(t for _, text, _ in rows for t in lmscore.tokens(text))
-    assert model.words == [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0].encode()))][: lmscore.WORDS]
-    found = lmscore.score_documents(docs, model).collect()
-    wanted = {text: losses for (_, text, _), losses in zip(rows, brute(rows, {1, 12}, model.words), strict=True)}
-    assert len(found) == len(rows)
+    words = {t for _, text, _ in rows for t in lmscore.tokens(text)}
+    assert model.n_words == len(words)
+    wanted = {text: losses for (_, text, _), losses in zip(rows, brute(rows, {1, 12}, words), strict=True)}
+    # Many tasks and so many chunks, or one; both ways to the counts.
+    found = [r for parts in (7, 1) for r in lmscore.score_corpus(docs.repartition(parts), target).collect()]
+    found += [r for parts in (7, 1) for r in lmscore.score_documents(docs.repartition(parts), model).collect()]
+    assert len(found) == 4 * len(rows)
     for r in found:
         a, b = wanted[r.text]
         if a is None:
@@ -69,10 +71,17 @@ def test_no_target_and_no_documents(spark):
     nothing = spark.createDataFrame([], "doc_id BIGINT")
     row = lmscore.score_documents(docs, lmscore.fit_models(docs, nothing)).first()
     assert row.score == 0.0 and row.loss_target == row.loss_background
+    assert lmscore.score_corpus(docs, nothing).first() == row
+    assert lmscore.score_corpus(docs.limit(0), nothing).count() == 0
     empty = docs.limit(0)
     assert lmscore.score_documents(empty, lmscore.fit_models(empty, nothing)).count() == 0
 
 
+def test_blocks_grow_after_they_are_many():
+    gb = 1 << 30
+    assert [1 << lmscore.block_bits(n) for n in (0, gb, 30 * gb, 60 * gb, 1000 * gb)] == [64, 2048, 4096, 4096, 65536]
+
+
 def test_contradicting_labels(spark):
     rows = [(1, 1, 0), (1, 1, 1), (2, 1, None), (3, 1, 0), (3, 0, 0), (4, None, 0), (None, 1, 0), (5, 1, 0), (5, 1, 0)]
     found = lmscore.good_documents(spark.createDataFrame(rows, "doc_id BIGINT, quality INT, toxic INT")).collect()
