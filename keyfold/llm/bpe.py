@@ -22,7 +22,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from ..storage import new_path, store
 from .lexicon import Lexicon, compile_lexicon
 from .tokencount import batches_of
-from .wordbpe import Memo, model, normalise, words
+from .wordbpe import merger, model, normalise, pieces, words
 
 ENCODED = StructType(
     [StructField("n_tokens", LongType()), StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())]
@@ -54,9 +54,10 @@ def frequent_words(docs: DataFrame, text: str = "text", most: int = LEXICON_WORD
 
 def build_lexicon(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_WORDS) -> str:
     """Compile the lexicon of ``docs`` and give it to the executors; returns its name for ``SparkFiles``."""
-    bpe = model(path)
-    found = {w for word in frequent_words(docs, text, most) if (w := normalise(word)) and words(w) == [w]}
-    return ship(docs.sparkSession, compile_lexicon((w, bpe.encode_word(w)) for w in found))
+    found = list({w for word in frequent_words(docs, text, most) if (w := normalise(word)) and words(w) == [w]})
+    ids, starts, sizes = Encoder(path, None).words(found)
+    own = [i.tolist() for i in np.split(_gather(ids, starts, sizes), np.cumsum(sizes)[:-1])]
+    return ship(docs.sparkSession, compile_lexicon(zip(found, own, strict=False)))
 
 
 def ship(spark: SparkSession, content: bytes) -> str:
@@ -73,27 +74,69 @@ def ship(spark: SparkSession, content: bytes) -> str:
     return place.rsplit("/", 1)[1]
 
 
+def _gather(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``pool`` that start there and are so long, one after the other."""
+    return pool[np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))]
+
+
+def _starts(sizes: np.ndarray) -> np.ndarray:
+    return np.cumsum(sizes) - sizes
+
+
 class Encoder:
-    """Ids as bytes, four each, which join without touching single ids."""
+    """Encodes the different words of a batch of texts together; nothing is kept between batches."""
 
     def __init__(self, path: str, lexicon: str | None):
         self.bpe = model(path)
+        self.merger = merger(path)
         self.lexicon = Lexicon(SparkFiles.get(lexicon)) if lexicon else None
-        self.pieces = Memo(self.bpe.merged, 100_000)
-        self.words = Memo(self._word, 200_000)
-
-    def _word(self, word: str) -> bytes:
-        ids = self.lexicon.find(word) if self.lexicon else None
-        return array("i", self.bpe.encode_word(word, self.pieces.__getitem__) if ids is None else ids).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        out: list[bytes] = []
-        for segment, special in self.bpe.segments(text):
-            if special is not None:
-                out.append(array("i", [special]).tobytes())
-            else:
-                out.extend(map(self.words.__getitem__, words(segment)))
-        return b"".join(out)
+    def words(self, found: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different words, and where each word's start and how many they are."""
+        places = self.lexicon.find_all(found) if self.lexicon else np.full(len(found), -1)
+        known = np.flatnonzero(places >= 0)
+        sizes = np.zeros(len(found), np.int64)
+        listed = np.empty(0, np.int32)
+        if len(known):
+            offsets = np.asarray(self.lexicon.offsets).astype(np.int64)
+            starts = offsets[places[known]]
+            sizes[known] = offsets[places[known] + 1] - starts
+            listed = _gather(np.asarray(self.lexicon.ids), starts, sizes[known])
+        unseen = np.flatnonzero(places < 0)
+        cut = [pieces(found[i]) for i in unseen.tolist()]
+        number: dict[str, int] = {}
+        of_word = np.array([number.setdefault(p, len(number)) for parts in cut for p in parts], np.int64)
+        ids, lengths = self.merger.merge(list(number))
+        merged = _gather(ids, _starts(lengths)[of_word], lengths[of_word])
+        whole = np.concatenate([[0], np.cumsum(lengths[of_word])])
+        ends = np.cumsum([len(parts) for parts in cut], dtype=np.int64)
+        sizes[unseen] = np.diff(whole[ends], prepend=0)
+        starts = np.empty(len(found), np.int64)
+        starts[known] = _starts(sizes[known])
+        starts[unseen] = len(listed) + _starts(sizes[unseen])
+        return np.concatenate([listed, merged]), starts, sizes
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where those of each text start, with the end of the last."""
+        # Words by number; a special string's key is its id, so it is never taken for a word.
+        number: dict[str | int, int] = {}
+        used, ends = array("q"), [0]
+        for text in texts:
+            for segment, special in self.bpe.segments(text):
+                for key in words(segment) if special is None else (special,):
+                    used.append(number.setdefault(key, len(number)))
+            ends.append(len(used))
+        ids, starts, sizes = self.words([key for key in number if isinstance(key, str)])
+        specials = [(i, key) for key, i in number.items() if isinstance(key, int)]
+        if specials:
+            at, values = zip(*specials, strict=True)
+            before = np.array(at) - np.arange(len(at))
+            starts = np.insert(starts, before, len(ids) + np.arange(len(at)))
+            sizes = np.insert(sizes, before, 1)
+            ids = np.concatenate([ids, np.array(values, ids.dtype)])
+        own = np.frombuffer(used, np.int64) if used else np.empty(0, np.int64)
+        offsets = np.concatenate([[0], np.cumsum(sizes[own])])[ends]
+        return _gather(ids, starts[own], sizes[own]).astype(np.int32, copy=False), offsets
 
 
 @lru_cache(maxsize=2)
@@ -128,13 +171,11 @@ def encode_documents(
         for batch in batches:
             for start, end in batches_of(batch.column("text")):
                 part = batch.slice(start, end - start)
-                ids = [encoder.encode(t or "") for t in part.column("text").to_pylist()]
-                sizes = np.array([len(i) // 4 for i in ids], np.int64)
-                flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
-                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-                columns = [part.column("doc"), pa.array(sizes), pa.ListArray.from_arrays(offsets, flat)]
+                ids, offsets = encoder.encode([t or "" for t in part.column("text").to_pylist()])
+                listed = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
+                columns = [part.column("doc"), pa.array(np.diff(offsets)), listed]
                 if decoded:
-                    columns.append(pa.array([encoder.bpe.decode(memoryview(i).cast("i")) for i in ids], pa.string()))
+                    columns.append(pa.array([encoder.bpe.decode(i) for i in listed.to_pylist()], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return rows.mapInArrow(encode, schema).select("doc.*", *made)

@@ -13,6 +13,11 @@ import struct
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterable
+from functools import cached_property
+
+import numpy as np
+
+from .wordbpe import utf8
 
 _MAGIC = b"WLEX0001"
 
@@ -125,3 +130,37 @@ class Lexicon:
         if not self.ends[state]:
             return None
         return self.ids[self.offsets[place] : self.offsets[place + 1]].tolist()
+
+    @cached_property
+    def _arcs(self) -> np.ndarray:
+        """State and byte of each arc as one number; they ascend."""
+        per_state = np.diff(np.asarray(self.first).astype(np.int64))
+        return np.repeat(np.arange(len(per_state)), per_state) * 256 + np.asarray(self.labels)
+
+    def find_all(self, words: list[str]) -> np.ndarray:
+        """Each word's place among the words of the lexicon, -1 for those it does not have.
+
+        All words go through the automaton in step, a byte at a time.
+        """
+        data, starts, sizes = utf8(words)
+        arcs, outputs, targets = self._arcs, np.asarray(self.outputs), np.asarray(self.targets)
+        state, place = np.full(len(words), self.root, np.int64), np.zeros(len(words), np.int64)
+        found = np.full(len(words), -1, np.int64)
+        rows = np.arange(len(words))
+        step = 0
+        while len(rows):
+            done = sizes[rows] == step
+            ended = rows[done]
+            ended = ended[np.asarray(self.ends)[state[ended]] > 0]
+            found[ended] = place[ended]
+            rows = rows[~done]
+            if not len(rows) or not len(arcs):
+                break
+            wanted = state[rows] * 256 + data[starts[rows] + step]
+            arc = np.minimum(np.searchsorted(arcs, wanted), len(arcs) - 1)
+            there = arcs[arc] == wanted
+            rows, arc = rows[there], arc[there]
+            place[rows] += outputs[arc]
+            state[rows] = targets[arc]
+            step += 1
+        return found

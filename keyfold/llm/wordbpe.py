@@ -15,6 +15,8 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
+import numpy as np
+import pyarrow as pa
 import regex
 
 END = "</w>"
@@ -251,6 +253,93 @@ def model(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+def utf8(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all texts in a row, and where each starts and how long it is."""
+    if not texts:
+        return np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, np.int64)
+    _, offsets, data = pa.array(texts, pa.large_string()).buffers()
+    ends = np.frombuffer(offsets, np.int64)[: len(texts) + 1]
+    return np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8), ends[:-1], np.diff(ends)
+
+
+class Merger:
+    """Merges many pieces in step: in each round every piece joins its pair of the lowest rank."""
+
+    # Longer pieces are merged one by one, with a heap.
+    LONGEST = 48
+    # Pieces that go in step, what bounds memory.
+    ROWS = 1 << 15
+
+    def __init__(self, bpe: WordBpe):
+        self.bpe = bpe
+        self.radix = len(bpe.texts)
+        keys = np.array([a * self.radix + b for a, b in bpe.joined], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.tokens = keys[order], np.array(list(bpe.joined.values()), np.int64)[order]
+        self.none = self.radix
+        self.open_ids, self.closed_ids = np.array(bpe.open_ids, np.int64), np.array(bpe.closed_ids, np.int64)
+
+    def _ranks(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The token, which is a rank as well, that two tokens join to; above all tokens for none."""
+        wanted = first * self.radix + second
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where((self.keys[at] == wanted) & (first >= 0) & (second >= 0), self.tokens[at], self.none)
+
+    def _in_step(self, ids: np.ndarray) -> np.ndarray:
+        """Rows of tokens, -1 behind the last, merged in place of each other; shorter rows end in -1."""
+        out = np.full(ids.shape, -1, np.int64)
+        rows, ranks = np.arange(len(ids)), self._ranks(ids[:, :-1], ids[:, 1:])
+        while len(rows):
+            width = ids.shape[1]
+            at = ranks.argmin(axis=1) if width > 1 else np.zeros(len(rows), np.int64)
+            lowest = ranks[np.arange(len(rows)), at] if width > 1 else np.full(len(rows), self.none)
+            more = lowest < self.none
+            out[rows[~more], :width] = ids[~more]
+            rows, ids, ranks, at, lowest = rows[more], ids[more], ranks[more], at[more], lowest[more]
+            if not len(rows):
+                break
+            # What stands behind the pair moves up by one.
+            row, behind = np.arange(len(rows)), np.arange(width - 1) > at[:, None]
+            ids = np.where(behind, ids[:, 1:], ids[:, :-1])
+            ids[row, at] = lowest
+            ranks = np.where(behind[:, :-1], ranks[:, 1:], ranks[:, :-1])
+            left, right = at > 0, at < width - 2
+            ranks[row[left], at[left] - 1] = self._ranks(ids[row[left], at[left] - 1], lowest[left])
+            ranks[row[right], at[right]] = self._ranks(lowest[right], ids[row[right], at[right] + 1])
+        return out
+
+    def merge(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in a row, and how many each has."""
+        data, starts, sizes = utf8(found)
+        counts = np.zeros(len(found), np.int64)
+        parts: list[np.ndarray] = []
+        order = np.argsort(sizes, kind="stable")
+        short = int((sizes <= self.LONGEST).sum())
+        for begin in range(0, short, self.ROWS):
+            chosen = order[begin : min(begin + self.ROWS, short)]
+            width = np.arange(sizes[chosen[-1]])
+            inside = width < sizes[chosen][:, None]
+            symbols = np.where(inside, data[np.where(inside, starts[chosen][:, None] + width, 0)], 0)
+            last = width == sizes[chosen][:, None] - 1
+            merged = self._in_step(np.where(inside, np.where(last, self.closed_ids[symbols], self.open_ids[symbols]), -1))
+            counts[chosen] = (merged >= 0).sum(axis=1)
+            parts.append(merged[merged >= 0])
+        for i in order[short:].tolist():
+            merged = self.bpe.merge(self.bpe.symbols(found[i]))
+            counts[i] = len(merged)
+            parts.append(np.array(merged, np.int64))
+        flat = np.concatenate(parts) if parts else np.empty(0, np.int64)
+        # Back from the order of sizes to the given one.
+        begins = np.empty(len(found), np.int64)
+        begins[order] = np.cumsum(counts[order]) - counts[order]
+        return flat[np.repeat(begins - (np.cumsum(counts) - counts), counts) + np.arange(len(flat))].astype(np.int32), counts
+
+
+@lru_cache(maxsize=2)
+def merger(path: str) -> Merger:
+    return Merger(model(path))
+
+
 class Memo(dict):
     """Results by word. Once full, only what was asked for lately is kept, so it stays bounded."""
 
@@ -267,3 +356,7 @@ class Memo(dict):
             self.clear()
         self[word] = value
         return value
+
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}

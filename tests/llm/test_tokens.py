@@ -2,13 +2,14 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 from keyfold.llm import bpe, tokencount
 from keyfold.llm.lexicon import Lexicon, compile_lexicon
-from keyfold.llm.wordbpe import WordBpe, words
+from keyfold.llm.wordbpe import WordBpe, merger, words
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ALPHABET = "abcthe rning'sd! 1é<|endoftext|>\n\t.,ßΣ"
@@ -106,6 +107,9 @@ def test_lexicon_is_minimal_and_exact(tmp_path):
     lexicon = Lexicon(str(path))
     assert len(lexicon) == len(entries)
     assert all(lexicon.find(w) == ids for w, ids in entries.items())
+    known = sorted(entries, key=str.encode)
+    assert lexicon.find_all([*known, "", "zzz", known[-1] + "a"]).tolist() == [*range(len(known)), -1, -1, -1]
+    assert lexicon.find_all([]).tolist() == []
     assert lexicon.find("") is None and lexicon.find("zzz") is None and lexicon.find(max(entries) + "a") is None
     # As many states as there are different sets of endings.
     encoded = [w.encode() for w in entries]
@@ -124,3 +128,19 @@ def test_search_finds_what_merging_makes(library):
     cases = ["".join(rng.choice("thereinagosléß日!'9") for _ in range(rng.randint(1, 40))) for _ in range(400)]
     for piece in [*cases, "a" * 500, "thethethe" * 60, "ing" * 200]:
         assert model.merged(piece) == model.merge(model.symbols(piece))
+
+
+def test_merging_in_step_is_merging_alone():
+    model, rng = WordBpe(PATH), random.Random(3)
+    found = ["".join(rng.choice("aeinorst-éß語") for _ in range(rng.randint(1, 80))) for _ in range(3000)] + ["aaaa", "abababab", "x" * 5000]
+    ids, counts = merger(PATH).merge(found)
+    assert [i.tolist() for i in np.split(ids, np.cumsum(counts)[:-1])] == [model.merge(model.symbols(w)) for w in found]
+    assert [len(x) for x in merger(PATH).merge([])] == [0, 0]
+
+
+def test_batches_of_texts_equal_the_library(library):
+    texts = [*[t or "" for t in TEXTS], "the " * 50_000, "語" * 3000]
+    ids, offsets = bpe.Encoder(PATH, None).encode(texts)
+    for text, start, end in zip(texts, offsets, offsets[1:], strict=False):
+        assert ids[start:end].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert [len(x) for x in bpe.Encoder(PATH, None).encode([])] == [0, 1]
