@@ -6,9 +6,11 @@ into bands; representatives that agree in a band share a bucket. In a bucket all
 are compared with the one that has most company in all its buckets, the middle of
 a group, which finds most groups with as many pairs as documents. Then, in buckets
 that still hold several groups, all pairs across groups are compared whose
-signatures agree in enough registers, those that agree in more of them first. So no two documents of one bucket stay
-apart unless their sets or signatures were compared, and a large group costs no
-pairs within itself.
+signatures agree in enough registers, those that agree in more of them first. So no
+two documents of one bucket stay apart unless their sets or signatures were
+compared. The groups of a bucket are numbered, and rows meet by the lowest binary
+digit in which the numbers of their groups differ, so pairs within a group are
+never formed.
 """
 
 from __future__ import annotations
@@ -18,30 +20,37 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType
 
 from ..storage import store
 from .common import join_measured
 from .graph import connected_components, ends_of
-from .probminhash import BANDS, FEWEST, REGISTERS, Shingler, band_keys, marks, mix, signatures
+from .probminhash import BANDS, FEWEST, REGISTERS, Shingler, band_keys, marks, mix, signatures, weigh
 from .tokencount import batches_of
 
 # A rational threshold, so that the comparison is exact.
 SIMILAR, OF = 8, 10
 # Of 288 registers, by four bits each, 234 agree on average at a similarity of 0.8.
 # Pairs that agree in so many are compared first, for what they join needs no
-# comparison later; fewer than the last agree once in ten thousand times.
-AGREE = (234, 209)
-# Documents without an id stand behind all that have one.
-NO_ID = 1 << 62
+# comparison later. Weights of at most 9/8 may lower 0.8 to 0.78 at worst, where
+# fewer than the last agree once in ten thousand times.
+AGREE = (234, 203)
+# What a document is known by, in the order in which one stands for its group: those
+# with an id first, by id, then by a hash of the text.
+NODE = ("no_id", "id", "digest")
 
 
-def node_of(doc_id: Column, text: Column) -> Column:
-    """The id, or for null a number from the text, above all ids below 2 ** 62."""
-    stand_in = F.lit(NO_ID) + F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit(NO_ID - 1))
-    return F.coalesce(doc_id.cast("bigint"), stand_in)
+def node_of(doc_id: Column, text: Column) -> list[Column]:
+    """``NODE``: whether the id is missing, the id or a hash of the text, and another hash of the text."""
+    whole = F.coalesce(text, F.lit(""))
+    given = doc_id.cast("bigint")
+    return [
+        given.isNull().alias("no_id"),
+        F.coalesce(given, F.xxhash64(whole)).alias("id"),
+        F.xxhash64(F.lit(1), whole).alias("digest"),
+    ]
 
 
 @lru_cache(maxsize=1)
@@ -61,46 +70,46 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """``node, text`` to ``node, k1, k2, n, bands``: the key of the shingle set, its size, its bands and marks.
+    """``NODE`` and ``text`` to ``NODE, k1, k2, n, bands``: the key of the shingle set, its size, its bands and marks.
 
     ``bands`` has the marks of the registers behind the bands. A text without words
-    is a set of its own. Sets of fewer than four have no bands.
+    is a set of its id's own. Sets of fewer than four have no bands.
     """
     long = LongType()
-    schema = StructType([*[StructField(n, long) for n in ("node", "k1", "k2", "n")], StructField("bands", ArrayType(long))])
+    names = ("id", "digest", "k1", "k2", "n")
+    schema = StructType([StructField("no_id", BooleanType()), *[StructField(n, long) for n in names], StructField("bands", ArrayType(long))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = _shingler()
         for part in _texts(batches):
-            nodes = part.column("node").to_pylist()
+            owners = zip(part.column("id").to_pylist(), part.column("no_id").to_pylist(), strict=True)
             sets = [shingler.shingles(t) for t in part.column("text").to_pylist()]
-            keys = [(_set_key(s, 1), _set_key(s, 2)) if len(s) else (node, node) for node, (s, _) in zip(nodes, sets, strict=True)]
+            keys = [(_set_key(s, 1), _set_key(s, 2)) if len(s) else (own, int(none)) for (own, none), (s, _) in zip(owners, sets, strict=True)]
             large = [i for i, (s, _) in enumerate(sets) if len(s) >= FEWEST]
             bands: list[np.ndarray | None] = [None] * len(sets)
             if large:
-                # What is verified is the plain similarity of sets, so all shingles weigh the same.
-                signed = signatures([sets[i][0] for i in large], [np.ones(len(sets[i][0])) for i in large])
+                signed = signatures([sets[i][0] for i in large], [weigh(sets[i][1]) for i in large])
                 found = np.hstack([band_keys(signed), marks(signed)])
                 for i, row in zip(large, found, strict=True):
                     bands[i] = row
-            columns = [nodes, [k[0] for k in keys], [k[1] for k in keys], [len(s) for s, _ in sets]]
-            arrays = [pa.array(c, pa.int64()) for c in columns] + [pa.array(bands, pa.list_(pa.int64()))]
+            columns = [[k[0] for k in keys], [k[1] for k in keys], [len(s) for s, _ in sets]]
+            arrays = [*map(part.column, NODE), *[pa.array(c, pa.int64()) for c in columns], pa.array(bands, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return docs.select("node", "text").mapInArrow(run, schema)
+    return docs.select(*NODE, "text").mapInArrow(run, schema)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """``node, text`` to ``node, shingles``."""
-    schema = StructType([StructField("node", LongType()), StructField("shingles", ArrayType(LongType()))])
+    """``rep, text`` to ``rep, shingles``."""
+    schema = StructType([StructField("rep", LongType()), StructField("shingles", ArrayType(LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = _shingler()
         for part in _texts(batches):
             sets = [shingler.shingles(t)[0].view(np.int64) for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(sets, pa.list_(pa.int64()))], names=schema.names)
 
-    return docs.select("node", "text").mapInArrow(run, schema)
+    return docs.select("rep", "text").mapInArrow(run, schema)
 
 
 def _comparable(a: str, b: str) -> Column:
@@ -125,11 +134,13 @@ def _first_shared(a: str, b: str) -> Column:
     return F.array_position(F.zip_with(*bands, lambda x, y: x == y), True)
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose shingle sets are similar, compared as whole sets."""
-    wanted = store(ends_of(pairs), "wanted")
-    sets = store(shingle_sets(join_measured(nodes, wanted, "node", "left_semi", 64)).dropDuplicates(["node"]), "sets")
-    side = lambda name: sets.select(F.col("node").alias(name), F.col("shingles").alias(f"{name}_set"))
+def _verified(pairs: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` of classes whose shingle sets are similar, compared as whole sets."""
+    ends = ends_of(pairs).withColumnRenamed("node", "rep")
+    wanted = store(classes.select("rep", "node.*").join(ends, "rep"), "wanted")
+    texts = join_measured(nodes, wanted, list(NODE), "inner", 64)
+    sets = store(shingle_sets(texts).dropDuplicates(["rep"]), "sets")
+    side = lambda name: sets.select(F.col("rep").alias(name), F.col("shingles").alias(f"{name}_set"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("a_set", "b_set"))
     counted = both.select("a", "b", shared.alias("shared"), (F.size("a_set") + F.size("b_set")).alias("total"))
@@ -140,39 +151,47 @@ def _pairs_across(crowded: DataFrame, found: DataFrame, signed: DataFrame, least
     """``a, b``: the pairs in one bucket but in two components that agree in enough registers."""
     grouped = crowded.join(found.withColumnRenamed("node", "rep"), "rep", "left")
     grouped = store(grouped.select("bucket", "band", "rep", "n", F.coalesce("component", "rep").alias("component")), "grouped")
-    split = grouped.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    apart = grouped.join(split.select("bucket"), "bucket", "left_semi").join(signed.select("rep", "bands"), "rep")
-    apart = store(apart, "apart")
-    one = apart.select("bucket", "band", *[F.col(c).alias(f"a_{c}") for c in ("rep", "n", "component", "bands")])
-    two = apart.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("rep", "n", "component", "bands")])
+    groups = store(grouped.select("bucket", "component").distinct(), "groups")
+    split = groups.groupBy("bucket").agg(F.count(F.lit(1)).alias("groups")).filter("groups > 1")
+    numbered = groups.join(split, "bucket").withColumn("number", F.row_number().over(Window.partitionBy("bucket").orderBy("component")) - 1)
+    # Two numbers differ for the first time in one binary digit, below which they are alike.
+    digits = F.explode(F.sequence(F.lit(0), F.length(F.bin(F.col("groups") - 1)) - 1)).alias("digit")
+    dealt = grouped.join(numbered, ["bucket", "component"]).select("bucket", "band", "rep", "n", "number", digits)
+    dealt = dealt.withColumn("below", F.expr("number & (shiftleft(1, digit) - 1)")).withColumn("bit", F.expr("shiftright(number, digit) & 1"))
+    apart = store(dealt.join(signed.select("rep", "bands"), "rep"), "apart")
+    meet = ["bucket", "digit", "below"]
+    one = apart.filter("bit = 0").select(*meet, "band", *[F.col(c).alias(f"a_{c}") for c in ("rep", "n", "bands")])
+    two = apart.filter("bit = 1").select(*meet, *[F.col(c).alias(f"b_{c}") for c in ("rep", "n", "bands")])
     across = (
-        (F.col("a_rep") < F.col("b_rep"))
-        & (F.col("a_component") != F.col("b_component"))
-        & _comparable("a_n", "b_n")
+        _comparable("a_n", "b_n")
         & (_agree("a_bands", "b_bands") >= least)
         # A pair that meets in several buckets counts in one.
         & (_first_shared("a_bands", "b_bands") == F.col("band"))
     )
-    return one.join(two, "bucket").filter(across).select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct()
+    found = one.join(two, meet).filter(across)
+    return found.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, node, component_id, kept``, one row a row of ``docs``.
+    """``doc_id``, ``NODE``, ``component_id, kept``, one row a row of ``docs``.
 
     Documents whose sets of five-word shingles have a Jaccard similarity of at
     least 0.8 are linked; ``component_id`` is the smallest id that links lead to,
-    its own included, and ``kept`` tells whether the row has it. Texts of fewer
-    than five words are one shingle. Null and empty texts, and texts without
-    words, link with nothing. Rows of the same id are one document. A row without
-    an id takes part by its text; its ``component_id`` is null if no other has an
-    id. An empty table stays so.
+    its own included, and ``kept`` tells whether the row stands for its group: it
+    has this id, and of several texts with it the one of the smallest hash. Texts of
+    fewer than five words are one shingle. Null and empty texts, and texts without
+    words, link with nothing. Any BIGINT is an id. Rows alike in id and text are one
+    document and agree in all columns; rows of one id but different texts are
+    documents of their own, each compared by its text. A row without an id takes
+    part by its text; its ``component_id`` is null if no other has an id. An empty
+    table stays so.
     """
-    nodes = docs.select(node_of(F.col(doc_id), F.col(text)).alias("node"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    nodes = docs.select(*node_of(F.col(doc_id), F.col(text)), F.col(text).alias("text"))
     sketched = store(sketch(nodes), "sketched")
-    classes = store(
-        sketched.groupBy("k1", "k2", "n").agg(F.min("node").alias("rep"), F.first("bands").alias("bands")),
-        "classes",
-    )
+    node = F.struct(*NODE)
+    grouped = sketched.groupBy("k1", "k2", "n").agg(F.min(node).alias("node"), F.first("bands").alias("bands"))
+    # A number for each class, fixed as the table is written.
+    classes = store(grouped.sortWithinPartitions("k1", "k2", "n").withColumn("rep", F.monotonically_increasing_id()), "classes")
     signed = classes.filter("bands IS NOT NULL")
     buckets = signed.select("rep", "n", F.posexplode(F.slice("bands", 1, BANDS)).alias("band", "bucket"))
     buckets = store(buckets.withColumn("band", F.col("band") + 1), "buckets")
@@ -183,7 +202,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     middle = crowded.join(company, "rep").groupBy("bucket").agg(most).select("bucket", F.col("m.rep").alias("m"), F.col("m.n").alias("m_n"))
     star = crowded.join(middle, "bucket").filter((F.col("rep") != F.col("m")) & _comparable("n", "m_n"))
     star = store(star.select(F.least("rep", "m").alias("a"), F.greatest("rep", "m").alias("b")).distinct(), "pairs")
-    links = store(_verified(star, nodes), "links")
+    links = store(_verified(star, nodes, classes), "links")
 
     # Where a bucket still has several groups, the pairs across them.
     found, compared = connected_components(links), star
@@ -191,30 +210,38 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         rest = store(_pairs_across(crowded, found, signed, least).join(compared, ["a", "b"], "left_anti"), "rest")
         if not rest.isEmpty():
             compared = compared.unionByName(rest)
-            links = store(links.unionByName(_verified(rest, nodes)), "links")
+            links = store(links.unionByName(_verified(rest, nodes, classes)), "links")
             found = connected_components(links)
 
-    final = classes.select("k1", "k2", "n", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    final = final.select("k1", "k2", "n", F.coalesce("component", "rep").alias("component"))
-    rows = sketched.select("node", "k1", "k2", "n").join(final, ["k1", "k2", "n"])
-    own = F.when(F.col("node") < NO_ID, F.col("node"))
+    # The first node of each component; a class without links is its own.
+    linked = store(found.withColumnRenamed("node", "rep").join(classes.select("rep", "node"), "rep"), "linked")
+    firsts = store(linked.groupBy("component").agg(F.min("node").alias("first")), "firsts")
+    firsts = join_measured(linked.select("rep", "component"), firsts, "component").select("rep", "first")
+    final = classes.select("k1", "k2", "n", "rep", "node").join(firsts, "rep", "left")
+    final = final.select("k1", "k2", "n", F.coalesce("first", "node").alias("first"))
+    rows = sketched.select(*NODE, "k1", "k2", "n").join(final, ["k1", "k2", "n"])
     return rows.select(
-        own.alias("doc_id"),
-        "node",
-        F.when(F.col("component") < NO_ID, F.col("component")).alias("component_id"),
-        (F.col("node") == F.col("component")).alias("kept"),
+        F.when(~F.col("no_id"), F.col("id")).alias("doc_id"),
+        *NODE,
+        F.when(~F.col("first.no_id"), F.col("first.id")).alias("component_id"),
+        (node == F.col("first")).alias("kept"),
     )
 
 
 def keep_one(docs: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """The rows of ``docs`` whose document stands for its group, each document once."""
+    """The rows of ``docs`` whose document stands for its group, each document once.
+
+    Of rows alike in id and text the one stays whose other columns have the smallest hash.
+    """
     columns = docs.columns if columns is None else columns
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"), node_of(F.col("doc_id"), F.col("text")).alias("node"))
-    dropped = store(near_duplicates(docs).filter(~F.col("kept")).select("node").distinct(), "dropped")
-    left = join_measured(marked, dropped, "node", "left_anti", 64)
-    repeated = store(left.groupBy("node").count().filter("count > 1").select("node"), "repeated")
+    node = list(NODE)
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"), *node_of(F.col("doc_id"), F.col("text")))
+    dropped = store(near_duplicates(docs).filter(~F.col("kept")).select(*node).distinct(), "dropped")
+    left = join_measured(marked, dropped, node, "left_anti", 64)
+    repeated = store(left.groupBy(*node).count().filter("count > 1").select(*node), "repeated")
     if repeated.isEmpty():
         return left.select("doc.*")
-    once = join_measured(left, repeated, "node", "left_anti", 64)
-    several = join_measured(left, repeated, "node", "left_semi", 64).dropDuplicates(["node"])
-    return once.unionByName(several).select("doc.*")
+    once = join_measured(left, repeated, node, "left_anti", 64).select("doc")
+    several = join_measured(left, repeated, node, "left_semi", 64)
+    first = F.min_by("doc", F.xxhash64("doc"))
+    return once.unionByName(several.groupBy(*node).agg(first.alias("doc")).select("doc")).select("doc.*")

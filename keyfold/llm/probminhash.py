@@ -21,6 +21,8 @@ WIDTH = 5
 REGISTERS = 288
 # Bands are cut from the first registers; marks are made of all.
 BANDS, ROWS = 24, 6
+# Words of more characters are long.
+SHORT = 3
 # Fewer shingles than this reach a similarity of 0.8 only with an equal set.
 FEWEST = 4
 
@@ -44,7 +46,7 @@ class Shingler:
         self.words = Memo(lambda word: xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")))
 
     def shingles(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct shingle hashes in ascending order, and how often each occurs.
+        """Distinct shingle hashes in ascending order, and how many long words each has.
 
         Words are runs of letters and digits in lower case. A text with fewer words
         than a shingle has is one shingle; without words it has none.
@@ -58,7 +60,19 @@ class Shingler:
         joined = hashes[:n].copy()
         for i in range(1, width):
             joined = joined * _FACTOR + hashes[i : i + n]
-        return np.unique(mix(joined), return_counts=True)
+        long = np.cumsum([0, *[len(word) > SHORT for word in words]])
+        distinct, first = np.unique(mix(joined), return_index=True)
+        return distinct, (long[width:] - long[:-width])[first]
+
+
+def weigh(long_words: np.ndarray) -> np.ndarray:
+    """The weight of shingles of so many long words: from 1 to 9/8 for five.
+
+    A shingle weighs the same in every document. Short words are mostly those of
+    grammar, and shingles of them tell less. With weights between 1 and 9/8 the
+    probability Jaccard similarity of sets at a plain one of 0.8 is 0.78 at least.
+    """
+    return 1.0 + long_words / (8.0 * WIDTH)
 
 
 def signatures(shingles: list[np.ndarray], weights: list[np.ndarray], registers: int = REGISTERS) -> np.ndarray:

@@ -8,7 +8,7 @@ import pytest
 
 from keyfold.llm import neardup
 from keyfold.llm.graph import connected_components
-from keyfold.llm.probminhash import Shingler, band_keys, marks, mix, signatures
+from keyfold.llm.probminhash import Shingler, band_keys, marks, mix, signatures, weigh
 
 
 def brute(rows):
@@ -150,6 +150,52 @@ def test_repeated_passages_do_not_hide_a_pair(spark):
         rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[:100] + part * 100 + words[150:]))]
     rng.shuffle(rows)
     check(spark, rows)
-    sketched = {r.node: r.bands for r in neardup.sketch(spark.createDataFrame(rows, "node BIGINT, text STRING")).collect()}
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    sketched = {r.id: r.bands for r in neardup.sketch(docs.select(*neardup.node_of(docs.doc_id, docs.text), "text")).collect()}
     shared = [np.array(sketched[2 * i])[: neardup.BANDS] == np.array(sketched[2 * i + 1])[: neardup.BANDS] for i in range(60)]
     assert min(s.sum() for s in shared) >= 12
+
+
+def test_ids_of_all_sizes_and_one_id_with_different_texts(spark):
+    """Every BIGINT is an id, and each text of a repeated id is compared."""
+    one, two = (" ".join(f"{c}{i}" for i in range(40)) for c in "pq")
+    big, low = (1 << 62) + 5, -(1 << 63)
+    rows = [(big, one), ((1 << 63) - 1, one + " more"), (low, two), (7, one + " again"), (7, two + " again"), (7, "neither"), (7, None), (None, two)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    seen = []
+    for parts in (1, 5):
+        dealt = docs.repartition(parts)
+        found = Counter((r.doc_id, r.component_id) for r in neardup.near_duplicates(dealt).collect())
+        assert found == Counter([(big, 7), ((1 << 63) - 1, 7), (low, low), (7, 7), (7, low), (7, 7), (7, 7), (None, low)])
+        seen.append(sorted(repr((r.doc_id, r.text)) for r in neardup.keep_one(dealt).collect()))
+    assert seen[0] == seen[1] == sorted(map(repr, [(7, one + " again"), (low, two), (7, "neither"), (7, None)]))
+
+
+def test_of_rows_alike_in_id_and_text_one_stays_whatever_the_order(spark):
+    docs = spark.createDataFrame([(3, "a b c", "x"), (3, "a b c", "y"), (3, "a b c", "z")], "doc_id BIGINT, text STRING, source STRING")
+    assert len({neardup.keep_one(docs.repartition(n)).first().source for n in (1, 3)}) == 1
+
+
+def test_weighted_pairs_at_the_threshold_share_bands_and_registers():
+    """The worst case: what is shared is short words, what differs long ones."""
+    rng = np.random.default_rng(3)
+    lost, gated, trials = 0, 0, 400
+    for _ in range(trials):
+        shared, a, b = (rng.integers(0, 2**63, n).astype(np.uint64) for n in (160, 20, 20))
+        sets = [np.concatenate([shared, own]) for own in (a, b)]
+        signed = signatures(sets, [weigh(np.repeat([0, 5], [160, 20]))] * 2)
+        bands = band_keys(signed)
+        lost += not (bands[0] == bands[1]).any()
+        four = mix(signed) & np.uint64(15)
+        gated += (four[0] == four[1]).sum() < neardup.AGREE[-1]
+    assert lost <= 5 and gated <= 2
+
+
+def test_no_pairs_within_a_group_are_formed(spark):
+    """Rows of one component do not meet, and each pair across components meets once."""
+    rows = [(0, 1, rep, 50, 0 if rep < 40 else rep) for rep in range(43)]
+    crowded = spark.createDataFrame([r[:4] for r in rows], "bucket BIGINT, band INT, rep BIGINT, n BIGINT")
+    found = spark.createDataFrame([(rep, 0) for rep in range(40)], "node BIGINT, component BIGINT")
+    signed = spark.createDataFrame([(rep, [7] * 42) for rep in range(43)], "rep BIGINT, bands ARRAY<BIGINT>")
+    pairs = [(r.a, r.b) for r in neardup._pairs_across(crowded, found, signed, 0).collect()]
+    assert sorted(pairs) == sorted((a, b) for a in range(43) for b in range(40, 43) if a < b)
