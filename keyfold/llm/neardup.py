@@ -4,13 +4,14 @@ Documents with equal shingle sets fall into a class by a hash of the set, so
 copies are never paired. Each class has one representative with a signature cut
 into bands; representatives that agree in a band share a bucket. In a bucket all
 are compared with the one that has most company in all its buckets, the middle of
-a group, which finds most groups with as many pairs as documents. Then, in buckets
-that still hold several groups, all pairs across groups are compared whose
-signatures agree in enough registers, those that agree in more of them first. So no
-two documents of one bucket stay apart unless their sets or signatures were
-compared. The groups of a bucket are numbered, and rows meet by the lowest binary
-digit in which the numbers of their groups differ, so pairs within a group are
-never formed.
+a group, which finds most groups with as many pairs as documents. Then, where a
+bucket still holds several groups, pairs across groups are compared: in a small
+bucket those whose signatures agree in enough registers; in a larger one those that
+share rare shingles in what sets them apart from the hub of the group, which every
+similar pair does. So a group of texts that are near its hub, but not each other,
+costs in proportion to its texts. The groups of a bucket are numbered, and rows meet
+by the lowest binary digit in which the numbers of their groups differ, so pairs
+within a group are never formed.
 """
 
 from __future__ import annotations
@@ -33,10 +34,11 @@ from .tokencount import batches_of
 # A rational threshold, so that the comparison is exact.
 SIMILAR, OF = 8, 10
 # Of 288 registers, by four bits each, 234 agree on average at a similarity of 0.8.
-# Pairs that agree in so many are compared first, for what they join needs no
-# comparison later. Weights of at most 9/8 may lower 0.8 to 0.78 at worst, where
-# fewer than the last agree once in ten thousand times.
-AGREE = (234, 203)
+# Weights of at most 9/8 may lower 0.8 to 0.78 at worst, where fewer than the last
+# agree once in ten thousand times.
+AGREE = (203,)
+# In buckets of at most so many classes pairs meet directly, by their registers.
+FEW = 8
 # What a document is known by, in the order in which one stands for its group: those
 # with an id first, by id, then by a hash of the text.
 NODE = ("no_id", "id", "digest")
@@ -134,31 +136,57 @@ def _first_shared(a: str, b: str) -> Column:
     return F.array_position(F.zip_with(*bands, lambda x, y: x == y), True)
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of classes whose shingle sets are similar, compared as whole sets."""
+def _sets(pairs: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rep, shingles``: the whole shingle sets of the classes in pairs ``a, b``."""
     ends = ends_of(pairs).withColumnRenamed("node", "rep")
     wanted = store(classes.select("rep", "node.*").join(ends, "rep"), "wanted")
     texts = join_measured(nodes, wanted, list(NODE), "inner", 64)
-    sets = store(shingle_sets(texts).dropDuplicates(["rep"]), "sets")
+    return store(shingle_sets(texts).dropDuplicates(["rep"]), "sets")
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` with their sets ``a_set, b_set``."""
     side = lambda name: sets.select(F.col("rep").alias(name), F.col("shingles").alias(f"{name}_set"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b")
+
+
+def _similar(shared: Column | str, total: Column | str) -> Column:
+    """Whether sets are similar that share so many shingles and have so many in all, each counted."""
+    shared, total = (F.col(c) if isinstance(c, str) else c for c in (shared, total))
+    return shared * OF >= (total - shared) * SIMILAR
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` of classes whose shingle sets are similar, compared as whole sets."""
     shared = F.size(F.array_intersect("a_set", "b_set"))
-    counted = both.select("a", "b", shared.alias("shared"), (F.size("a_set") + F.size("b_set")).alias("total"))
-    return counted.filter(F.col("shared") * OF >= (F.col("total") - F.col("shared")) * SIMILAR).select("a", "b")
+    counted = _with_sets(pairs, sets).select("a", "b", shared.alias("shared"), (F.size("a_set") + F.size("b_set")).alias("total"))
+    return counted.filter(_similar("shared", "total")).select("a", "b")
+
+
+def _dealt(grouped: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows ``keys, component, ...`` of buckets with several components, by ``digit, below, bit``.
+
+    Rows of one bucket meet, once a pair and never within a component, where they
+    agree in ``digit`` and ``below`` and differ in ``bit``.
+    """
+    groups = store(grouped.select(*keys, "component").distinct(), "groups")
+    split = groups.groupBy(*keys).agg(F.count(F.lit(1)).alias("groups")).filter("groups > 1")
+    numbered = groups.join(split, keys).withColumn("number", F.row_number().over(Window.partitionBy(*keys).orderBy("component")) - 1)
+    # Two numbers differ for the first time in one binary digit, below which they are alike.
+    digits = F.explode(F.sequence(F.lit(0), F.length(F.bin(F.col("groups") - 1)) - 1)).alias("digit")
+    dealt = grouped.join(numbered, [*keys, "component"]).select(*grouped.columns, "number", digits)
+    return dealt.withColumn("below", F.expr("number & (shiftleft(1, digit) - 1)")).withColumn("bit", F.expr("shiftright(number, digit) & 1"))
+
+
+def _sorted_pairs(found: DataFrame) -> DataFrame:
+    return found.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b"))
 
 
 def _pairs_across(crowded: DataFrame, found: DataFrame, signed: DataFrame, least: int) -> DataFrame:
     """``a, b``: the pairs in one bucket but in two components that agree in enough registers."""
     grouped = crowded.join(found.withColumnRenamed("node", "rep"), "rep", "left")
     grouped = store(grouped.select("bucket", "band", "rep", "n", F.coalesce("component", "rep").alias("component")), "grouped")
-    groups = store(grouped.select("bucket", "component").distinct(), "groups")
-    split = groups.groupBy("bucket").agg(F.count(F.lit(1)).alias("groups")).filter("groups > 1")
-    numbered = groups.join(split, "bucket").withColumn("number", F.row_number().over(Window.partitionBy("bucket").orderBy("component")) - 1)
-    # Two numbers differ for the first time in one binary digit, below which they are alike.
-    digits = F.explode(F.sequence(F.lit(0), F.length(F.bin(F.col("groups") - 1)) - 1)).alias("digit")
-    dealt = grouped.join(numbered, ["bucket", "component"]).select("bucket", "band", "rep", "n", "number", digits)
-    dealt = dealt.withColumn("below", F.expr("number & (shiftleft(1, digit) - 1)")).withColumn("bit", F.expr("shiftright(number, digit) & 1"))
-    apart = store(dealt.join(signed.select("rep", "bands"), "rep"), "apart")
+    apart = store(_dealt(grouped, ["bucket"]).join(signed.select("rep", "bands"), "rep"), "apart")
     meet = ["bucket", "digit", "below"]
     one = apart.filter("bit = 0").select(*meet, "band", *[F.col(c).alias(f"a_{c}") for c in ("rep", "n", "bands")])
     two = apart.filter("bit = 1").select(*meet, *[F.col(c).alias(f"b_{c}") for c in ("rep", "n", "bands")])
@@ -168,8 +196,74 @@ def _pairs_across(crowded: DataFrame, found: DataFrame, signed: DataFrame, least
         # A pair that meets in several buckets counts in one.
         & (_first_shared("a_bands", "b_bands") == F.col("band"))
     )
-    found = one.join(two, meet).filter(across)
-    return found.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct()
+    return _sorted_pairs(one.join(two, meet).filter(across)).distinct()
+
+
+def _around(crowded: DataFrame, middle: DataFrame, company: DataFrame, found: DataFrame) -> DataFrame:
+    """``a, b, component, foreign``: each class ``a`` of the buckets with the hub ``b`` it is described by.
+
+    The hub is the class of most company in the component of a bucket's middle, so
+    the many buckets of one group share it. ``foreign`` tells that ``a`` is of another component.
+    """
+    component = found.withColumnRenamed("node", "rep")
+    of = lambda rep, name: F.coalesce(F.col("component"), F.col(rep)).alias(name)
+    ranked = company.join(component, "rep", "left").select("rep", "company", of("rep", "own"))
+    first = F.max(F.struct(F.col("company"), (-F.col("rep")).alias("minus"), "rep")).alias("h")
+    hubs = ranked.groupBy("own").agg(first).select("own", F.col("h.rep").alias("b"))
+    centers = middle.select("bucket", F.col("m").alias("rep")).join(component, "rep", "left").select("bucket", of("rep", "own"))
+    centers = centers.join(hubs, "own")
+    members = crowded.select("bucket", "rep").join(component, "rep", "left").select("bucket", "rep", of("rep", "component"))
+    described = members.join(centers, "bucket").filter("rep <> b")
+    return described.select(F.col("rep").alias("a"), "b", "component", (F.col("component") != F.col("own")).alias("foreign")).distinct()
+
+
+def _pairs_by_difference(around: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b``: the pairs across components that may be similar, among the classes described by one hub.
+
+    A class is described by its difference from the hub, the shingles that one of
+    them has and the other has not. Similar sets x and y have at most a ninth of
+    their sizes' sum apart, so their differences of d(x) and d(y) shingles share at
+    least (d(x) + d(y) - (n(x) + n(y)) / 9) / 2. If one of them is not similar to the hub
+    this is more than zero, and if both are they are of one component. So each
+    difference is sorted with the shingles that are rarest in the hub's differences
+    first, and two meet by a shingle within the first ones of either, of which there are so many
+    that a pair which shares none in them cannot share enough. Nothing is lost.
+    """
+    shared, n, hub = F.size(F.array_intersect("a_set", "b_set")), F.size("a_set"), F.size("b_set")
+    apart = F.concat(F.array_except("a_set", "b_set"), F.array_except("b_set", "a_set"))
+    told = _with_sets(around, sets).select(
+        F.col("b").alias("hub"), F.col("a").alias("rep"), "component", "foreign", n.alias("n"), hub.alias("hub_n"),
+        apart.alias("apart"), _similar(shared, n + hub).alias("near"),
+    )
+    told = told.withColumn("d", F.size("apart"))
+    # Fewest shared shingles with any set similar to this one, and if one of both is not
+    # near the hub and the other, which is not this one, neither or this one is.
+    always = F.expr("greatest(1, d - n div 4)")
+    one_far = F.greatest(always, F.floor((F.col("d") * 9 + F.col("hub_n") - F.col("n")) / 18) + 1)
+    first = F.col("d") + 1
+    told = store(told.withColumn("short", first - one_far).withColumn("long", first - always).drop("hub_n"), "around")
+    meet = ["hub", "shingle"]
+    each = told.select("hub", "rep", F.explode("apart").alias("shingle"))
+    common = each.groupBy(*meet).agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    own = Window.partitionBy("hub", "rep")
+    # The shingles of one difference alone come first and meet nothing.
+    kept = each.join(common, meet).withColumn("rank", F.row_number().over(own.orderBy("times", "shingle"))).withColumn("common", F.count(F.lit(1)).over(own))
+    row = told.drop("apart")
+    placed = kept.join(row, ["hub", "rep"]).withColumn("place", F.col("d") - F.col("common") + F.col("rank") - 1)
+    placed = placed.filter(F.col("place") < F.when(F.col("near"), F.col("short")).otherwise(F.greatest("short", "long")))
+    placed = store(placed.select(*meet, "rep", "component", "foreign", "near", "n", "d", "place", "short"), "placed")
+
+    side = lambda df, name: df.select(*[F.col(c) if c in (*meet, "digit", "below") else F.col(c).alias(f"{name}_{c}") for c in df.columns])
+    far = store(_dealt(placed.filter("NOT near AND place < short"), meet), "far")
+    both_far = side(far.filter("bit = 0").drop("bit"), "a").join(side(far.filter("bit = 1").drop("bit"), "b"), [*meet, "digit", "below"])
+    one_near = side(placed.filter("near"), "a").join(side(placed.filter("NOT near AND foreign"), "b"), meet)
+    # What can be shared from the first common shingle on is enough.
+    after = F.least(F.col("a_d") - F.col("a_place"), F.col("b_d") - F.col("b_place"))
+    enough = after * 18 >= (F.col("a_d") + F.col("b_d")) * 9 - (F.col("a_n") + F.col("b_n"))
+    pairs = [_sorted_pairs(p.filter(_comparable("a_n", "b_n") & enough)) for p in (both_far, one_near)]
+    # Classes near the hub have to be of its component.
+    joined = _sorted_pairs(told.filter("near AND foreign").select(F.col("rep").alias("a_rep"), F.col("hub").alias("b_rep")))
+    return pairs[0].unionByName(pairs[1]).unionByName(joined).distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -197,21 +291,29 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     buckets = store(buckets.withColumn("band", F.col("band") + 1), "buckets")
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     crowded = store(buckets.join(sizes, "bucket"), "crowded")
-    company = crowded.groupBy("rep").agg(F.sum("size").alias("company"))
+    company = store(crowded.groupBy("rep").agg(F.sum("size").alias("company")), "company")
     most = F.max(F.struct(F.col("company"), (-F.col("rep")).alias("minus"), "rep", "n")).alias("m")
     middle = crowded.join(company, "rep").groupBy("bucket").agg(most).select("bucket", F.col("m.rep").alias("m"), F.col("m.n").alias("m_n"))
+    middle = store(middle, "middle")
     star = crowded.join(middle, "bucket").filter((F.col("rep") != F.col("m")) & _comparable("n", "m_n"))
     star = store(star.select(F.least("rep", "m").alias("a"), F.greatest("rep", "m").alias("b")).distinct(), "pairs")
-    links = store(_verified(star, nodes, classes), "links")
-
-    # Where a bucket still has several groups, the pairs across them.
-    found, compared = connected_components(links), star
-    for least in AGREE:
-        rest = store(_pairs_across(crowded, found, signed, least).join(compared, ["a", "b"], "left_anti"), "rest")
-        if not rest.isEmpty():
-            compared = compared.unionByName(rest)
-            links = store(links.unionByName(_verified(rest, nodes, classes)), "links")
-            found = connected_components(links)
+    links = store(_verified(star, _sets(star, nodes, classes)), "links")
+    found = connected_components(links)
+
+    # Where a bucket holds several groups beside its middle, the pairs across them.
+    beside = crowded.join(middle, "bucket").filter("rep <> m").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    group = F.coalesce("component", "rep")
+    split = beside.groupBy("bucket").agg(F.min(group).alias("low"), F.max(group).alias("high")).filter("low <> high").select("bucket")
+    several = store(crowded.join(split, "bucket"), "several")
+    few = store(_pairs_across(several.filter(F.col("size") <= FEW), found, signed, AGREE[-1]).join(star, ["a", "b"], "left_anti"), "few")
+    around = store(_around(several.filter(F.col("size") > FEW), middle, company, found), "described")
+    sets = _sets(few.unionByName(around.select("a", "b")), nodes, classes)
+    rest = few.unionByName(_pairs_by_difference(around, sets)).distinct().join(star, ["a", "b"], "left_anti")
+    rest = store(rest, "rest")
+    more = store(_verified(rest, sets), "more")
+    if not more.isEmpty():
+        links = store(links.unionByName(more), "links")
+        found = connected_components(links)
 
     # The first node of each component; a class without links is its own.
     linked = store(found.withColumnRenamed("node", "rep").join(classes.select("rep", "node"), "rep"), "linked")

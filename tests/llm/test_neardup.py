@@ -199,3 +199,46 @@ def test_no_pairs_within_a_group_are_formed(spark):
     signed = spark.createDataFrame([(rep, [7] * 42) for rep in range(43)], "rep BIGINT, bands ARRAY<BIGINT>")
     pairs = [(r.a, r.b) for r in neardup._pairs_across(crowded, found, signed, 0).collect()]
     assert sorted(pairs) == sorted((a, b) for a in range(43) for b in range(40, 43) if a < b)
+
+
+def test_texts_near_the_middle_but_not_each_other_cost_in_proportion(spark, monkeypatch):
+    """Most texts of the group differ from its middle by too much, and in pairs by still more."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(i, varied(rng, base, rng.randint(1, 10))) for i in range(500)]
+    # Two that are near each other, far from the middle.
+    far = varied(rng, base, 8).split()
+    rows += [(600 + k, varied(rng, far, 1)) for k in range(2)]
+    compared, verified = [], neardup._verified
+
+    def counted(pairs, *more):
+        compared.append(pairs.count())
+        return verified(pairs, *more)
+
+    monkeypatch.setattr(neardup, "_verified", counted)
+    check(spark, rows)
+    assert 0 < sum(compared) <= 4 * len(rows)
+
+
+@pytest.mark.parametrize("alphabet", [10**9, 3])
+def test_pairs_by_difference_are_all_similar_pairs(spark, alphabet):
+    """Whatever is removed, added or common to many, and however far the hub is."""
+    rng = random.Random(alphabet)
+    base = list(range(60))
+    sets = {0: set(base)}
+    for rep in range(1, 160):
+        # Some start from a text that is itself not near the hub.
+        own = set(base) if rep % 3 else set(base[9:]) | {100 + i for i in range(9)}
+        own -= set(rng.sample(base, rng.randint(0, 9)))
+        sets[rep] = own | {1000 + 100 * rng.randrange(40) + rng.randrange(alphabet) for _ in range(rng.randint(0, 9))}
+    similar = lambda a, b: len(sets[a] & sets[b]) * 10 >= 8 * len(sets[a] | sets[b])
+    # Every class but those near the hub is a component of its own, or one of a few.
+    for component in (lambda r: r, lambda r: 1 + r % 4):
+        of = {r: 0 if not r or (similar(r, 0) and r % 2) else component(r) for r in sets}
+        around = spark.createDataFrame([(r, 0, of[r], of[r] != 0) for r in sets if r], "a BIGINT, b BIGINT, component BIGINT, foreign BOOLEAN")
+        made = spark.createDataFrame([(r, sorted(s)) for r, s in sets.items()], "rep BIGINT, shingles ARRAY<BIGINT>")
+        found = {(r.a, r.b) for r in neardup._pairs_by_difference(around, made).collect()}
+        near = {r for r in sets if similar(r, 0)}
+        wanted = {(a, b) for a in sets for b in sets if a < b and of[a] != of[b] and similar(a, b) and not {a, b} <= near - {0}}
+        assert wanted and wanted <= found
+        assert len({p for p in wanted if p[0]}) > 20
