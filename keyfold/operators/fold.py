@@ -4,13 +4,15 @@ A fold says what an empty state is, how rows change it, how two states become on
 and what comes of it. Each task keeps one state per key, so a key with a third of
 all rows adds one row per task to the one shuffle. States of a key then stand side
 by side and are merged as they are read; no task holds all rows or all states of
-a key.
+a key. States are columns, and a fold may treat all keys of a batch at once, so many
+keys of a few rows each cost no call each.
 """
 
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,6 @@ from pyspark.sql.types import StructType
 
 # Keys that a task holds before it passes their states on; a key may have several.
 STATES = 1 << 16
-_ROWS = 10_000
 
 
 class Fold(ABC):
@@ -48,45 +49,93 @@ class Fold(ABC):
     def finish(self, state: tuple) -> tuple:
         """The columns of the result."""
 
+    def update_each(self, rows: pa.RecordBatch, starts: np.ndarray) -> list:
+        """The columns of the states of groups of rows, which begin at ``starts``.
 
-def _groups(batch: pa.RecordBatch, keys: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
-    """The rows of a batch by the values of its first columns; NULL is a value too."""
-    if not batch.num_rows:
-        return
+        This and ``merge_each`` go key by key; a fold over many keys overrides them.
+        """
+        ends = [*starts[1:], rows.num_rows]
+        return _columns([self.update(self.zero(), rows.slice(a, b - a)) for a, b in zip(starts, ends, strict=True)])
+
+    def merge_each(self, states: pa.RecordBatch, starts: np.ndarray) -> list:
+        """The columns of the states that groups of states, which begin at ``starts``, become."""
+        each = list(zip(*[c.to_pylist() for c in states.columns], strict=True))
+        return _columns([reduce(self.merge, each[a:b]) for a, b in zip(starts, [*starts[1:], len(each)], strict=True)])
+
+
+def _columns(rows: Sequence[tuple]) -> list:
+    return list(zip(*rows, strict=True))
+
+
+def _codes(batch: pa.RecordBatch, keys: int) -> np.ndarray:
+    """A number for the values of the first columns of each row; NULL is a value too."""
     code = np.zeros(batch.num_rows, np.int64)
     for i in range(keys):
         coded = pc.dictionary_encode(batch.column(i), null_encoding="encode")
-        # Renumbered, so that numbers of several keys together stay small.
-        code = np.unique(code * len(coded.dictionary) + coded.indices.to_numpy(), return_inverse=True)[1]
+        code = code * len(coded.dictionary) + coded.indices.to_numpy()
+        if keys > 1:
+            # Renumbered, so that numbers of several keys together stay small.
+            code = np.unique(code, return_inverse=True)[1]
+    return code
+
+
+def _starts(code: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.diff(code, prepend=-1))
+
+
+def _grouped(batch: pa.RecordBatch, keys: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """The rows, those of one key side by side, and where keys begin."""
+    code = _codes(batch, keys)
     order = np.argsort(code, kind="stable")
-    sorted_rows = batch.take(pa.array(order))
-    starts = np.flatnonzero(np.diff(code[order], prepend=-1))
-    values = sorted_rows.select(list(range(keys))).take(pa.array(starts)).to_pylist()
-    rest = sorted_rows.select(list(range(keys, batch.num_columns)))
-    for key, start, end in zip(values, starts, [*starts[1:], batch.num_rows], strict=True):
-        yield tuple(key.values()), rest.slice(start, end - start)
+    return batch.take(pa.array(order)), _starts(code[order])
+
+
+def _split(batch: pa.RecordBatch, keys: int, starts: np.ndarray) -> tuple[list[pa.Array], pa.RecordBatch]:
+    """The columns of the keys, once for each group, and the other columns of all rows."""
+    once = batch.select(list(range(keys))).take(pa.array(starts))
+    return once.columns, batch.select(list(range(keys, batch.num_columns)))
+
 
+def _batch(columns: Sequence, schema: pa.Schema) -> pa.RecordBatch:
+    arrays = [c if isinstance(c, pa.Array) else pa.array(list(c), f.type) for c, f in zip(columns or [()] * len(schema), schema, strict=True)]
+    return pa.RecordBatch.from_arrays([a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, schema, strict=True)], schema=schema)
 
-def _batch(rows: Sequence[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
-    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+def _joined(batches: Sequence[pa.RecordBatch]) -> pa.RecordBatch:
+    columns = [pa.concat_arrays([b.column(i) for b in batches]) for i in range(batches[0].num_columns)]
+    return pa.RecordBatch.from_arrays(columns, schema=batches[0].schema)
 
 
 def partial_fold(df: DataFrame, keys: Sequence[str], columns: Sequence[str], fold: Fold, most: int = STATES) -> DataFrame:
     """``keys`` and the state's columns: the states of each task, for ``merge_fold`` now or later."""
     chosen = df.select(*[F.col(f"`{c}`") for c in (*keys, *columns)])
-    schema = StructType([*chosen.schema[: len(keys)], *StructType.fromDDL(fold.state)])
+    schema, n = StructType([*chosen.schema[: len(keys)], *StructType.fromDDL(fold.state)]), len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow, states = to_arrow_schema(schema), {}
+        arrow, held, rows = to_arrow_schema(schema), [], 0
+
+        def merged() -> pa.RecordBatch:
+            states, starts = _grouped(_joined(held), n)
+            if len(starts) == states.num_rows:
+                return states
+            values, rest = _split(states, n, starts)
+            return _batch([*values, *fold.merge_each(rest, starts)], arrow)
+
         for batch in batches:
-            for key, rows in _groups(batch, len(keys)):
-                known = states.get(key)
-                states[key] = fold.update(fold.zero() if known is None else known, rows)
-            if len(states) >= most:
-                yield _batch([k + s for k, s in states.items()], arrow)
-                states.clear()
-        yield _batch([k + s for k, s in states.items()], arrow)
+            if not batch.num_rows:
+                continue
+            grouped, starts = _grouped(batch, n)
+            values, rest = _split(grouped, n, starts)
+            held.append(_batch([*values, *fold.update_each(rest, starts)], arrow))
+            rows += len(starts)
+            if rows >= most:
+                states = merged()
+                if 2 * states.num_rows >= most:
+                    yield states
+                    states = states.slice(0, 0)
+                held, rows = [states], states.num_rows
+        if rows:
+            yield merged()
 
     return chosen.mapInArrow(run, schema)
 
@@ -97,23 +146,26 @@ def merge_fold(states: DataFrame, keys: Sequence[str], fold: Fold) -> DataFrame:
     schema = StructType([*states.select(*keys).schema, *StructType.fromDDL(fold.result)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow, done = to_arrow_schema(schema), []
-        key = state = None
+        arrow, last = to_arrow_schema(schema), None
+
+        def finished(done: pa.RecordBatch) -> pa.RecordBatch:
+            rest = zip(*[c.to_pylist() for c in done.columns[n:]], strict=True)
+            return _batch([*done.columns[:n], *_columns([fold.finish(state) for state in rest])], arrow)
+
         for batch in batches:
-            for row in batch.to_pylist():
-                values = tuple(row.values())
-                if state is not None and values[:n] == key:
-                    state = fold.merge(state, values[n:])
-                    continue
-                if state is not None:
-                    done.append(key + fold.finish(state))
-                key, state = values[:n], values[n:]
-            if len(done) >= _ROWS:
-                yield _batch(done, arrow)
-                done = []
-        if state is not None:
-            done.append(key + fold.finish(state))
-        yield _batch(done, arrow)
+            if not batch.num_rows:
+                continue
+            # The last key of a batch may go on in the next.
+            whole = batch if last is None else _joined([last, batch])
+            starts = _starts(_codes(whole, n))
+            if len(starts) < whole.num_rows:
+                values, rest = _split(whole, n, starts)
+                whole = _batch([*values, *fold.merge_each(rest, starts)], batch.schema)
+            last = whole.slice(whole.num_rows - 1)
+            if whole.num_rows > 1:
+                yield finished(whole.slice(0, whole.num_rows - 1))
+        if last is not None:
+            yield finished(last)
 
     side_by_side = states.repartition(*keys).sortWithinPartitions(*keys)
     return side_by_side.mapInArrow(run, schema)
@@ -145,12 +197,15 @@ class MeanVariance(Fold):
     def zero(self):
         return 0, 0, 0
 
-    def update(self, state, rows):
-        values = rows.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.float64) * 10**self.scale
-        whole = np.rint(values)
+    def _check(self, values, whole):
         # What a double is off by, some units of its last place.
         if not (np.abs(values - whole) <= 1e-6 + 4e-16 * np.abs(values)).all():
             raise ValueError(f"values must be finite and have at most {self.scale} decimals")
+
+    def update(self, state, rows):
+        values = rows.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.float64) * 10**self.scale
+        whole = np.rint(values)
+        self._check(values, whole)
         if np.abs(whole).max(initial=0) < 1 << 31:
             whole = whole.astype(np.int64)
             square = whole * whole
@@ -161,6 +216,31 @@ class MeanVariance(Fold):
             total, squares = sum(exact), sum(x * x for x in exact)
         return self.merge(state, (len(values), total, squares))
 
+    def update_each(self, rows, starts):
+        given = rows.column(0)
+        valid = given.is_valid().to_numpy(zero_copy_only=False)
+        values = given.fill_null(0).to_numpy(zero_copy_only=False).astype(np.float64) * 10**self.scale
+        whole = np.rint(values)
+        if not (np.abs(whole) < 1 << 31).all():
+            # Exact integers, or the error, one key at a time.
+            return super().update_each(rows, starts)
+        self._check(values, whole)
+        whole = whole.astype(np.int64)
+        square = whole * whole
+        added = lambda x: pa.array(np.add.reduceat(x, starts)).cast(pa.decimal128(19))
+        high, low = added(square >> 32), added(square & 0xFFFFFFFF)
+        squares = pc.add(pc.multiply(high, pa.scalar(1 << 32, pa.decimal128(10))), low)
+        return [pa.array(np.add.reduceat(valid.astype(np.int64), starts)), added(whole), squares]
+
+    def merge_each(self, states, starts):
+        group = np.repeat(np.arange(len(starts)), np.diff([*starts, states.num_rows]))
+        sizes = [np.add.reduceat(np.abs(c.cast(pa.float64()).to_numpy()), starts).max() for c in states.columns[1:]]
+        if max(sizes) >= 1e37:
+            return super().merge_each(states, starts)
+        table = pa.table([pa.array(group), *states.columns], names=["group", "n", "total", "squares"])
+        added = table.group_by("group", use_threads=False).aggregate([(c, "sum") for c in table.column_names[1:]])
+        return [added.column(f"{c}_sum").combine_chunks() for c in table.column_names[1:]]
+
     def merge(self, one, other):
         return tuple(int(x) + int(y) for x, y in zip(one, other, strict=True))
 
@@ -188,6 +268,15 @@ class Extremes(Fold):
         low, high = float(values.min()), float(values.max())
         return self.merge(state, (low, int((values == low).sum()), high, int((values == high).sum())))
 
+    def update_each(self, rows, starts):
+        values, once = rows.column(0), np.ones(rows.num_rows, np.int64)
+        return [*_ends(values, once, starts, np.minimum, np.inf), *_ends(values, once, starts, np.maximum, -np.inf)]
+
+    def merge_each(self, states, starts):
+        low, n_low, high, n_high = states.columns
+        least = _ends(low, n_low.to_numpy(), starts, np.minimum, np.inf)
+        return [*least, *_ends(high, n_high.to_numpy(), starts, np.maximum, -np.inf)]
+
     def merge(self, one, other):
         return (*_pick(one[:2], other[:2], min), *_pick(one[2:], other[2:], max))
 
@@ -195,6 +284,15 @@ class Extremes(Fold):
         return state
 
 
+def _ends(values: pa.Array, times: np.ndarray, starts: np.ndarray, choose: np.ufunc, none: float) -> tuple[pa.Array, pa.Array]:
+    """The least or greatest value of each group, NULL without any, and how often it occurs."""
+    valid = values.is_valid().to_numpy(zero_copy_only=False)
+    filled = np.where(valid, values.fill_null(0).to_numpy(zero_copy_only=False) + 0.0, none)
+    best = choose.reduceat(filled, starts)
+    same = valid & (filled == np.repeat(best, np.diff([*starts, len(filled)])))
+    return pa.array(best, mask=~np.logical_or.reduceat(valid, starts)), pa.array(np.add.reduceat(np.where(same, times, 0), starts))
+
+
 def _pick(one: tuple, other: tuple, choose) -> tuple:
     """The better of two values with how often it occurs."""
     if one[0] is None or other[0] is None:

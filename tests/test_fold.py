@@ -106,3 +106,33 @@ def test_large_values_and_bad_ones(spark):
 
 def test_empty_table(rows):
     assert fold.fold_by_key(rows.limit(0), "station", "temp", fold.Extremes()).collect() == []
+
+
+@pytest.mark.parametrize("made", [fold.MeanVariance(1), fold.Extremes()])
+def test_many_keys_of_few_rows_cost_no_call_each(spark, monkeypatch, made):
+    """Batches of rows and of states are treated as a whole, with the results of going key by key."""
+    values = "CASE WHEN id % 7 = 0 THEN NULL WHEN id % 9 = 0 THEN -id ELSE id END / 10D"
+    df = spark.range(0, 60_000, numPartitions=3).selectExpr("CAST(id * 31 % 20000 AS STRING) AS k", "id % 2 AS half", f"{values} AS temp")
+    slow = {tuple(r) for r in fold.fold_by_key(df, ["k", "half"], "temp", changed(made, update_each=fold.Fold.update_each, merge_each=fold.Fold.merge_each)).collect()}
+
+    def refuse(self, *_):
+        raise AssertionError("one call a key")
+
+    fast = changed(made, update=refuse, merge=refuse)
+    found = [tuple(r) for r in fold.fold_by_key(df, ["k", "half"], "temp", fast).collect()]
+    assert len(found) == 20_000 and set(found) == slow
+
+
+def changed(made, **methods):
+    """A fold of the same parameters with other methods."""
+    kind = type("Changed", (type(made),), methods)
+    copy = kind.__new__(kind)
+    copy.__dict__.update(made.__dict__)
+    return copy
+
+
+def test_sums_beyond_64_bits_and_small_ones_side_by_side(spark):
+    rows = [("a", 2e7), ("a", -1e7), ("b", 4e13), ("b", 4e13), ("c", None), ("d", -0.01)]
+    df = spark.createDataFrame(rows * 3, "station STRING, temp DOUBLE").repartition(2)
+    found = {r.station: (r.n, r["mean"], r.variance) for r in fold.fold_by_key(df, "station", "temp", fold.MeanVariance(2)).collect()}
+    assert found == {"a": (6, 5e6, 2.25e14), "b": (6, 4e13, 0.0), "c": (0, None, None), "d": (3, -0.01, 0.0)}
