@@ -163,8 +163,11 @@ def encode_documents(
     """
     made = ENCODED.names if decoded else ENCODED.names[:-1]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in made]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.col(text).alias("text"))
-    schema = StructType([*rows.select("doc").schema, *[f for f in ENCODED if f.name in made]])
+    # The text goes to the workers and back once, not also within the document.
+    apart = text in kept and len(kept) > 1
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept if c != text or not apart]).alias("doc"), F.col(f"`{text}`").alias("text"))
+    passed = rows.columns if apart else ["doc"]
+    schema = StructType([*rows.select(*passed).schema, *[f for f in ENCODED if f.name in made]])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, lexicon)
@@ -173,12 +176,13 @@ def encode_documents(
                 part = batch.slice(start, end - start)
                 ids, offsets = encoder.encode([t or "" for t in part.column("text").to_pylist()])
                 listed = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
-                columns = [part.column("doc"), pa.array(np.diff(offsets)), listed]
+                columns = [*map(part.column, passed), pa.array(np.diff(offsets)), listed]
                 if decoded:
                     columns.append(pa.array([encoder.bpe.decode(i) for i in listed.to_pylist()], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return rows.mapInArrow(encode, schema).select("doc.*", *made)
+    given = [F.col("text").alias(c) if apart and c == text else F.col(f"doc.`{c}`") for c in kept]
+    return rows.mapInArrow(encode, schema).select(*given, *made)
 
 
 def decode_documents(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:

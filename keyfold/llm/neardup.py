@@ -37,6 +37,8 @@ SIMILAR, OF = 8, 10
 # Weights of at most 9/8 may lower 0.8 to 0.78 at worst, where fewer than the last
 # agree once in ten thousand times.
 AGREE = (203,)
+# Bytes of text whose signatures are drawn together: what a worker's memory grows with.
+SKETCH_CHARS = 1 << 20
 # In buckets of at most so many classes pairs meet directly, by their registers.
 FEW = 8
 # What a document is known by, in the order in which one stands for its group: those
@@ -67,7 +69,7 @@ def _set_key(shingles: np.ndarray, salt: int) -> int:
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for start, end in batches_of(batch.column("text")):
+        for start, end in batches_of(batch.column("text"), SKETCH_CHARS):
             yield batch.slice(start, end - start)
 
 
@@ -209,9 +211,9 @@ def _around(crowded: DataFrame, middle: DataFrame, company: DataFrame, found: Da
     of = lambda rep, name: F.coalesce(F.col("component"), F.col(rep)).alias(name)
     ranked = company.join(component, "rep", "left").select("rep", "company", of("rep", "own"))
     first = F.max(F.struct(F.col("company"), (-F.col("rep")).alias("minus"), "rep")).alias("h")
-    hubs = ranked.groupBy("own").agg(first).select("own", F.col("h.rep").alias("b"))
+    hubs = store(ranked.groupBy("own").agg(first).select("own", F.col("h.rep").alias("b")), "hubs")
     centers = middle.select("bucket", F.col("m").alias("rep")).join(component, "rep", "left").select("bucket", of("rep", "own"))
-    centers = centers.join(hubs, "own")
+    centers = join_measured(centers, hubs, "own", "inner", 64)
     members = crowded.select("bucket", "rep").join(component, "rep", "left").select("bucket", "rep", of("rep", "component"))
     described = members.join(centers, "bucket").filter("rep <> b")
     return described.select(F.col("rep").alias("a"), "b", "component", (F.col("component") != F.col("own")).alias("foreign")).distinct()

@@ -23,6 +23,8 @@ REGISTERS = 288
 BANDS, ROWS = 24, 6
 # Words of more characters are long.
 SHORT = 3
+# Words whose hashes a worker keeps, once or twice over.
+KEPT_WORDS = 50_000
 # Fewer shingles than this reach a similarity of 0.8 only with an equal set.
 FEWEST = 4
 
@@ -43,7 +45,7 @@ class Shingler:
 
     def __init__(self, width: int = WIDTH):
         self.width = width
-        self.words = Memo(lambda word: xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")))
+        self.words = Memo(lambda word: xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")), KEPT_WORDS)
 
     def shingles(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Distinct shingle hashes in ascending order, and how many long words each has.

@@ -1,6 +1,7 @@
 """Token counts, encoding and decoding against the tokenizers library."""
 
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -144,3 +145,16 @@ def test_batches_of_texts_equal_the_library(library):
     for text, start, end in zip(texts, offsets, offsets[1:], strict=False):
         assert ids[start:end].tolist() == library.encode(text, add_special_tokens=False).ids
     assert [len(x) for x in bpe.Encoder(PATH, None).encode([])] == [0, 1]
+
+
+def test_a_kept_text_travels_once_and_keeps_its_place(spark):
+    """Whatever the columns are called, in the order in which they are given."""
+    docs = spark.createDataFrame([(1, "one two", "x", 5), (2, None, "y", 6)], "`a.b` INT, text STRING, doc STRING, n_tokens INT")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    found = bpe.encode_documents(docs, path)
+    assert found.columns == ["a.b", "text", "doc", "n_tokens", "ids"]
+    assert sorted((r[0], r[1], r[2], r[3] > 0) for r in found.collect()) == [(1, "one two", "x", True), (2, None, "y", False)]
+    sent = re.search(r"struct\(.*?\) AS doc", found._jdf.queryExecution().optimizedPlan().toString())
+    assert sent and "text" not in sent.group()
+    assert bpe.encode_documents(docs, path, keep=["text"]).columns == ["text", "n_tokens", "ids"]
+    assert bpe.encode_documents(docs.withColumnRenamed("text", "my.body"), path, text="my.body").columns == ["a.b", "my.body", "doc", "n_tokens", "ids"]
